@@ -77,6 +77,11 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _has(df: DataFrame, columns: list[str]) -> bool:
+    """Whether a frame carries the columns of a constraint; a projection without them cannot break it."""
+    return set(columns) <= set(df.columns)
+
+
 def _key_text(columns: list[str]) -> Column:
     return F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
 
@@ -93,7 +98,7 @@ def _duplicates(t: Tables, constraints: dict[str, list[str]]) -> DataFrame:
             F.lit(name).alias("table_name"), _key_text(columns).alias("key"), "rows"
         )
         for name, columns in constraints.items()
-        if name in t
+        if name in t and _has(t[name], columns)
     ]
     return _union(parts)
 
@@ -121,7 +126,7 @@ def audit_foreign_keys(t: Tables) -> DataFrame:
             F.lit(name).alias("table_name"), F.lit(target).alias("referenced"), _key_text(columns).alias("key"), "rows"
         )
         for name, columns, target in FOREIGN_KEYS
-        if name in t and target in t
+        if name in t and target in t and _has(t[name], columns)
     ]
     return _union(parts)
 

@@ -21,8 +21,10 @@ def numbered(keys: DataFrame, column: str, name: str = "i") -> DataFrame:
     """
     by_hash = keys.orderBy(F.xxhash64(column), column).limit(SPLITS)
     cuts = by_hash.agg(F.array_sort(F.collect_list(column)).alias("cuts"))
-    ranged = keys.withColumn(
-        "_range", F.size(F.filter(cuts.scalar(), lambda cut: cut <= F.col(column)))
+    ranged = (
+        keys.withColumn("_cuts", cuts.scalar())
+        .withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut <= F.col(column))))
+        .drop("_cuts")
     )
     # one row per range, at most SPLITS + 1
     sizes = ranged.groupBy("_range").agg(F.count("*").alias("_size"))
