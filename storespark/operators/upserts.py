@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storespark.operators.joins import attach
 from storespark.tables import Tables
 
 
@@ -30,6 +31,10 @@ PRODUCT_CHILDREN = [
 SUPPLIER_REFERENCES = ["cleaned_movements", "movements"]
 
 
+def _without(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    return attach(df, gone, [key], "left_anti").select(*df.columns)
+
+
 def cascade_delete(
     tables: Tables, products: DataFrame | None = None, suppliers: DataFrame | None = None
 ) -> Tables:
@@ -43,16 +48,16 @@ def cascade_delete(
         gone = products.select("product_id").distinct()
         for name in ["products", *PRODUCT_CHILDREN]:
             if name in tables:
-                changed[name] = table(name).join(gone, "product_id", "left_anti")
+                changed[name] = _without(table(name), gone, "product_id")
     if suppliers is not None:
         gone = suppliers.select("supplier_id").distinct()
         for name in ["suppliers", "product_suppliers"]:
             if name in tables:
-                changed[name] = table(name).join(gone, "supplier_id", "left_anti")
+                changed[name] = _without(table(name), gone, "supplier_id")
         for name in SUPPLIER_REFERENCES:
             if name in tables:
                 frame = table(name)
-                joined = frame.join(gone.withColumn("_gone", F.lit(True)), "supplier_id", "left")
+                joined = attach(frame, gone.withColumn("_gone", F.lit(True)), ["supplier_id"], "left")
                 kept = F.when(F.col("_gone").isNull(), F.col("supplier_id"))
                 changed[name] = joined.withColumn("supplier_id", kept).select(*frame.columns)
     return tables.replaced(**changed)

@@ -13,7 +13,6 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +23,7 @@ from storespark.operators.stock import inventory_apply, net_stock_delta
 from storespark.operators.validation import CLEANED_COLUMNS, FACT_COLUMNS, validate
 from storespark.plans.runlog import RunLog
 from storespark.sources.csv_files import list_files, raw_ingest
-from storespark.sources.writers import append_rows, has_rows
+from storespark.sources.writers import append_rows, has_rows, read_or_empty
 from storespark.tables import Tables
 
 _MOVED = schemas.TABLES["movements"]
@@ -78,27 +77,20 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str, source_system: str = fixed.SOURCE_SYSTEM):
         self.spark, self.root, self.source_system = spark, root.rstrip("/"), source_system
         self.runs = RunLog(spark, self.path("pipeline_runs"))
-        # an empty first file per log, so that reading never meets a missing folder
-        for name, ddl in (("step_commits", _COMMITS), ("processed_files", _LEDGER)):
-            self._touch(name, spark.createDataFrame([], ddl))
-        self._touch("pipeline_runs", spark.createDataFrame([], schemas.TABLES["pipeline_runs"]))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _touch(self, name: str, empty: DataFrame) -> None:
-        empty.coalesce(1).write.mode("ignore").parquet(self.path(name))
-
     # -- commit log ---------------------------------------------------------------------
 
     def commits(self) -> DataFrame:
-        return self.spark.read.schema(_COMMITS).parquet(self.path("step_commits"))
+        return read_or_empty(self.spark, self.path("step_commits"), _COMMITS)
 
     def ledger(self) -> DataFrame:
         """Accepted files of committed batches."""
         done = self.commits().filter("step = 'extract'").select("attempt_id").distinct()
         return attach(
-            self.spark.read.schema(_LEDGER).parquet(self.path("processed_files")), done, ["attempt_id"], "left_semi"
+            read_or_empty(self.spark, self.path("processed_files"), _LEDGER), done, ["attempt_id"], "left_semi"
         )
 
     def processed_files(self) -> DataFrame:
@@ -119,10 +111,7 @@ class Warehouse:
         return {r.batch_id: r.attempt_id for r in todo.select("batch_id", "attempt_id").orderBy("batch_id").collect()}
 
     def _stored(self, name: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(_stored_ddl(name)).parquet(self.path(name))
-        except AnalysisException:  # nothing written yet
-            return self.spark.createDataFrame([], _stored_ddl(name))
+        return read_or_empty(self.spark, self.path(name), _stored_ddl(name))
 
     def _attempt_rows(self, name: str, attempts: list[str]) -> DataFrame:
         return self._stored(name).filter(F.col("attempt_id").isin(attempts))
@@ -233,7 +222,8 @@ class Warehouse:
             }
         )
         attempt = self._write(rows, "raw_movements", ["source_file_name"])
-        outcomes = self._file_outcomes(self._attempt_rows("raw_movements", [attempt]), files)
+        # one row per file, asked three times; a lost block is counted again from the written rows
+        outcomes = self._file_outcomes(self._attempt_rows("raw_movements", [attempt]), files).cache()
         accepted = outcomes.filter(F.col("error_message").isNull())
         ledger = accepted.select(
             F.col("source_file_name").alias("file_name"),
@@ -250,6 +240,7 @@ class Warehouse:
             F.coalesce(F.sum(F.when(F.col("error_message").isNull(), F.col("rows_success"))), F.lit(0)).alias("rows"),
             F.count_if(F.col("error_message").isNotNull()).alias("failed"),
         ).first()
+        outcomes.unpersist()
         return StepResult("extract", totals["files"], totals["rows"], totals["failed"])
 
     def _file_outcomes(self, written: DataFrame, files: DataFrame | None) -> DataFrame:
@@ -274,16 +265,17 @@ class Warehouse:
 
     def extract(self, folder: str) -> StepResult:
         """Read every file the ledger does not know. An error is logged and reported, not raised."""
-        new = new_files(list_files(self.spark, folder), self.processed_files())
-        # one path per file: what Spark's own file index holds on the driver anyway
-        paths = [r.path for r in new.select("path").collect()]
-        if not paths:
+        new = new_files(list_files(self.spark, folder), self.processed_files()).select("file_name", "path", "length")
+        # one entry per file, which Spark's own file index holds on the driver anyway; fixed before the ledger grows
+        found = new.collect()
+        if not found:
             return StepResult("extract")
+        files = self.spark.createDataFrame(found, new.schema)
+        paths = [f.path for f in found]
         self.runs.start()
-        # the listing is fixed before reading, so a file that arrives meanwhile waits for the next run
-        files = list_files(self.spark, paths)
-        return self._guarded("extract", files, lambda: self.store_raw(
-            raw_ingest(self.spark, paths, self.source_system), files))
+        return self._guarded(
+            "extract", files, lambda: self.store_raw(raw_ingest(self.spark, paths, self.source_system), files)
+        )
 
     def _guarded(self, step: str, files: DataFrame, work: Callable[[], StepResult]) -> StepResult:
         try:
@@ -325,9 +317,10 @@ class Warehouse:
             F.count_if(F.col("outcome") == "clean").alias("rows_success"),
             F.count_if(F.col("outcome") == "bad").alias("rows_failed"),
         )
-        outcomes = counts.withColumn("error_message", F.lit(None).cast("string"))
+        outcomes = counts.withColumn("error_message", F.lit(None).cast("string")).cache()
         self.runs.finish("transform", outcomes)
         total = outcomes.agg(F.count("*").alias("files"), F.sum("rows_processed").alias("rows")).first()
+        outcomes.unpersist()
         return StepResult("transform", total["files"], total["rows"] or 0)
 
     def _master(self, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storespark.schemas import TABLES
-from storespark.sources.writers import append_rows, has_rows
+from storespark.sources.writers import append_rows, read_or_empty
 
 RUN_COLUMNS = [f.name for f in TABLES["pipeline_runs"].fields]
 
@@ -60,12 +60,10 @@ class RunLog:
         return self
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(TABLES["pipeline_runs"]).parquet(self.path)
+        return read_or_empty(self.spark, self.path, TABLES["pipeline_runs"])
 
     def _next_id(self) -> int:
-        if not has_rows(self.spark, self.path):
-            return 1
-        return self.read().agg(F.max("run_id")).first()[0] + 1
+        return (self.read().agg(F.max("run_id")).first()[0] or 0) + 1
 
     def finish(self, step: str, outcomes: DataFrame) -> None:
         rows = run_rows(outcomes, step, self.started_at, utc_now())

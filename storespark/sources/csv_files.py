@@ -7,6 +7,8 @@ folder is not part of the name.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,10 +24,24 @@ def drop_name(path: Column) -> Column:
     return F.regexp_extract(path, _DROP_NAME, 1)
 
 
+def _same_form(path: Column) -> Column:
+    """Paths come as file:/x and as file:///x."""
+    return F.regexp_replace(path, r"^(\w+):/+", "$1:/")
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Every CSV file with its drop name, path and length; contents are not read."""
+    """Every CSV file with its drop name, path and length; contents are not read.
+
+    Scans pass over files of length 0, so the names come from the file index
+    that Spark holds on the driver, one entry per file.
+    """
     found = spark.read.format("binaryFile").options(**_LISTING).load(folder)
-    return found.select(drop_name(F.col("path")).alias("file_name"), "path", "length")
+    names = [(unquote(path),) for path in found.inputFiles()]
+    listed = spark.createDataFrame(names, "path string").withColumn("_path", _same_form(F.col("path")))
+    sizes = found.select(_same_form(F.col("path")).alias("_path"), "length")
+    return listed.join(sizes, "_path", "left").select(
+        drop_name(F.col("path")).alias("file_name"), "path", F.coalesce("length", F.lit(0)).alias("length")
+    )
 
 
 def source_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,44 +49,57 @@ def source_files(spark: SparkSession, folder: str) -> DataFrame:
     return list_files(spark, folder).select("file_name").distinct().orderBy("file_name")
 
 
-def no_token(value: Column) -> Column:
-    """The cell, or null where it holds one of the tokens for no value."""
-    return F.when(~value.isin(fixed.NULL_TOKENS), value)
+_TOKENS = ", ".join(f"'{t}'" for t in fixed.NULL_TOKENS)
+
 
+def no_token(name: str) -> Column:
+    """The named cell, or null where it holds one of the tokens for no value."""
+    return F.expr(f"case when `{name}` not in ({_TOKENS}) then `{name}` end")
 
-def typed(value: Column, sql_type: str) -> Column:
-    """The cell in its type; null where it does not fit. Whole numbers may carry a zero fraction."""
-    text = no_token(value)
+
+def typed(text: Column, sql_type: str) -> Column:
+    """A cell in its type; null where it does not fit. Whole numbers may carry a zero fraction."""
+    if sql_type == "string":
+        return text
     if sql_type != "int":
-        return text.try_cast(sql_type) if sql_type != "string" else text
+        return text.try_cast(sql_type)
     number = F.trim(text).try_cast("decimal(20,4)")
     return F.when(number == F.floor(number), number.try_cast("int"))
 
 
-def violation(typed_columns: dict[str, Column]) -> Column:
-    """Whether a row breaks the structure of the raw table, which rejects its whole file."""
-    kind, quantity = typed_columns["movement_type"], typed_columns["quantity"]
-    missing = [typed_columns[c].isNull() for c in schemas.REQUIRED]
-    unfit = [
-        no_token(F.col(c)).isNotNull() & typed_columns[c].isNull()
-        for c, t in schemas.MOVEMENT_TYPES.items()
-        if t != "string"
-    ]
+def cell(name: str, sql_type: str) -> Column:
+    """A named cell without null tokens, in its type."""
+    return typed(no_token(name), sql_type)
+
+
+def violation() -> Column:
+    """Whether a typed row breaks the structure of the raw table, which rejects its whole file.
+
+    ``_text`` holds the cells as they were read.
+    """
+    types = schemas.MOVEMENT_TYPES
+    kind, quantity = F.col("movement_type"), F.col("quantity")
     bad = F.coalesce(~kind.isin(fixed.MOVEMENT_KINDS), F.lit(True)) | F.coalesce(quantity <= 0, F.lit(True))
-    for flag in [*missing, *unfit]:
-        bad = bad | flag
+    for name in schemas.REQUIRED:
+        bad = bad | F.col(name).isNull()
+    for name in [c for c, t in types.items() if t != "string" and c not in schemas.REQUIRED]:
+        bad = bad | (F.col(f"_text.{name}").isNotNull() & F.col(name).isNull())
     return bad
 
 
 def type_movements(text: DataFrame, source_system: str = fixed.SOURCE_SYSTEM) -> DataFrame:
     """Typed movements of text rows that carry their ``source_file_name``, with a ``violation`` flag."""
-    columns = {c: typed(F.col(c), t) for c, t in schemas.MOVEMENT_TYPES.items()}
-    return text.select(
+    types = schemas.MOVEMENT_TYPES
+    cells = text.select(
+        "source_file_name", F.struct(*[no_token(c).alias(c) for c in types]).alias("_text")
+    )
+    rows = cells.select(
         "source_file_name",
         F.lit(source_system).alias("source_system"),
-        *[expr.alias(c) for c, expr in columns.items()],
-        violation(columns).alias("violation"),
+        *[typed(F.col(f"_text.{c}"), t).alias(c) for c, t in types.items()],
+        "_text",
     )
+    return rows.withColumn("violation", violation()).drop("_text")
 
 
 def movement_text(reader, paths: str | list[str]) -> DataFrame:
@@ -93,7 +122,7 @@ def products_master(spark: SparkSession, path: str) -> DataFrame:
     types = {f.name: f.dataType.simpleString() for f in schemas.TABLES["products"].fields}
     rows = spark.read.option("header", True).csv(path)
     return rows.select(
-        *[typed(F.col(src), types[dst]).alias(dst) for src, dst in schemas.PRODUCT_MASTER_COLUMNS.items()]
+        *[cell(src, types[dst]).alias(dst) for src, dst in schemas.PRODUCT_MASTER_COLUMNS.items()]
     )
 
 
@@ -102,7 +131,7 @@ def price_list(spark: SparkSession, path: str) -> DataFrame:
     types = {"pzxcar": "int", "brand": "int", "costo": "decimal(12,4)", "prezzo_vendita": "decimal(12,4)"}
     rows = spark.read.option("header", True).option("sep", ";").csv(path)
     return rows.select(
-        *[typed(F.col(src), types.get(dst, "string")).alias(dst) for src, dst in schemas.PRICE_LIST_COLUMNS.items()]
+        *[cell(src, types.get(dst, "string")).alias(dst) for src, dst in schemas.PRICE_LIST_COLUMNS.items()]
     )
 
 

@@ -43,6 +43,14 @@ def has_rows(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The rows of a folder, none where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
 def load_once(df: DataFrame, path: str) -> bool:
     """Append only where the target has no rows; tells whether it did."""
     if has_rows(df.sparkSession, path):

@@ -26,6 +26,8 @@ def _each_store() -> F.Column:
 
 
 class Testbed:
+    __test__ = False
+
     """Lazily built tables over one folder of Parquet files."""
 
     def __init__(self, spark: SparkSession, folder: str):
