@@ -17,19 +17,32 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Planner estimate of the frame's size after pruning, None where no classic session backs it."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
     except AttributeError:
         return None
+    return int(str(stats.sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    size = estimated_bytes(df)
-    return size is not None and size <= (BROADCAST_LIMIT_BYTES if limit is None else limit)
+def fits_broadcast(*frames: DataFrame, limit: int | None = None) -> bool:
+    """Whether the frames together are estimated inside the limit; an unknown size is not."""
+    sizes = [estimated_bytes(f) for f in frames]
+    return None not in sizes and sum(sizes) <= (BROADCAST_LIMIT_BYTES if limit is None else limit)
 
 
-def attach(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join a lookup to facts, broadcasting it only below the size limit."""
-    return facts.join(F.broadcast(lookup) if fits_broadcast(lookup) else lookup, on, how)
+def attach(
+    facts: DataFrame,
+    lookup: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    sized_by: tuple[DataFrame, ...] | None = None,
+) -> DataFrame:
+    """Join a lookup to facts, broadcasting it only below the size limit.
+
+    ``sized_by`` names the frames that bound a lookup which is itself a join
+    along a key; the planner would take the product of their sizes.
+    """
+    small = fits_broadcast(*(sized_by or (lookup,)))
+    return facts.join(F.broadcast(lookup) if small else lookup, on, how)
 
 
 def active_positions(assortment: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -63,10 +76,14 @@ def position_join(assortment: DataFrame, layout: DataFrame) -> DataFrame:
     return assortment.join(layout, POSITION_KEY)
 
 
-def layout_left_assortment(layout: DataFrame, assortment: DataFrame, products: DataFrame) -> DataFrame:
-    """Every slot, empty or not, with its product."""
-    placed = layout.join(assortment, POSITION_KEY, "left")
-    return attach(placed, products, ["product_id"], "left")
+def attach_named(facts: DataFrame, products: DataFrame, brands: DataFrame, how: str = "inner") -> DataFrame:
+    """Add product columns and the brand name to rows with a product."""
+    return attach(facts, brand_left_join(products, brands), ["product_id"], how, sized_by=(products, brands))
+
+
+def layout_left_assortment(layout: DataFrame, assortment: DataFrame) -> DataFrame:
+    """Every slot, empty or not, with the product placed there."""
+    return layout.join(assortment, POSITION_KEY, "left")
 
 
 def stock_join(assortment: DataFrame, inventory: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from storespark.functions.money import MONEY, line_value, money_sum, money_sum0, percent, ratio
-from storespark.operators.joins import active_positions, attach, brand_left_join
+from storespark.operators.joins import active_positions, attach_named
 from storespark.operators.rollup import additive, collapsed
 from storespark.plans.views import daily_kpis, inventory_by_shelf, shelf_detail
 from storespark.tables import Tables
@@ -116,7 +116,7 @@ def _placed_sums(t: Tables) -> DataFrame:
         "product_id", "product_description", "category_level_1", "brand_code", "purchase_price"
     )
     placed = _product_sums(t).join(active_positions(t.store_assortment), ["store_id", "product_id"])
-    return attach(placed, brand_left_join(products, t.brands), ["product_id"])
+    return attach_named(placed, products, t.brands)
 
 
 def shelf_products_grid(t: Tables, **filters) -> DataFrame:

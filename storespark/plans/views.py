@@ -15,7 +15,7 @@ from storespark.functions.money import MONEY, fill_pct, line_value, margin_pct,
 from storespark.operators.joins import (
     active_positions,
     attach,
-    brand_left_join,
+    attach_named,
     layout_left_assortment,
     position_join,
     stock_join,
@@ -103,13 +103,10 @@ def margins_by_product_shelf(t: Tables) -> DataFrame:
     """
     keys = ["store_id", "product_id", "shelf_id", "movement_date"]
     sums = collapsed(additive(of_type(t.movements, "sale"), keys, revenue=_sale_value()), keys)
-    named = brand_left_join(
-        t.products.select(
-            "product_id", "product_description", "category_level_1", "category_level_2", "brand_code", "purchase_price"
-        ),
-        t.brands,
+    products = t.products.select(
+        "product_id", "product_description", "category_level_1", "category_level_2", "brand_code", "purchase_price"
     )
-    priced = attach(sums, named, ["product_id"]).withColumns(
+    priced = attach_named(sums, products, t.brands).withColumns(
         {"revenue": F.col("revenue").cast(MONEY), "cost": _cost().cast(MONEY)}
     )
     return with_calendar(priced).select(
@@ -124,39 +121,48 @@ def margins_by_product_shelf(t: Tables) -> DataFrame:
 
 
 def daily_kpis(t: Tables, collapse: bool | None = None) -> DataFrame:
-    """Eleven measures per store and day, over movements of known products."""
-    keys = ["store_id", "product_id", "movement_date", "movement_type"]
-    facts = additive(
-        t.movements, keys, sales=_sale_value(), purchases=line_value(F.col("unit_purchase_price"))
-    )
-
-    def only(kind: str, value: str | Column) -> Column:
-        return F.when(F.col("movement_type") == kind, F.col(value) if isinstance(value, str) else value)
-
-    def whole(kind: str, value: str) -> Column:
-        return F.coalesce(F.sum(only(kind, value)), F.lit(0))
+    """Eleven measures per store and day, over movements of known products.
 
-    grouped = summed_by(
-        facts,
+    Rows are summed per movement type first, each with the one price its type
+    has; the columns per type are then picked from three rows per store and day.
+    """
+    kind = F.col("movement_type")
+    value = F.when(kind == "sale", _sale_value()).when(kind == "purchase", line_value(F.col("unit_purchase_price")))
+    keys = ["store_id", "product_id", "movement_date", "movement_type"]
+    per_type = summed_by(
+        additive(t.movements, keys, value=value),
         keys,
         [_costs(t)],
-        ["store_id", "movement_date"],
+        ["store_id", "movement_date", "movement_type"],
         {
-            "sale_transactions": whole("sale", "n"),
-            "qty_sold": whole("sale", "qty"),
-            "revenue": money_sum0(only("sale", "sales")),
-            "cogs": money_sum0(only("sale", _cost())),
-            "breakage_events": whole("breakage", "n"),
-            "qty_breakage": whole("breakage", "qty"),
-            "breakage_cost": money_sum0(only("breakage", _cost())),
-            "purchase_transactions": whole("purchase", "n"),
-            "qty_purchased": whole("purchase", "qty"),
-            "purchase_cost": money_sum0(only("purchase", "purchases")),
-            "total_movements": F.sum("n"),
+            "n": F.sum("n"),
+            "qty": F.sum("qty"),
+            "value": F.sum("value"),
+            "cost": F.sum(F.when(kind != "purchase", _cost())),
         },
         collapse,
     )
-    measures = [c for c in grouped.columns if c not in ("store_id", "movement_date")]
+
+    def whole(of: str, column: str) -> Column:
+        return F.coalesce(F.sum(F.when(kind == of, F.col(column))), F.lit(0))
+
+    def amount(of: str, column: str) -> Column:
+        return money_sum0(F.when(kind == of, F.col(column)))
+
+    measures = {
+        "sale_transactions": whole("sale", "n"),
+        "qty_sold": whole("sale", "qty"),
+        "revenue": amount("sale", "value"),
+        "cogs": amount("sale", "cost"),
+        "breakage_events": whole("breakage", "n"),
+        "qty_breakage": whole("breakage", "qty"),
+        "breakage_cost": amount("breakage", "cost"),
+        "purchase_transactions": whole("purchase", "n"),
+        "qty_purchased": whole("purchase", "qty"),
+        "purchase_cost": amount("purchase", "value"),
+        "total_movements": F.sum("n"),
+    }
+    grouped = per_type.groupBy("store_id", "movement_date").agg(*[m.alias(name) for name, m in measures.items()])
     return with_calendar(grouped).select("store_id", "movement_date", "month", "year", "week", *measures)
 
 
@@ -176,7 +182,8 @@ def shelf_detail(t: Tables) -> DataFrame:
     products = t.products.select(
         "product_id", "product_description", "category_level_1", "category_level_2", "brand_code"
     )
-    slots = layout_left_assortment(t.store_layout, t.store_assortment, brand_left_join(products, t.brands))
+    placed = layout_left_assortment(t.store_layout, t.store_assortment)
+    slots = attach_named(placed, products, t.brands, "left")
     return slots.select(
         "store_id", "shelf_id", "shelf_category", "shelf_level", "zone", "slot_number", "capacity", "product_id",
         "active_flag", "product_description", "category_level_1", "category_level_2", "brand_code", "brand_name",
@@ -191,7 +198,7 @@ def shelf_movements_current(t: Tables) -> DataFrame:
     )
     placed = attach(t.movements.drop("shelf_id", "shelf_level", "zone", "slot_number"),
                     active_positions(t.store_assortment), list(STORE_PRODUCT))
-    rows = attach(placed, brand_left_join(products, t.brands), ["product_id"])
+    rows = attach_named(placed, products, t.brands)
     return with_calendar(rows).select(
         "store_id", "shelf_id", "shelf_level", "zone", "slot_number", "product_id", "product_description",
         "category_level_1", "category_level_2", "brand_code", "brand_name", "movement_type", "quantity",

@@ -32,9 +32,12 @@ class Testbed:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._sources: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._sources:
+            self._sources[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._sources[name]
 
     def tables(self) -> Tables:
         names = [

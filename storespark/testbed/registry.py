@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,12 @@ from storespark.testbed.adapters import CLASS_RULES, SHARES, SPELLINGS, STORES,
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-LOAD_TIME = F.lit("2024-03-01").cast("timestamp")
+
+
+def load_time() -> Column:
+    return F.lit("2024-03-01").cast("timestamp")
+
+
 CUT = "movements_2024-01-15.csv"
 EARLY = "movements_2024-01-10.csv"
 LINE = ["store_id", "product_id", "movement_type", "quantity", "movement_date"]
@@ -127,18 +132,18 @@ def file_names(t: Tables) -> DataFrame:
 
 def half_ledger(t: Tables) -> DataFrame:
     done = file_names(t).filter(F.col("file_name") < CUT)
-    return done.withColumns({"source_system": F.lit(fixed.SOURCE_SYSTEM), "processed_at": LOAD_TIME})
+    return done.withColumns({"source_system": F.lit(fixed.SOURCE_SYSTEM), "processed_at": load_time()})
 
 
 @register()
 def mark_file_processed(bed, t):
     ledger = half_ledger(t)
     new = joins.new_files(file_names(t), ledger)
-    return fileset.mark_file_processed(ledger, new, fixed.SOURCE_SYSTEM, LOAD_TIME).drop("processed_at")
+    return fileset.mark_file_processed(ledger, new, fixed.SOURCE_SYSTEM, load_time()).drop("processed_at")
 
 
 def applied(t: Tables) -> DataFrame:
-    return stock.inventory_apply(t.inventory, stock.net_stock_delta(t.movements), LOAD_TIME)
+    return stock.inventory_apply(t.inventory, stock.net_stock_delta(t.movements), load_time())
 
 
 add("inventory_apply", lambda bed, t: applied(t).drop("updated_at"))
@@ -148,7 +153,7 @@ add("touch_updated_at", lambda bed, t: applied(t).drop("stock_qty"))
 @register()
 def mark_loaded(bed, t):
     ids = t.cleaned_movements.filter("raw_movement_id % 5 = 1")
-    marked = stock.mark_loaded(t.cleaned_movements, ids, LOAD_TIME)
+    marked = stock.mark_loaded(t.cleaned_movements, ids, load_time())
     return marked.select("cleaned_movement_id", "loaded", "loaded_at")
 
 
@@ -235,9 +240,9 @@ add(
 )
 add(
     "layout_left_assortment",
-    lambda bed, t: joins.layout_left_assortment(t.store_layout, t.store_assortment, t.products).select(
-        *SLOT, "product_id", "active_flag", "product_description"
-    ),
+    lambda bed, t: joins.attach(
+        joins.layout_left_assortment(t.store_layout, t.store_assortment), t.products, ["product_id"], "left"
+    ).select(*SLOT, "product_id", "active_flag", "product_description"),
 )
 add(
     "brand_left_join",
