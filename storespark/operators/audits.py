@@ -117,7 +117,7 @@ def orphans(df: DataFrame, columns: list[str], referenced: DataFrame) -> DataFra
     Counting comes first, so the anti join compares keys, not rows.
     """
     used = df.dropna(subset=columns).groupBy(*columns).agg(F.count("*").alias("rows"))
-    return attach(used, referenced.select(*columns), columns, "left_anti")
+    return attach(used, referenced.select(*columns), columns, "left_anti", hot_keys=False)
 
 
 def audit_foreign_keys(t: Tables) -> DataFrame:

@@ -21,11 +21,9 @@ def numbered(keys: DataFrame, column: str, name: str = "i") -> DataFrame:
     """
     by_hash = keys.orderBy(F.xxhash64(column), column).limit(SPLITS)
     cuts = by_hash.agg(F.array_sort(F.collect_list(column)).alias("cuts"))
-    ranged = (
-        keys.withColumn("_cuts", cuts.scalar())
-        .withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut <= F.col(column))))
-        .drop("_cuts")
-    )
+    # never null, so that the join on it adds no filter below the distinct
+    place_in_cuts = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut <= F.col(column))), F.lit(0))
+    ranged = keys.withColumn("_cuts", cuts.scalar()).withColumn("_range", place_in_cuts).drop("_cuts")
     # one row per range, at most SPLITS + 1
     sizes = ranged.groupBy("_range").agg(F.count("*").alias("_size"))
     before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)

@@ -57,5 +57,5 @@ def summed_by(
         collapse = not all(fits_broadcast(lookup.frame) for lookup in lookups)
     rows = collapsed(facts, keys) if collapse else facts
     for lookup in lookups:
-        rows = attach(rows, lookup.frame, list(lookup.on), lookup.how)
+        rows = attach(rows, lookup.frame, list(lookup.on), lookup.how, hot_keys=not collapse)
     return rows.groupBy(*by).agg(*[expr.alias(name) for name, expr in sums.items()])

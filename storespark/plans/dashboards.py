@@ -116,7 +116,7 @@ def _placed_sums(t: Tables) -> DataFrame:
         "product_id", "product_description", "category_level_1", "brand_code", "purchase_price"
     )
     placed = _product_sums(t).join(active_positions(t.store_assortment), ["store_id", "product_id"])
-    return attach_named(placed, products, t.brands)
+    return attach_named(placed, products, t.brands, hot_keys=False)
 
 
 def shelf_products_grid(t: Tables, **filters) -> DataFrame:

@@ -106,7 +106,7 @@ def margins_by_product_shelf(t: Tables) -> DataFrame:
     products = t.products.select(
         "product_id", "product_description", "category_level_1", "category_level_2", "brand_code", "purchase_price"
     )
-    priced = attach_named(sums, products, t.brands).withColumns(
+    priced = attach_named(sums, products, t.brands, hot_keys=False).withColumns(
         {"revenue": F.col("revenue").cast(MONEY), "cost": _cost().cast(MONEY)}
     )
     return with_calendar(priced).select(
@@ -183,7 +183,7 @@ def shelf_detail(t: Tables) -> DataFrame:
         "product_id", "product_description", "category_level_1", "category_level_2", "brand_code"
     )
     placed = layout_left_assortment(t.store_layout, t.store_assortment)
-    slots = attach_named(placed, products, t.brands, "left")
+    slots = attach_named(placed, products, t.brands, "left", hot_keys=False)
     return slots.select(
         "store_id", "shelf_id", "shelf_category", "shelf_level", "zone", "slot_number", "capacity", "product_id",
         "active_flag", "product_description", "category_level_1", "category_level_2", "brand_code", "brand_name",
