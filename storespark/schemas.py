@@ -55,8 +55,9 @@ _SOURCE_DDL = "raw_movement_id bigint, source_file_name string, source_system st
 POSITION_COLUMNS = ["shelf_id", "shelf_level", "zone", "slot_number"]
 _POSITION_DDL = "shelf_id int, shelf_level int, zone string, slot_number int"
 
-# a movement file is read as text and typed afterwards
-MOVEMENT_CSV = T.StructType([T.StructField(c, T.StringType()) for c in MOVEMENT_COLUMNS])
+# a movement file is read as text and typed afterwards; a line with a wrong number of cells is kept whole
+MALFORMED = "_corrupt_record"
+MOVEMENT_CSV = T.StructType([T.StructField(c, T.StringType()) for c in [*MOVEMENT_COLUMNS, MALFORMED]])
 
 PRICE_LIST_COLUMNS = {
     "ProductId": "id_prodotto",

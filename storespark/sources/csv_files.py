@@ -79,7 +79,7 @@ def violation() -> Column:
     """
     types = schemas.MOVEMENT_TYPES
     kind, quantity = F.col("movement_type"), F.col("quantity")
-    bad = F.coalesce(~kind.isin(fixed.MOVEMENT_KINDS), F.lit(True)) | F.coalesce(quantity <= 0, F.lit(True))
+    bad = F.col("_malformed") | F.coalesce(~kind.isin(fixed.MOVEMENT_KINDS), F.lit(True)) | F.coalesce(quantity <= 0, F.lit(True))
     for name in schemas.REQUIRED:
         bad = bad | F.col(name).isNull()
     for name in [c for c, t in types.items() if t != "string" and c not in schemas.REQUIRED]:
@@ -90,24 +90,32 @@ def violation() -> Column:
 def type_movements(text: DataFrame, source_system: str = fixed.SOURCE_SYSTEM) -> DataFrame:
     """Typed movements of text rows that carry their ``source_file_name``, with a ``violation`` flag."""
     types = schemas.MOVEMENT_TYPES
+    malformed = F.col(schemas.MALFORMED).isNotNull() if schemas.MALFORMED in text.columns else F.lit(False)
     cells = text.select(
-        "source_file_name", F.struct(*[no_token(c).alias(c) for c in types]).alias("_text")
+        "source_file_name", malformed.alias("_malformed"), F.struct(*[no_token(c).alias(c) for c in types]).alias("_text")
     )
     rows = cells.select(
         "source_file_name",
         F.lit(source_system).alias("source_system"),
         *[typed(F.col(f"_text.{c}"), t).alias(c) for c, t in types.items()],
         "_text",
+        "_malformed",
     )
-    return rows.withColumn("violation", violation()).drop("_text")
+    return rows.withColumn("violation", violation()).drop("_text", "_malformed")
 
 
 def movement_text(reader, paths: str | list[str]) -> DataFrame:
-    """Cells of movement files as text, through ``spark.read`` or ``spark.readStream``."""
-    # a header that differs from the declared columns is an error, not a silent shift
-    options = {**_LISTING, "header": "true", "enforceSchema": "false"}
-    rows = reader.schema(schemas.MOVEMENT_CSV).options(**options).csv(paths)
-    return rows.withColumn("source_file_name", drop_name(F.col("_metadata.file_path")))
+    """Cells of movement files as text, through ``spark.read`` or ``spark.readStream``.
+
+    Header lines are read as rows and dropped by their content. A file with
+    another header keeps it as a row that fits no type, so that this file alone
+    is rejected instead of shifting its columns or stopping the batch.
+    """
+    rows = reader.schema(schemas.MOVEMENT_CSV).option("header", False).options(**_LISTING).csv(paths)
+    header = F.lit(True)
+    for name in schemas.MOVEMENT_COLUMNS:
+        header = header & F.col(name).eqNullSafe(F.lit(name))
+    return rows.filter(~header).withColumn("source_file_name", drop_name(F.col("_metadata.file_path")))
 
 
 def raw_ingest(

@@ -124,6 +124,16 @@ def test_broken_and_empty_files(warehouse, drops):
     assert warehouse.extract(source).rows == 2
 
 
+def test_a_file_with_another_layout_is_rejected_alone(warehouse, drops):
+    swapped = HEADER.replace("store_id,product_id", "product_id,store_id")
+    drops("movements_2024-01-01.csv", DAY1)
+    drops("movements_2024-01-06.csv", DAY2.replace(HEADER, swapped))
+    drops("movements_2024-01-07.csv", DAY2.replace("2024-01-02 08:00:00,2024-01-02", "2024-01-02 08:00:00,2024-01-02,x"))
+    source = drops("movements_2024-01-08.csv", DAY2.replace("breakage,1", "breakage,1.5"))
+    result = warehouse.extract(source)
+    assert (result.files, result.rows, result.failed_files) == (4, 4, 3)
+
+
 @pytest.mark.parametrize("step", ["extract", "transform", "load"])
 def test_a_step_that_dies_before_its_commit_adds_nothing(warehouse, drops, monkeypatch, step):
     source = drops("movements_2024-01-01.csv", DAY1)
