@@ -16,8 +16,8 @@ _WIDE = "decimal(28,4)"
 
 
 def line_value(price: Column, quantity: Column | None = None) -> Column:
-    """quantity x price, exact."""
-    return (F.col("quantity") if quantity is None else quantity) * price
+    """quantity x price, exact. Summed quantities stay within 18 digits, which Spark holds in a long."""
+    return (F.col("quantity") if quantity is None else quantity.cast("decimal(18,0)")) * price
 
 
 def money_sum(value: Column) -> Column:

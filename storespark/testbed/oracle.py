@@ -594,7 +594,7 @@ from master where coalesce(cat1 <> 'MEDIUM', true) and iva <> '++' and costo_noi
         "stream_pipeline": f"""select {SOURCE_FIELDS}, {MOVEMENT_FIELDS.replace('store_id', 'c.store_id').replace('product_id', 'c.product_id')},
   a.shelf_id, a.shelf_level, a.zone, a.slot_number from cleaned_movements c
   left join active a on a.store_id = c.store_id and a.product_id = c.product_id""",
-        "batch_pipeline": """select i.store_id, i.product_id, cast(i.stock_qty + coalesce(d.net, 0) as int) stock_qty
+        "batch_load": """select i.store_id, i.product_id, cast(i.stock_qty + coalesce(d.net, 0) as int) stock_qty
 from inventory i left join (select store_id, product_id,
     sum(case when movement_type = 'purchase' then quantity else -quantity end) net
   from cleaned_movements group by all) d on d.store_id = i.store_id and d.product_id = i.product_id""",

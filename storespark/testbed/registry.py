@@ -543,7 +543,7 @@ def _stream_pipeline(bed, t):
 
 
 @register()
-def batch_pipeline(bed, t):
+def batch_load(bed, t):
     warehouse = new_warehouse(bed, t)
     warehouse.run(movement_folder(bed, t))
     return warehouse.inventory().drop("updated_at")

@@ -104,7 +104,7 @@ def test_copies_collapse_before_the_shuffle(spark):
 
 
 def test_no_cross_join_in_any_query(spark):
-    skipped = {"stream_ingest", "stream_pipeline", "batch_pipeline"}
+    skipped = {"stream_ingest", "stream_pipeline", "batch_load"}
     for key, query in entry.queries().items():
         if key in skipped:
             continue
