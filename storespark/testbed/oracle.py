@@ -1,7 +1,8 @@
 """SQL twins of the registered queries, for a second engine on the same Parquet tables.
 
-Dates are compared as text, money as double after exact decimal sums, times in
-microseconds; ``registry.portable`` does the same to the Spark results.
+Dates and times are compared as text, money as double after exact decimal sums,
+whole numbers and flags that may be null as double; ``registry.portable`` does
+the same to the Spark results.
 """
 
 from __future__ import annotations
@@ -9,6 +10,20 @@ from __future__ import annotations
 from storespark.functions import fixed_values as fixed
 from storespark.testbed.adapters import CLASS_RULES, SHARES, SPELLINGS
 
+# whole numbers and flags with nulls, which result frames of engines show in different types
+NULLABLE = {
+    "movements_projection": ["shelf_id", "shelf_level", "slot_number"],
+    "enrich_shelf_position": ["shelf_id", "shelf_level", "slot_number"],
+    "stream_pipeline": ["shelf_id", "shelf_level", "slot_number"],
+    "margins_by_product_shelf": ["shelf_id"],
+    "shelf_products_grid": ["stock_qty"],
+    "position_join": ["capacity"],
+    "fill_pct": ["capacity"],
+    "inventory_by_shelf": ["capacity"],
+    "shelf_detail": ["capacity", "active_flag"],
+    "layout_left_assortment": ["active_flag"],
+}
+
 _STORES = "(values (1), (2), (3)) st(store_id)"
 
 
@@ -214,6 +229,10 @@ CALENDAR = (
 DAY = "cast(movement_date as varchar) as movement_date"
 
 
+def moment(expr: str) -> str:
+    return f"strftime({expr}, '%Y-%m-%d %H:%M:%S.%f')"
+
+
 def dbl(expr: str, name: str) -> str:
     return f"cast(cast({expr} as decimal(38,4)) as double) as {name}"
 
@@ -259,7 +278,7 @@ def query(body: str) -> str:
 MOVEMENT_FIELDS = (
     "store_id, product_id, supplier_id, movement_type, quantity, cast(unit_sale_price as double) unit_sale_price, "
     "cast(unit_purchase_price as double) unit_purchase_price, is_promo, promo_type, "
-    f"epoch_us(movement_timestamp) movement_timestamp, {DAY}"
+    f"{moment('movement_timestamp')} movement_timestamp, {DAY}"
 )
 SOURCE_FIELDS = "source_file_name, source_system"
 RAW_FIELDS = f"raw_movement_id, {SOURCE_FIELDS}, {MOVEMENT_FIELDS}"
@@ -380,11 +399,11 @@ from brands b full join (select brand_code, 'New ' || min(p_type) brand_name
         "mark_file_processed": "select distinct source_file_name file_name, source_system from raw_movements",
         "inventory_apply": """select i.store_id, i.product_id, cast(i.stock_qty + coalesce(d.net_qty, 0) as int) stock_qty
 from inventory i left join delta d on d.store_id = i.store_id and d.product_id = i.product_id""",
-        "mark_loaded": """select cleaned_movement_id, loaded or raw_movement_id % 5 = 1 loaded,
-  epoch_us(case when raw_movement_id % 5 = 1 then timestamp '2024-03-01' else loaded_at end) loaded_at
+        "mark_loaded": f"""select cleaned_movement_id, loaded or raw_movement_id % 5 = 1 loaded,
+  {moment("case when raw_movement_id % 5 = 1 then timestamp '2024-03-01' else loaded_at end")} loaded_at
 from cleaned_movements""",
-        "touch_updated_at": """select i.store_id, i.product_id,
-  epoch_us(case when d.net_qty is not null then timestamp '2024-03-01' else i.updated_at end) updated_at
+        "touch_updated_at": f"""select i.store_id, i.product_id,
+  {moment("case when d.net_qty is not null then timestamp '2024-03-01' else i.updated_at end")} updated_at
 from inventory i left join delta d on d.store_id = i.store_id and d.product_id = i.product_id""",
         # ---- projections, filters, rules ----------------------------------------------------
         **{
@@ -574,10 +593,10 @@ from (select store_id, shelf_id, count(distinct brand_code) brands, count(distin
       sum(quantity * unit_sale_price) - sum(quantity * unit_cost) margin
     from shelf_moves where movement_type = 'sale' group by all) m
   on m.store_id = d.store_id and m.shelf_id = d.shelf_id""",
-        "pipeline_runs": """select 'transform' pipeline_step, source_file_name, 'success' status, count(*) rows_processed,
+        "pipeline_runs": f"""select 'transform' pipeline_step, source_file_name, 'success' status, count(*) rows_processed,
   count(*) filter (error_reason is null) rows_success, count(*) filter (error_reason is not null) rows_failed,
-  cast(null as varchar) error_message, epoch_us(timestamp '2024-02-01 00:00:00') started_at,
-  epoch_us(timestamp '2024-02-01 00:00:12.345') completed_at, cast(12.35 as double) duration_seconds
+  cast(null as varchar) error_message, {moment("timestamp '2024-02-01 00:00:00'")} started_at,
+  {moment("timestamp '2024-02-01 00:00:12.345'")} completed_at, cast(12.35 as double) duration_seconds
 from validated group by source_file_name""",
         "replenishment_candidates": """select i.store_id, i.product_id, i.stock_qty, minimum_stock_threshold, supplier_id, is_primary_supplier,
   cast(greatest(1, floor(reorder_lot * case when is_primary_supplier then 1.25 else 0.75 end),
@@ -599,4 +618,9 @@ from inventory i left join (select store_id, product_id,
     sum(case when movement_type = 'purchase' then quantity else -quantity end) net
   from cleaned_movements group by all) d on d.store_id = i.store_id and d.product_id = i.product_id""",
     }
-    return {key: query(body) for key, body in found.items()}
+
+    def as_double(key: str, body: str) -> str:
+        casts = ", ".join(f"cast({c} as double) as {c}" for c in NULLABLE.get(key, []))
+        return f"select * replace ({casts}) from ({body})" if casts else body
+
+    return {key: as_double(key, query(body)) for key, body in found.items()}

@@ -20,6 +20,7 @@ from storespark.session import shared_folder
 from storespark.sources import csv_files, writers
 from storespark.streaming.ingest import stream_ingest, stream_pipeline
 from storespark.tables import Tables
+from storespark.testbed.oracle import NULLABLE
 from storespark.testbed.adapters import CLASS_RULES, SHARES, SPELLINGS, STORES, Testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,16 +38,16 @@ LINE = ["store_id", "product_id", "movement_type", "quantity", "movement_date"]
 SLOT = ["store_id", "shelf_id", "shelf_level", "zone", "slot_number"]
 
 
-def portable(df: DataFrame) -> DataFrame:
-    """Dates as text, times in microseconds and money as double, which every engine compares alike."""
+def portable(df: DataFrame, nullable: list[str]) -> DataFrame:
+    """Dates and times as text, money and the ``nullable`` columns as double, which every engine compares alike."""
     columns = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DateType):
             c = c.cast("string").alias(f.name)
         elif isinstance(f.dataType, T.TimestampType):
-            c = F.unix_micros(c).alias(f.name)
-        elif isinstance(f.dataType, T.DecimalType):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(f.name)
+        elif isinstance(f.dataType, T.DecimalType) or f.name in nullable:
             c = c.cast("double").alias(f.name)
         columns.append(c)
     return df.select(*columns)
@@ -58,9 +59,10 @@ def register(name: str | None = None):
     def add(f: Callable[[Testbed, Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
             bed = Testbed(spark, folder)
-            return portable(f(bed, bed.tables()))
+            return portable(f(bed, bed.tables()), NULLABLE.get(key, []))
 
-        QUERIES[name or f.__name__] = run
+        key = name or f.__name__
+        QUERIES[key] = run
         return f
 
     return add
