@@ -7,7 +7,9 @@ from decimal import Decimal
 
 import duckdb
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "labels",
+]
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
