@@ -17,7 +17,7 @@ def op2_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_license_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, folder, "documents"))
-    return found.drop("detections").withColumn("n_detections", F.size(found["detections"]).cast("long"))
+    return found.withColumn("n_detections", F.size("detections").cast("long")).drop("detections")
 
 
 def op8_water_filling(spark: SparkSession, folder: str) -> DataFrame:
