@@ -10,23 +10,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storespark.llm import exact_dedup, mixing
+from storespark.llm import dartminhash, exact_dedup, mixing, packing, toxicity
 from storespark.llm.common import materialise, table
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go; the classifier learns from the labelled ones among ``docs``."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return exact_dedup.drop_exact_duplicates(docs)
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays."""
+    return dartminhash.drop_near_duplicates(docs)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out so that each source comes near its target."""
     return mixing.repeat_documents(docs)
 
 
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces in sequences with little padding."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity_stage),
     ("exact_dedup", exact_dedup_stage),
+    ("near_dedup", near_dedup_stage),
     ("mixing", mixing_stage),
+    ("packing", packing_stage),
 ]
 
 #: Trees, sketches and a public tokenizer are beyond SQL; tests compare with brute force instead.

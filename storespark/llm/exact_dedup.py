@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storespark.llm.common import materialise, text_or_empty
+from storespark.llm.common import kept_rows, materialise, text_or_empty
 
 #: A chunk ends at the first of these characters past LEAST, or after MOST characters.
 ENDS = ".,;:!?"
@@ -111,15 +111,11 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
 
     Rows that repeat both doc_id and normalised text count as one document; its longest text stays.
     """
+
     def named(doc_id: Column, sha: Column) -> Column:
         return F.concat_ws(":", sha, doc_id.cast("string"))
 
     stay = exact_duplicates(docs).where("kept")
     stay = stay.select(named(F.col("doc_id"), F.col("text_sha256")).alias("_name")).distinct()
-    row = docs.select(
-        named(docs["doc_id"], F.sha2(normalised(F.coalesce(docs["text"], F.lit(""))), 256)).alias("_name"),
-        F.struct(*docs.columns).alias("_doc"),
-    )
-    kept = row.join(stay, "_name", "left_semi")
-    longest = F.max_by("_doc", F.length(F.coalesce("_doc.text", F.lit("")))).alias("_doc")
-    return kept.groupBy("_name").agg(longest).select("_doc.*")
+    sha = F.sha2(normalised(F.coalesce(docs["text"], F.lit(""))), 256)
+    return kept_rows(docs, named(docs["doc_id"], sha), stay)

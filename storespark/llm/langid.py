@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from storespark.llm.common import fold, small_batches
+from storespark.llm.common import fold, arrow_ready
 
 GRAMS = (3, 4)
 PER_LANGUAGE, MIN_SHARE, RIVAL_SHARE, MOST_GRAMS = 3000, 0.03, 0.3, 20_000
@@ -126,7 +126,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
     To the driver come the languages and at most ``MOST_GRAMS`` n-grams of each.
     """
-    small_batches(docs.sparkSession)
+    arrow_ready(docs.sparkSession)
     labelled = docs.where(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 0)).select("doc_id", "lang", "text")
     sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     if not sizes:
@@ -183,7 +183,7 @@ def predictor(shared):
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score of every row; only doc_id and text are read."""
-    small_batches(docs.sparkSession)
+    arrow_ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select("doc_id", "text").mapInArrow(predictor(shared), "doc_id bigint, lang_pred string, score double")
 

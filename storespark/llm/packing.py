@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storespark.llm.common import small_batches, text_or_empty
+from storespark.llm.common import arrow_ready, text_or_empty
 
 WINDOW, POOL, CACHE = 1024, 20_000, 300_000
 END_ID = 0
@@ -223,7 +223,7 @@ def packer(window: int, path: str | None):
 
 def pack(docs: DataFrame, window: int = WINDOW, tokenizer_path: str | None = None) -> DataFrame:
     """A row per piece of every row of ``docs`` (doc_id, text): where it starts, its sequence and its place there."""
-    small_batches(docs.sparkSession)
+    arrow_ready(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint"), text_or_empty().alias("text")).mapInArrow(
         packer(window, tokenizer_path), PIECES
     )

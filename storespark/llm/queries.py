@@ -7,27 +7,78 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storespark.llm import exact_dedup, licenses, mixing
+from storespark.llm import (
+    dartminhash,
+    exact_dedup,
+    fingerprints,
+    langid,
+    licenses,
+    mixing,
+    packing,
+    secrets,
+    toxicity,
+    warc_zip,
+)
 from storespark.llm.common import table
 
 
+def op1_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, folder, "documents")).drop("found")
+
+
 def op2_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents")).drop("n_chunks")
 
 
+def op3_toxicity_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_license_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, folder, "documents"))
     return found.withColumn("n_detections", F.size("detections").cast("long")).drop("detections")
 
 
+def op5_dartminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return dartminhash.near_duplicates(table(spark, folder, "documents")).drop("name")
+
+
+def op6_language_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.languages(table(spark, folder, "documents"))
+
+
+def op7_weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
 def op8_water_filling(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "repeats"
     )
 
 
+def op9_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+def op10_warc_packages(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_zip.archive_pages(table(spark, folder, "pages")).drop("url")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_chunk_recipes, op4_license_rules, op8_water_filling)
+    f.__name__: f
+    for f in (
+        op1_secret_ownership,
+        op2_chunk_recipes,
+        op3_toxicity_trees,
+        op4_license_rules,
+        op5_dartminhash,
+        op6_language_filters,
+        op7_weighted_sampling,
+        op8_water_filling,
+        op9_bin_slack,
+        op10_warc_packages,
+    )
 }
 
 ORACLE: dict[str, str] = {
@@ -73,4 +124,14 @@ picked as (
     as repeats from placed)
 select doc_id, size, cast(source_size as bigint) as source_size, target,
   cast(size * repeats as bigint) as taken, cast(repeats as bigint) as repeats from picked""",
+    "op10_warc_packages": """
+with t as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest,
+    case when strlen(coalesce(html, '')) >= 1000
+      then max(page_id) over (partition by coalesce(html, '')) else page_id end as first_id
+  from pages)
+select page_id, payload_bytes, payload_digest,
+  case when page_id = first_id then 'response' else 'revisit' end as record_type,
+  case when page_id <> first_id then first_id end as refers_to
+from t""",
 }

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storespark.llm.common import materialise, small_batches
+from storespark.llm.common import materialise, arrow_ready
 
 ANY_CASE = re.ASCII | re.IGNORECASE
 #: kind, words of which a lower-cased text must hold one, expression, group of the value, least length of that group
@@ -119,7 +119,7 @@ def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def scan(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
-    small_batches(docs.sparkSession)
+    arrow_ready(docs.sparkSession)
     rows = docs.select("doc_id", owner.cast("string").alias("owner"), repo.cast("string").alias("repo"), "text")
     return rows.mapInArrow(scan_batches, SCANNED)
 

@@ -33,7 +33,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storespark.llm.common import materialise, small_batches
+from storespark.llm.common import materialise, arrow_ready
 from storespark.session import shared_folder
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
@@ -186,7 +186,7 @@ def with_references(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
 
 def write_packages(pages: DataFrame, folder: str, least: int = LEAST_REVISIT, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
     """Write all pages; returns package, bytes and records of every finished package."""
-    small_batches(pages.sparkSession)
+    arrow_ready(pages.sparkSession)
     written = with_references(pages, least).mapInArrow(
         package_writer(folder, package_bytes), "package string, bytes bigint, records bigint"
     )
@@ -341,7 +341,7 @@ def read_packages(packages: DataFrame, folder: str, payloads: bool = False) -> D
     Indexes are read first; then records are dealt out by package and place, so
     that a large package is read by several tasks, each front to back.
     """
-    small_batches(packages.sparkSession)
+    arrow_ready(packages.sparkSession)
     places = packages.select("package").repartition("package").mapInArrow(index_reader(folder), "package string, at bigint, size bigint")
     block = F.floor(F.col("at") / (32 << 20))
     dealt = places.repartition("package", block).sortWithinPartitions("package", "at")
