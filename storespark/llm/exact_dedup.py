@@ -72,9 +72,9 @@ def exact_duplicates(docs: DataFrame, key: Callable[[Column], Column] = chunk_ke
     the one with the most code points, then the smallest doc_id, stays.
     """
     recipe = materialise(recipes(docs, key), "recipes")
-    doubtful = (
-        recipe.select("_row", F.explode("keys").alias("key")).join(shared_keys(recipe), "key").select("_row").distinct()
-    )
+    # written, so that where none is shared the join below moves nothing
+    shared = materialise(shared_keys(recipe), "shared-keys")
+    doubtful = recipe.select("_row", F.explode("keys").alias("key")).join(shared, "key").select("_row").distinct()
     # a recipe without a doubtful identifier is compared by identifiers, any other by digests
     verified = recipe.join(doubtful.withColumn("_doubt", F.lit(True)), "_row", "left").select(
         "_row",
