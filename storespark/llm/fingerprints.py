@@ -170,7 +170,7 @@ def in_ranges(docs: DataFrame, n_ranges: int) -> DataFrame:
     """
     bounds = sorted(set(docs.approxQuantile("doc_id", [i / n_ranges for i in range(1, n_ranges)], 0.25 / n_ranges)))
     rows = docs.select(
-        F.col("doc_id").cast("bigint"), text_or_empty().alias("text"), F.col("doc_id").cast("double").alias("_id")
+        F.col("doc_id").cast("bigint"), text_or_empty().alias("text"), F.coalesce(F.col("doc_id").cast("double"), F.lit(float("nan"))).alias("_id")
     )
     rows = Bucketizer(
         splits=[-np.inf, *(bounds or [0.0]), np.inf], inputCol="_id", outputCol="_range", handleInvalid="keep"

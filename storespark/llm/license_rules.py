@@ -29,17 +29,17 @@ LICENCES: list[tuple[str, str, list[str], list[str], list[str]]] = [
     ("apache-1.1", "apache", [rf"Apache (?:Software )?License{VERSION}1\.1"], [r"apache\.org/licenses/LICENSE-1\.1"], ["Apache-1.1"]),
     ("apache-2.0", "apache", [rf"Apache (?:Software |Public )?License{VERSION}2(?:\.0)?", r"Apache 2(?:\.0)? License"], [r"apache\.org/licenses/LICENSE-2\.0"], ["Apache-2.0"]),
     ("gpl-1.0", "general", [rf"GNU General Public License{VERSION}1(?:\.0)?"], [], ["GPL-1.0", "GPL-1.0-only", "GPL-1.0-or-later"]),
-    ("gpl-2.0", "general", [rf"General Public License{VERSION}2(?:\.0)?"], [r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0"], ["GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later"]),
-    ("gpl-3.0", "general", [rf"General Public License{VERSION}3(?:\.0)?"], [r"gnu\.org/licenses/gpl-3\.0"], ["GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"]),
+    ("gpl-2.0", "general", [rf"(?:GNU )?General Public License{VERSION}2(?:\.0)?"], [r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0"], ["GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later"]),
+    ("gpl-3.0", "general", [rf"(?:GNU )?General Public License{VERSION}3(?:\.0)?"], [r"gnu\.org/licenses/gpl-3\.0"], ["GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"]),
     ("gpl-2.0", "gpl", [r"GNU GPL v?2(?:\.0)?", r"GPL v?2(?:\.0)?", r"GPLv2\+?"], [], []),
     ("gpl-3.0", "gpl", [r"GNU GPL v?3(?:\.0)?", r"GPL v?3(?:\.0)?", r"GPLv3\+?"], [], []),
     ("gpl", "gpl", ["GNU GPL", "GPL License", "under the GPL"], [r"gnu\.org/(?:copyleft|licenses)/gpl\.html"], []),
-    ("lgpl-2.0", "general", [rf"Library General Public License{VERSION}2(?:\.0)?"], [], ["LGPL-2.0", "LGPL-2.0-only", "LGPL-2.0-or-later"]),
-    ("lgpl-2.1", "general", [rf"Lesser General Public License{VERSION}2\.1"], [r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1"], ["LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later"]),
-    ("lgpl-3.0", "general", [rf"Lesser General Public License{VERSION}3(?:\.0)?"], [r"gnu\.org/licenses/lgpl-3\.0"], ["LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"]),
+    ("lgpl-2.0", "general", [rf"(?:GNU )?Library General Public License{VERSION}2(?:\.0)?"], [], ["LGPL-2.0", "LGPL-2.0-only", "LGPL-2.0-or-later"]),
+    ("lgpl-2.1", "general", [rf"(?:GNU )?Lesser General Public License{VERSION}2\.1"], [r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1"], ["LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later"]),
+    ("lgpl-3.0", "general", [rf"(?:GNU )?Lesser General Public License{VERSION}3(?:\.0)?"], [r"gnu\.org/licenses/lgpl-3\.0"], ["LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"]),
     ("lgpl", "lgpl", ["GNU LGPL", "LGPL License", "under the LGPL", r"LGPLv[23](?:\.1)?\+?"], [], []),
     ("lgpl", "lesser", ["GNU Lesser General Public License", "Lesser General Public License"], [], []),
-    ("agpl-3.0", "affero", [rf"Affero General Public License{VERSION}3(?:\.0)?", "GNU Affero General Public License"], [r"gnu\.org/licenses/agpl-3\.0"], ["AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"]),
+    ("agpl-3.0", "affero", [rf"(?:GNU )?Affero General Public License{VERSION}3(?:\.0)?", "GNU Affero General Public License"], [r"gnu\.org/licenses/agpl-3\.0"], ["AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"]),
     ("agpl", "agpl", ["GNU AGPL", "AGPL License", r"AGPLv3\+?"], [], []),
     ("fdl", "free documentation", [rf"GNU Free Documentation License(?:{VERSION}1\.[123])?"], [r"gnu\.org/licenses/fdl"], ["GFDL-1.1", "GFDL-1.2", "GFDL-1.3"]),
     ("bsd-2-clause", "bsd", [r"(?:2|two)-Clause BSD License", r"BSD 2-Clause(?: License)?", "Simplified BSD License", "FreeBSD License"], [r"opensource\.org/licenses/bsd-2-clause"], ["BSD-2-Clause"]),
@@ -140,6 +140,6 @@ def rules() -> list[Rule]:
         for identifier in identifiers:
             quoted = identifier.replace(".", r"\.").replace("+", r"\+")
             made.append(Rule("spdx", rf"(?i)SPDX-License-Identifier:\s{{0,4}}\(?{quoted}(?![A-Za-z0-9.-])", label, 1, 0.99))
-    made.append(Rule("licen", "(?i)" + _edge(GRANT.rstrip("?")), "unknown", 4, 0.4))
+    made.append(Rule("licen", "(?i)(?<![A-Za-z0-9])" + GRANT, "unknown", 4, 0.4))
     made.append(Rule("copyright", r"(?i)copyright\s{1,4}(?:\(c\)|©)?\s{0,4}(?:19|20)\d\d", "copyright", 4, 0.3))
     return made

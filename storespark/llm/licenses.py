@@ -29,6 +29,8 @@ SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 #: Fixed phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 BASE_CONFIDENCE = 0.9
+#: A bare "licensed under" belongs to a named licence that begins so many characters after it at most.
+GRANT_REACH = 24
 SPAN = "struct<from:int,to:int>"
 FOUND = "struct<from:int,minus_to:int,priority:int,label:string,confidence:double>"
 
@@ -127,7 +129,7 @@ def suppressed(found: Column) -> Column:
     def without_bare(kept: Column) -> Column:
         def alone(named: Column) -> Column:
             touched = lambda d: F.exists(
-                named, lambda n: (n["from"] <= -d["minus_to"]) & (d["from"] <= -n["minus_to"])
+                named, lambda n: (n["from"] <= -d["minus_to"] + GRANT_REACH) & (d["from"] <= -n["minus_to"])
             )
             return F.filter(kept, lambda d: (d["priority"] < 4) | ~touched(d))
 
