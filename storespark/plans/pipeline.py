@@ -22,13 +22,15 @@ from storespark.operators.joins import active_positions, attach, enrich_shelf_po
 from storespark.operators.stock import inventory_apply, net_stock_delta
 from storespark.operators.validation import CLEANED_COLUMNS, FACT_COLUMNS, validate
 from storespark.plans.runlog import RunLog
-from storespark.sources.csv_files import list_files, raw_ingest
-from storespark.sources.writers import append_rows, has_rows, read_or_empty
+from storespark.sources.csv_files import OTHER_HEADER, hidden_names, list_files, read_in_order
+from storespark.sources.writers import append_rows, delete_folder, has_rows, read_or_empty
 from storespark.tables import Tables
 
 _MOVED = schemas.TABLES["movements"]
 _STORED = {
-    "raw_movements": [*schemas.TABLES["raw_movements"].fields, "violation boolean", "batch_id bigint"],
+    "raw_movements": [
+        *schemas.TABLES["raw_movements"].fields, "violation boolean", f"{OTHER_HEADER} string", "batch_id bigint",
+    ],
     "validated_movements": [
         *[_MOVED[c] for c in CLEANED_COLUMNS],
         "batch_id bigint", "error_reason string", "error_details string", "outcome string",
@@ -36,9 +38,14 @@ _STORED = {
     "movements": [_MOVED[c] for c in FACT_COLUMNS],
     "inventory": [*schemas.TABLES["inventory"].fields],
 }
-_COMMITS = "step string, batch_id bigint, attempt_id string, origin string, committed_at timestamp"
+_COMMITS = (
+    "step string, batch_id bigint, attempt_id string, origin string, sequence bigint, last_id bigint, committed_at timestamp"
+)
 _LEDGER = "file_name string, source_system string, processed_at timestamp, batch_id bigint, attempt_id string"
-_BATCH_BITS, _TASK_BITS, _ROW_BITS = 14, 20, 29
+#: stock snapshots that stay: the present one and those that readers may still hold
+KEPT_SNAPSHOTS = 2
+#: bytes of a header line with every name quoted, a byte order mark and a line end
+_HEADER_BYTES = len(",".join(schemas.MOVEMENT_COLUMNS)) + 2 * len(schemas.MOVEMENT_COLUMNS) + 5
 
 
 def _stored_ddl(name: str) -> str:
@@ -46,20 +53,13 @@ def _stored_ddl(name: str) -> str:
     return ", ".join([*fields, "attempt_id string"])
 
 
-def row_id(batch_id: int) -> Column:
-    """A number no other raw row has: batch, task and row within the task, packed into a bigint.
+def row_id(after: int) -> Column:
+    """Numbers above ``after`` that no other raw row has: position in the batch on top of the last batch's highest.
 
-    Needs no shuffle and no hash; a batch, task or row number that does not fit is an error.
+    Needs no shuffle and no hash. A batch takes 2^33 numbers per task, so 2^30 tasks fit in a warehouse's life;
+    beyond that the sum is an error.
     """
-    if not 0 <= batch_id < 2**_BATCH_BITS:
-        raise ValueError(f"batch {batch_id} does not fit into {_BATCH_BITS} bits")
-    position = F.monotonically_increasing_id()
-    task, row = F.shiftright(position, 33), position.bitwiseAND(F.lit(2**33 - 1))
-    packed = (
-        F.lit(batch_id).cast("bigint") * F.lit(2 ** (_TASK_BITS + _ROW_BITS)) + task * F.lit(2**_ROW_BITS) + row
-    )
-    fits = (task < 2**_TASK_BITS) & (row < 2**_ROW_BITS)
-    return F.when(fits, packed).otherwise(F.raise_error(F.lit("too many rows or tasks in one batch")).cast("bigint"))
+    return F.lit(after).cast("bigint") + F.lit(1).cast("bigint") + F.monotonically_increasing_id()
 
 
 @dataclass(frozen=True)
@@ -76,6 +76,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str, source_system: str = fixed.SOURCE_SYSTEM):
         self.spark, self.root, self.source_system = spark, root.rstrip("/"), source_system
+        self.reordered: dict[str, list[str]] = {}
         self.runs = RunLog(spark, self.path("pipeline_runs"))
 
     def path(self, name: str) -> str:
@@ -96,10 +97,14 @@ class Warehouse:
     def processed_files(self) -> DataFrame:
         return self.ledger().select(*schemas.TABLES["processed_files"].fieldNames())
 
-    def commit(self, step: str, batch_ids: list[int], attempt: str, origin: str | None = None) -> None:
+    def commit(
+        self, step: str, batch_ids: list[int], attempt: str, origin: str | None = None, last_id: int | None = None
+    ) -> None:
+        """Commits are ordered by their sequence number, not by the clock."""
+        sequence = (self.commits().agg(F.max("sequence")).first()[0] or 0) + 1
         rows = self.spark.createDataFrame(
-            [(step, b, attempt, origin) for b in batch_ids],
-            "step string, batch_id bigint, attempt_id string, origin string",
+            [(step, b, attempt, origin, sequence, last_id) for b in batch_ids],
+            "step string, batch_id bigint, attempt_id string, origin string, sequence bigint, last_id bigint",
         )
         append_rows(rows.coalesce(1).withColumn("committed_at", F.current_timestamp()), self.path("step_commits"))
 
@@ -114,7 +119,9 @@ class Warehouse:
         return read_or_empty(self.spark, self.path(name), _stored_ddl(name))
 
     def _attempt_rows(self, name: str, attempts: list[str]) -> DataFrame:
-        return self._stored(name).filter(F.col("attempt_id").isin(attempts))
+        """Only the attempts' own folders are listed."""
+        ddl = _stored_ddl(name)
+        return read_or_empty(self.spark, self.path(name), ddl, [f"attempt_id={a}" for a in attempts])
 
     def _committed(self, name: str, step: str) -> DataFrame:
         log = self.commits().filter(F.col("step") == step)
@@ -181,10 +188,17 @@ class Warehouse:
         return self._committed("movements", "load").select(F.col("raw_movement_id").alias("movement_id"), *FACT_COLUMNS)
 
     def inventory(self) -> DataFrame:
-        last = self.commits().filter("step in ('load', 'stock')").agg(
-            F.max_by("attempt_id", F.struct("committed_at", "batch_id"))
-        )
-        return self._attempt_rows("inventory", [last.first()[0]]).select(*schemas.TABLES["inventory"].fieldNames())
+        last = self._snapshots()[:1]
+        return self._attempt_rows("inventory", last).select(*schemas.TABLES["inventory"].fieldNames())
+
+    def _snapshots(self) -> list[str]:
+        """The attempts of the newest stock snapshots, newest first: two commits more than are kept, at most."""
+        log = self.commits().filter("step in ('load', 'stock')").groupBy("attempt_id").agg(F.max("sequence").alias("n"))
+        return [r.attempt_id for r in log.orderBy(F.desc("n")).limit(KEPT_SNAPSHOTS + 2).collect()]
+
+    def _expire_snapshots(self) -> None:
+        for attempt in self._snapshots()[KEPT_SNAPSHOTS:]:
+            delete_folder(self.spark, f"{self.path('inventory')}/attempt_id={attempt}")
 
     def put_table(self, name: str, df: DataFrame) -> None:
         """Replace a master table."""
@@ -208,24 +222,29 @@ class Warehouse:
         """Write typed movements and accept the files whose rows keep the structure.
 
         ``files`` lists file_name and length, so that files without rows are
-        known too. The CSV is parsed once; file checks read two columns of what
-        was written.
+        known too. The CSV is parsed once; file checks read three columns of
+        what was written. Files with their columns in another order are not
+        decided on: ``reordered`` tells them.
         """
-        started = self.runs.start()
-        last = self.commits().filter("step = 'extract'").agg(F.coalesce(F.max("batch_id"), F.lit(0))).first()[0]
-        batch_id = last + 1
+        started = self.runs.start("extract")
+        last = self.commits().filter("step = 'extract'").agg(
+            F.coalesce(F.max("batch_id"), F.lit(0)).alias("batch"), F.coalesce(F.max("last_id"), F.lit(0)).alias("id")
+        ).first()
+        batch_id = last["batch"] + 1
+        if OTHER_HEADER not in typed.columns:
+            typed = typed.withColumn(OTHER_HEADER, F.lit(None).cast("string"))
         rows = typed.withColumns(
             {
-                "raw_movement_id": row_id(batch_id),
+                "raw_movement_id": row_id(last["id"]),
                 "batch_id": F.lit(batch_id).cast("bigint"),
                 "ingestion_timestamp": F.current_timestamp(),
             }
         )
         attempt = self._write(rows, "raw_movements", ["source_file_name"])
-        # one row per file, asked three times; a lost block is counted again from the written rows
-        outcomes = self._file_outcomes(self._attempt_rows("raw_movements", [attempt]), files).cache()
-        accepted = outcomes.filter(F.col("error_message").isNull())
-        ledger = accepted.select(
+        # one row per file, asked a few times; a lost block is counted again from the written rows
+        counted = self._file_outcomes(self._attempt_rows("raw_movements", [attempt]), files).cache()
+        outcomes = counted.filter(F.col("order").isNull())
+        ledger = outcomes.filter(F.col("error_message").isNull()).select(
             F.col("source_file_name").alias("file_name"),
             F.lit(self.source_system).alias("source_system"),
             F.current_timestamp().alias("processed_at"),
@@ -233,27 +252,45 @@ class Warehouse:
             F.lit(attempt).alias("attempt_id"),
         )
         append_rows(ledger.coalesce(1), self.path("processed_files"))
-        self.commit("extract", [batch_id], attempt, origin)
-        started.finish("extract", outcomes)
-        totals = outcomes.agg(
-            F.count("*").alias("files"),
-            F.coalesce(F.sum(F.when(F.col("error_message").isNull(), F.col("rows_success"))), F.lit(0)).alias("rows"),
-            F.count_if(F.col("error_message").isNotNull()).alias("failed"),
+        totals = counted.agg(
+            F.count_if(F.col("order").isNull()).alias("files"),
+            F.coalesce(F.sum(F.when(F.col("order").isNull() & F.col("error_message").isNull(), F.col("rows_success"))), F.lit(0)).alias("rows"),
+            F.count_if(F.col("order").isNull() & F.col("error_message").isNotNull()).alias("failed"),
+            F.max("last_id").alias("last_id"),
         ).first()
-        outcomes.unpersist()
+        # logged first: what is committed is never without its rows in the log
+        started.finish("extract", outcomes)
+        self.commit("extract", [batch_id], attempt, origin, max(totals["last_id"] or 0, last["id"]))
+        other = counted.filter(F.col("order").isNotNull()).select("source_file_name", "order").collect()
+        self.reordered = {r["source_file_name"]: r["order"].split(",") for r in other}
+        counted.unpersist()
         return StepResult("extract", totals["files"], totals["rows"], totals["failed"])
 
     def _file_outcomes(self, written: DataFrame, files: DataFrame | None) -> DataFrame:
+        """A row per file, listed or read; a file that only one side knows, or that lost its rows, is a problem."""
         counted = written.groupBy("source_file_name").agg(
-            F.count("*").alias("n"), F.count_if("violation").alias("broken")
+            F.count("*").alias("n"),
+            F.count_if("violation").alias("broken"),
+            F.max(OTHER_HEADER).alias("order"),
+            F.max("raw_movement_id").alias("last_id"),
         )
         if files is None:
-            counted = counted.withColumn("length", F.col("n"))
+            counted = counted.withColumns({"length": F.col("n"), "listed": F.lit(True)})
         else:
-            per_file = files.groupBy(F.col("file_name").alias("source_file_name")).agg(F.sum("length").alias("length"))
-            counted = per_file.join(counted, "source_file_name", "left").fillna(0, ["n", "broken"])
-        problem = F.when(F.col("length") == 0, F.lit("no columns to parse from file")).when(
-            F.col("broken") > 0, F.concat(F.col("broken").cast("string"), F.lit(" rows break the raw table's structure"))
+            per_file = files.groupBy(F.col("file_name").alias("source_file_name")).agg(
+                F.sum("length").alias("length"), F.count("*").alias("parts")
+            ).withColumn("listed", F.lit(True))
+            counted = per_file.join(counted, "source_file_name", "full").fillna(0, ["n", "broken"]).fillna(False, ["listed"])
+            counted = counted.withColumn("length", F.coalesce("length", F.lit(1)))
+        rows_lost = F.lit(False) if files is None else (F.col("n") == 0) & (F.col("length") > _HEADER_BYTES * F.col("parts"))
+        problem = (
+            F.when(~F.col("listed"), F.lit("rows of a file that was not listed"))
+            .when(F.col("length") == 0, F.lit("no columns to parse from file"))
+            .when(rows_lost, F.lit("no row was read from a file that holds more than its header"))
+            .when(
+                F.col("broken") > 0,
+                F.concat(F.col("broken").cast("string"), F.lit(" rows break the raw table's structure")),
+            )
         )
         return counted.select(
             "source_file_name",
@@ -261,21 +298,56 @@ class Warehouse:
             F.col("n").alias("rows_success"),
             F.lit(0).cast("bigint").alias("rows_failed"),
             problem.alias("error_message"),
+            "order",
+            "last_id",
         )
 
-    def extract(self, folder: str) -> StepResult:
-        """Read every file the ledger does not know. An error is logged and reported, not raised."""
+    def extract(self, folder: str, most: int | None = None) -> StepResult:
+        """Read every file the ledger does not know, or the first ``most`` drops. Errors are logged and reported.
+
+        A file that cannot be read fails alone; one with its columns in another order is read in that order.
+        """
         new = new_files(list_files(self.spark, folder), self.processed_files()).select("file_name", "path", "length")
         # one entry per file, which Spark's own file index holds on the driver anyway; fixed before the ledger grows
-        found = new.collect()
-        if not found:
-            return StepResult("extract")
-        files = self.spark.createDataFrame(found, new.schema)
-        paths = [f.path for f in found]
-        self.runs.start()
-        return self._guarded(
-            "extract", files, lambda: self.store_raw(raw_ingest(self.spark, paths, self.source_system), files)
-        )
+        found = new.orderBy("file_name", "path").collect()
+        if most:
+            names = list(dict.fromkeys(f.file_name for f in found))[:most]
+            found = [f for f in found if f.file_name in set(names)]
+        hidden = hidden_names(self.spark, folder)
+        if hidden:
+            message = "names that start with _ or . are passed over by the readers; rename the file"
+            self.runs.start("extract").fail_files("extract", [(name, message) for name in hidden])
+        result = self._extract_files(folder, found) if found else StepResult("extract")
+        return StepResult(
+            "extract", result.files + len(hidden), result.rows, result.failed_files + len(hidden), result.error
+        ) if hidden else result
+
+    def _extract_files(self, folder: str, found: list, order: list[str] | None = None) -> StepResult:
+        """``found`` as one batch; where a file cannot be read, its halves, down to the drop that is at fault."""
+        files = self.spark.createDataFrame(found, "file_name string, path string, length bigint")
+        try:
+            typed = read_in_order(self.spark, [f.path for f in found], self.source_system, folder, order)
+            done = self.store_raw(typed, files)
+        except Exception as error:
+            names = list(dict.fromkeys(f.file_name for f in found))
+            if "FAILED_READ_FILE" not in str(error) or len(names) == 1:
+                self.runs.fail_files("extract", [(name, str(error)) for name in names])
+                return StepResult("extract", files=len(names), failed_files=len(names), error=str(error))
+            self.runs.fail("extract", f"{len(names)} drops are read in two parts, as one cannot be read: {error}")
+            first = set(names[: len(names) // 2])
+            parts = [[f for f in found if (f.file_name in first) == side] for side in (True, False)]
+            return self._sum([self._extract_files(folder, part, order) for part in parts])
+        results = [done]
+        for other in {tuple(o) for o in self.reordered.values()}:
+            again = [f for f in found if tuple(self.reordered.get(f.file_name, ())) == other]
+            results.append(self._extract_files(folder, again, list(other)))
+        return self._sum(results)
+
+    @staticmethod
+    def _sum(results: list[StepResult]) -> StepResult:
+        error = next((r.error for r in results if r.error), None)
+        totals = [sum(getattr(r, f) for r in results) for f in ("files", "rows", "failed_files")]
+        return StepResult("extract", *totals, error)
 
     def _guarded(self, step: str, files: DataFrame, work: Callable[[], StepResult]) -> StepResult:
         try:
@@ -284,7 +356,7 @@ class Warehouse:
             nothing = F.lit(None).cast("bigint")
             failed = files.select(F.col("file_name").alias("source_file_name")).distinct().select(
                 "source_file_name", nothing.alias("rows_processed"), nothing.alias("rows_success"),
-                nothing.alias("rows_failed"), F.lit(str(error)[:2000]).alias("error_message"),
+                nothing.alias("rows_failed"), F.lit(str(error)).alias("error_message"),
             )
             self.runs.finish(step, failed)
             return StepResult(step, failed_files=failed.count(), error=str(error))
@@ -294,7 +366,7 @@ class Warehouse:
         todo = self.pending("transform", "extract")
         if not todo:
             return StepResult("transform")
-        self.runs.start()
+        self.runs.start("transform")
         raw = self._of_ledger(self._attempt_rows("raw_movements", list(todo.values())))
         files = self.ledger().filter(F.col("batch_id").isin(list(todo))).select("file_name")
         return self._guarded("transform", files, lambda: self._transform(raw, list(todo)))
@@ -310,7 +382,6 @@ class Warehouse:
             ["outcome", "source_file_name"],
             gather=None if in_place else "source_file_name",
         )
-        self.commit("transform", batches, attempt)
         # folder columns only: counts come from file footers
         counts = self._attempt_rows("validated_movements", [attempt]).groupBy("source_file_name").agg(
             F.count("*").alias("rows_processed"),
@@ -319,6 +390,7 @@ class Warehouse:
         )
         outcomes = counts.withColumn("error_message", F.lit(None).cast("string")).cache()
         self.runs.finish("transform", outcomes)
+        self.commit("transform", batches, attempt)
         total = outcomes.agg(F.count("*").alias("files"), F.sum("rows_processed").alias("rows")).first()
         outcomes.unpersist()
         return StepResult("transform", total["files"], total["rows"] or 0)
@@ -335,7 +407,7 @@ class Warehouse:
         if not any(self._exists("validated_movements", f"{a}/outcome=clean") for a in attempts):
             self.commit_without_rows(list(todo))
             return StepResult("load")
-        self.runs.start()
+        self.runs.start("load")
         try:
             # a transform attempt may cover batches that were loaded before
             clean = self._attempt_rows("validated_movements", attempts).filter(
@@ -349,20 +421,18 @@ class Warehouse:
             moved = inventory_apply(stock, delta)
             moved = moved.withColumn("attempt_id", F.lit(attempt))
             append_rows(moved, self.path("inventory"), ["attempt_id"])
-            self.commit("load", list(todo), attempt)
             n = self._attempt_rows("movements", [attempt]).count()
+            self.runs.complete("load", n, n, 0)
+            self.commit("load", list(todo), attempt)
         except Exception as error:
-            self.runs.fail("load", str(error)[:2000])
+            self.runs.fail("load", str(error))
             raise
-        self.runs.complete("load", n, n, 0)
+        self._expire_snapshots()
         return StepResult("load", rows=n)
 
     def commit_without_rows(self, batches: list[int]) -> None:
         """Close batches that hold no clean row; stock keeps its last version."""
-        last = self.commits().filter("step in ('load', 'stock')").agg(
-            F.max_by("attempt_id", F.struct("committed_at", "batch_id"))
-        ).first()[0]
-        self.commit("load", batches, last)
+        self.commit("load", batches, self._snapshots()[0])
 
     def run(self, folder: str) -> list[StepResult]:
         """All new files through the three steps, as one batch whatever the number of days."""

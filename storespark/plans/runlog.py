@@ -55,15 +55,37 @@ class RunLog:
     path: str
     started_at: dt.datetime = field(default_factory=utc_now)
 
-    def start(self) -> RunLog:
+    def start(self, step: str | None = None) -> RunLog:
+        """Begin a run; with a step, a ``running`` row tells of it even if the job is killed."""
         self.started_at = utc_now()
+        if step:
+            running = self._one(None, None, None, None, None)
+            rows = run_rows(running, step, self.started_at, self.started_at).withColumns(
+                {"status": F.lit("running"), "completed_at": F.lit(None).cast("timestamp"),
+                 "duration_seconds": F.lit(None).cast("decimal(10,2)"), "run_id": F.lit(self._next_id()).cast("bigint")}
+            )
+            append_rows(rows.coalesce(1).select(*RUN_COLUMNS), self.path)
         return self
 
-    def read(self) -> DataFrame:
+    def fail_files(self, step: str, failures: list[tuple[str, str]]) -> None:
+        """A failed row per file, with the whole message."""
+        ddl = "source_file_name string, error_message string"
+        nothing = F.lit(None).cast("bigint")
+        rows = self.spark.createDataFrame(failures, ddl)
+        self.finish(step, rows.withColumns({c: nothing for c in ("rows_processed", "rows_success", "rows_failed")}))
+
+    def _rows(self) -> DataFrame:
         return read_or_empty(self.spark, self.path, TABLES["pipeline_runs"])
 
+    def read(self) -> DataFrame:
+        """All runs; a ``running`` row is shown only until its step has logged how it ended."""
+        rows, begun = self._rows(), ["pipeline_step", "started_at"]
+        ended = rows.filter("status <> 'running'").select(*begun).distinct()
+        open_runs = rows.filter("status = 'running'").join(ended, begun, "left_anti").select(*RUN_COLUMNS)
+        return rows.filter("status <> 'running'").unionByName(open_runs)
+
     def _next_id(self) -> int:
-        return (self.read().agg(F.max("run_id")).first()[0] or 0) + 1
+        return (self._rows().agg(F.max("run_id")).first()[0] or 0) + 1
 
     def finish(self, step: str, outcomes: DataFrame) -> None:
         rows = run_rows(outcomes, step, self.started_at, utc_now())

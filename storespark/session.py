@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -33,9 +34,12 @@ def build_session(app_name: str = "storespark", master: str | None = None, **con
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (local tests) a temporary folder is used.
+    Only a local session, as in tests, may do without that setting; executors
+    of a cluster would each write to a disk of their own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         base = os.path.join(tempfile.gettempdir(), "storespark")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

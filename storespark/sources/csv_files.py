@@ -1,12 +1,14 @@
 """CSV sources.
 
 A drop ``movements_2026-01-01.csv`` is either one file or a folder of that name
-holding part files, as distributed writers leave it; a ``key=`` prefix of the
-folder is not part of the name.
+holding part files, as distributed writers leave it. Its name is its path below
+the drop folder; only a folder may carry a ``key=`` prefix, which is not part
+of the name. Cells follow the dialect in which a quote inside quotes is doubled.
 """
 
 from __future__ import annotations
 
+import re
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,18 +17,47 @@ from pyspark.sql import functions as F
 from storespark import schemas
 from storespark.functions import fixed_values as fixed
 
-_DROP_NAME = r"([^/=]+\.csv)(?:/[^/]+)?$"
 _LISTING = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
+DIALECT = {"quote": '"', "escape": '"'}
+#: a folder named like a drop, below any others, and the file inside it
+_PARTS = r"^((?:[^/]+/)*?)(?:([^/=]+)=)?([^/]+\.csv)/.*$"
+#: what reading bytes that are not UTF-8 leaves in a cell
+WRONG_BYTES = "\ufffd"
 
 
-def drop_name(path: Column) -> Column:
-    """Name of the drop a file belongs to."""
-    return F.regexp_extract(path, _DROP_NAME, 1)
+def _hadoop_path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def _same_form(path: Column) -> Column:
-    """Paths come as file:/x and as file:///x."""
-    return F.regexp_replace(path, r"^(\w+):/+", "$1:/")
+def path_below(spark: SparkSession, folder: str) -> str:
+    """The folder's full path, without scheme and host, as file paths start with it."""
+    files, path = _hadoop_path(spark, folder)
+    return files.makeQualified(path).toUri().getPath().rstrip("/")
+
+
+def drop_name(path: Column, base: str) -> Column:
+    """Name of the drop a file belongs to, from the file's encoded path."""
+    plain = F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), r"^\w+:(//[^/]*)?(?=/)", "")
+    below = F.when(plain.startswith(f"{base}/"), F.substring(plain, F.lit(len(base) + 2), F.length(plain))).otherwise(
+        F.raise_error(F.concat(F.lit(f"not below {base}: "), plain)).cast("string")
+    )
+    folder = F.regexp_extract(below, _PARTS, 3)
+    unescaped = F.coalesce(F.try_url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))), folder)
+    value = F.when(F.regexp_extract(below, _PARTS, 2) != "", unescaped).otherwise(folder)
+    return F.when(folder == "", below).otherwise(F.concat(F.regexp_extract(below, _PARTS, 1), value))
+
+
+def hidden_names(spark: SparkSession, folder: str) -> list[str]:
+    """CSV files that Spark's readers pass over, as their names start with ``_`` or ``.``."""
+    files, path = _hadoop_path(spark, folder)
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, "[_.]*.csv"))
+    return sorted(status.getPath().getName() for status in found or [])
+
+
+def literal_path(path: str) -> str:
+    """A decoded path as readers take it, with no sign left that they would expand."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,15 +66,22 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     Scans pass over files of length 0, so the names come from the file index
     that Spark holds on the driver, one entry per file.
     """
-    found = spark.read.format("binaryFile").options(**_LISTING).load(folder)
-    names = [(unquote(path),) for path in found.inputFiles()]
-    listed = spark.createDataFrame(names, "path string").withColumn("_path", _same_form(F.col("path")))
-    sizes = found.select(_same_form(F.col("path")).alias("_path"), "length")
-    return listed.join(sizes, "_path", "left").select(
-        drop_name(F.col("path")).alias("file_name"), "path", F.coalesce("length", F.lit(0)).alias("length")
+    found = spark.read.format("binaryFile").options(**_LISTING).load(literal_path(folder))
+    listed = spark.createDataFrame([(path, unquote(path)) for path in found.inputFiles()], "_encoded string, path string")
+    sizes = found.select(_same_form(F.col("_metadata.file_path")).alias("_at"), "length")
+    name = drop_name(F.col("_encoded"), path_below(spark, folder))
+    return (
+        listed.withColumn("_at", _same_form(F.col("_encoded")))
+        .join(sizes, "_at", "left")
+        .select(name.alias("file_name"), "path", F.coalesce("length", F.lit(0)).alias("length"))
     )
 
 
+def _same_form(path: Column) -> Column:
+    """Paths come as file:/x and as file:///x."""
+    return F.regexp_replace(path, r"^(\w+):/+", "$1:/")
+
+
 def source_files(spark: SparkSession, folder: str) -> DataFrame:
     """Drop names in order; empty files are listed too."""
     return list_files(spark, folder).select("file_name").distinct().orderBy("file_name")
@@ -79,7 +117,8 @@ def violation() -> Column:
     """
     types = schemas.MOVEMENT_TYPES
     kind, quantity = F.col("movement_type"), F.col("quantity")
-    bad = F.col("_malformed") | F.coalesce(~kind.isin(fixed.MOVEMENT_KINDS), F.lit(True)) | F.coalesce(quantity <= 0, F.lit(True))
+    bad = F.col("_malformed") | F.coalesce(F.contains(F.concat_ws("", "_text.*"), F.lit(WRONG_BYTES)), F.lit(False))
+    bad = bad | F.coalesce(~kind.isin(fixed.MOVEMENT_KINDS), F.lit(True)) | F.coalesce(quantity <= 0, F.lit(True))
     for name in schemas.REQUIRED:
         bad = bad | F.col(name).isNull()
     for name in [c for c, t in types.items() if t != "string" and c not in schemas.REQUIRED]:
@@ -91,44 +130,79 @@ def type_movements(text: DataFrame, source_system: str = fixed.SOURCE_SYSTEM) ->
     """Typed movements of text rows that carry their ``source_file_name``, with a ``violation`` flag."""
     types = schemas.MOVEMENT_TYPES
     malformed = F.col(schemas.MALFORMED).isNotNull() if schemas.MALFORMED in text.columns else F.lit(False)
+    others = [c for c in (OTHER_HEADER,) if c in text.columns]
     cells = text.select(
-        "source_file_name", malformed.alias("_malformed"), F.struct(*[no_token(c).alias(c) for c in types]).alias("_text")
+        "source_file_name", *others, malformed.alias("_malformed"), F.struct(*[no_token(c).alias(c) for c in types]).alias("_text")
     )
     rows = cells.select(
         "source_file_name",
         F.lit(source_system).alias("source_system"),
         *[typed(F.col(f"_text.{c}"), t).alias(c) for c, t in types.items()],
+        *others,
         "_text",
         "_malformed",
     )
     return rows.withColumn("violation", violation()).drop("_text", "_malformed")
 
 
-def movement_text(reader, paths: str | list[str]) -> DataFrame:
+#: set on a row that names all columns in another order than the one asked for
+OTHER_HEADER = "other_header"
+
+
+def movement_text(reader, paths: str | list[str], base: str, order: list[str] | None = None) -> DataFrame:
     """Cells of movement files as text, through ``spark.read`` or ``spark.readStream``.
 
-    Header lines are read as rows and dropped by their content. A file with
-    another header keeps it as a row that fits no type, so that this file alone
-    is rejected instead of shifting its columns or stopping the batch.
+    Header lines are read as rows and dropped by their content. A file whose
+    header has the columns in another ``order`` keeps it as a marked row, so
+    that the file can be read again in its own order; any other header fits no
+    type, so that this file alone is rejected.
     """
-    rows = reader.schema(schemas.MOVEMENT_CSV).option("header", False).options(**_LISTING).csv(paths)
-    header = F.lit(True)
-    for name in schemas.MOVEMENT_COLUMNS:
-        header = header & F.col(name).eqNullSafe(F.lit(name))
-    return rows.filter(~header).withColumn("source_file_name", drop_name(F.col("_metadata.file_path")))
+    order = order or schemas.MOVEMENT_COLUMNS
+    fields = [schemas.MOVEMENT_CSV[c] for c in [*order, schemas.MALFORMED]]
+    schema = type(schemas.MOVEMENT_CSV)(fields)
+    rows = reader.schema(schema).option("header", False).options(**_LISTING, **DIALECT).csv(paths)
+    trimmed = F.array(*[F.regexp_replace(F.trim(F.coalesce(F.col(c), F.lit(""))), "^\ufeff", "") for c in order])
+    header = trimmed == F.array(*map(F.lit, order))
+    named = F.array_sort(trimmed) == F.array(*map(F.lit, sorted(order)))
+    return rows.filter(~header).withColumns(
+        {
+            "source_file_name": drop_name(F.col("_metadata.file_path"), base),
+            OTHER_HEADER: F.when(named, F.array_join(trimmed, ",")),
+        }
+    )
 
 
 def raw_ingest(
-    spark: SparkSession, paths: str | list[str], source_system: str = fixed.SOURCE_SYSTEM
+    spark: SparkSession,
+    paths: str | list[str],
+    source_system: str = fixed.SOURCE_SYSTEM,
+    folder: str | None = None,
+    order: list[str] | None = None,
+) -> DataFrame:
+    """Movements of a drop folder, or of some ``paths`` below ``folder``, with their file name and system.
+
+    ``order`` is the columns' order in these files. The mark of another order
+    is left out; ``read_in_order`` keeps it.
+    """
+    return read_in_order(spark, paths, source_system, folder, order).drop(OTHER_HEADER)
+
+
+def read_in_order(
+    spark: SparkSession,
+    paths: str | list[str],
+    source_system: str = fixed.SOURCE_SYSTEM,
+    folder: str | None = None,
+    order: list[str] | None = None,
 ) -> DataFrame:
-    """Movements of the given files or folders, with their file name and system."""
-    return type_movements(movement_text(spark.read, paths), source_system)
+    base = path_below(spark, folder or paths)
+    found = [literal_path(p) for p in ([paths] if isinstance(paths, str) else paths)]
+    return type_movements(movement_text(spark.read, found, base, order), source_system)
 
 
 def products_master(spark: SparkSession, path: str) -> DataFrame:
     """Product registry CSV: ten renamed columns; an unnamed index column, where present, is left out."""
     types = {f.name: f.dataType.simpleString() for f in schemas.TABLES["products"].fields}
-    rows = spark.read.option("header", True).csv(path)
+    rows = spark.read.option("header", True).option("multiLine", True).options(**DIALECT).csv(path)
     return rows.select(
         *[cell(src, types[dst]).alias(dst) for src, dst in schemas.PRODUCT_MASTER_COLUMNS.items()]
     )
@@ -137,11 +211,12 @@ def products_master(spark: SparkSession, path: str) -> DataFrame:
 def price_list(spark: SparkSession, path: str) -> DataFrame:
     """Price list CSV (``;``): eleven renamed columns; the VAT code stays text."""
     types = {"pzxcar": "int", "brand": "int", "costo": "decimal(12,4)", "prezzo_vendita": "decimal(12,4)"}
-    rows = spark.read.option("header", True).option("sep", ";").csv(path)
+    rows = spark.read.option("header", True).option("sep", ";").option("multiLine", True).options(**DIALECT).csv(path)
     return rows.select(
         *[cell(src, types.get(dst, "string")).alias(dst) for src, dst in schemas.PRICE_LIST_COLUMNS.items()]
     )
 
 
 def brands_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.TABLES["brands"]).option("header", True).csv(path)
+    rows = spark.read.option("header", True).option("multiLine", True).options(**DIALECT).csv(path)
+    return rows.select(*schemas.TABLES["brands"].fieldNames())

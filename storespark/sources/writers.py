@@ -43,14 +43,31 @@ def has_rows(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """The rows of a folder, none where nothing has been written yet."""
+def read_or_empty(
+    spark: SparkSession, path: str, schema: StructType | str, folders: list[str] | None = None
+) -> DataFrame:
+    """The rows of a table's folder, or of some folders in it; none where nothing has been written yet."""
+    if folders is not None:
+        folders = [f"{path}/{f}" for f in folders if folder_exists(spark, f"{path}/{f}")]
+        if not folders:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).option("basePath", path).parquet(*folders)
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException:
         return spark.createDataFrame([], schema)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def load_once(df: DataFrame, path: str) -> bool:
     """Append only where the target has no rows; tells whether it did."""
     if has_rows(df.sparkSession, path):
@@ -62,4 +79,5 @@ def load_once(df: DataFrame, path: str) -> bool:
 def write_csv(df: DataFrame, path: str, sep: str = ",", partition_by: list[str] | None = None) -> None:
     """CSV with a header and no index column."""
     writer = _partitioned(df, partition_by).mode("errorifexists").option("header", True).option("sep", sep)
+    writer = writer.option("quote", '"').option("escape", '"')
     writer.option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)

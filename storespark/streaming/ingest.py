@@ -1,17 +1,18 @@
 """The drop folder as a stream.
 
-Spark's checkpoint takes every physical file once; the warehouse remembers the
-epoch of each batch it committed, so a replayed epoch adds nothing.
+The stream tells when files have come; what is loaded is decided by the
+warehouse's ledger, as in a batch. So a file that a batch or another checkpoint
+took is not loaded again, a drop of several parts is accepted or rejected as a
+whole, and files without rows reach the log. A replayed epoch finds nothing new.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from storespark.plans.pipeline import Warehouse
-from storespark.sources.csv_files import movement_text, type_movements
+from storespark.plans.pipeline import StepResult, Warehouse
+from storespark.sources.csv_files import OTHER_HEADER, movement_text, path_below, type_movements
 
 
 def movement_stream(
@@ -21,23 +22,27 @@ def movement_stream(
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return type_movements(movement_text(reader, folder), source_system)
+    return type_movements(movement_text(reader, folder, path_below(spark, folder)), source_system).drop(OTHER_HEADER)
 
 
-def _store_epoch(warehouse: Warehouse, checkpoint: str, rows: DataFrame, epoch: int) -> None:
-    origin = f"{checkpoint}#{epoch}"
-    if not warehouse.commits().filter((F.col("step") == "extract") & (F.col("origin") == origin)).isEmpty():
-        return
-    warehouse.store_raw(rows, origin=origin)
+def _extract_epoch(warehouse: Warehouse, folder: str, max_files: int | None) -> StepResult:
+    done = warehouse.extract(folder, max_files)
+    if done.error:
+        raise RuntimeError(done.error)
+    return done
+
+
+def _each_epoch(warehouse: Warehouse, folder: str, checkpoint: str, max_files: int | None, step) -> StreamingQuery:
+    rows = movement_stream(warehouse.spark, folder, warehouse.source_system, max_files)
+    writer = rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
+    return writer.foreachBatch(lambda df, epoch: step()).start()
 
 
 def stream_ingest(
     warehouse: Warehouse, folder: str, checkpoint: str, max_files: int | None = None
 ) -> StreamingQuery:
     """Raw rows of every new file, once."""
-    rows = movement_stream(warehouse.spark, folder, warehouse.source_system, max_files)
-    writer = rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
-    return writer.foreachBatch(lambda df, epoch: _store_epoch(warehouse, checkpoint, df, epoch)).start()
+    return _each_epoch(warehouse, folder, checkpoint, max_files, lambda: _extract_epoch(warehouse, folder, max_files))
 
 
 def stream_pipeline(
@@ -45,13 +50,11 @@ def stream_pipeline(
 ) -> StreamingQuery:
     """Raw, validated, fact and stock of every new file, once."""
 
-    def step(df: DataFrame, epoch: int) -> None:
-        _store_epoch(warehouse, checkpoint, df, epoch)
+    def step() -> None:
+        _extract_epoch(warehouse, folder, max_files)
         done = warehouse.transform()
         if done.error:
             raise RuntimeError(done.error)
         warehouse.load()
 
-    rows = movement_stream(warehouse.spark, folder, warehouse.source_system, max_files)
-    writer = rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
-    return writer.foreachBatch(step).start()
+    return _each_epoch(warehouse, folder, checkpoint, max_files, step)

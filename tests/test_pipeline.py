@@ -124,14 +124,90 @@ def test_broken_and_empty_files(warehouse, drops):
     assert warehouse.extract(source).rows == 2
 
 
-def test_a_file_with_another_layout_is_rejected_alone(warehouse, drops):
-    swapped = HEADER.replace("store_id,product_id", "product_id,store_id")
+def test_columns_are_read_by_name_and_other_layouts_rejected_alone(warehouse, drops):
     drops("movements_2024-01-01.csv", DAY1)
-    drops("movements_2024-01-06.csv", DAY2.replace(HEADER, swapped))
+    lines = [line.split(",") for line in DAY2.strip().split("\n")]
+    swapped = "\n".join(",".join([r[1], r[0], *r[2:]]) for r in lines) + "\n"
+    drops("movements_2024-01-06.csv", swapped)
     drops("movements_2024-01-07.csv", DAY2.replace("2024-01-02 08:00:00,2024-01-02", "2024-01-02 08:00:00,2024-01-02,x"))
+    drops("movements_2024-01-09.csv", DAY2.replace("product_id", "article"))
     source = drops("movements_2024-01-08.csv", DAY2.replace("breakage,1", "breakage,1.5"))
     result = warehouse.extract(source)
-    assert (result.files, result.rows, result.failed_files) == (4, 4, 3)
+    assert (result.files, result.rows, result.failed_files) == (5, 7, 3)
+    again = warehouse.raw_movements().filter("source_file_name = 'movements_2024-01-06.csv'").collect()
+    assert sorted((r.store_id, r.product_id) for r in again) == [(1, "NOPE"), (1, "P1"), (1, "P3")]
+    assert warehouse.raw_movements().select("raw_movement_id").distinct().count() == 7
+
+
+NAMES = [
+    "movements 2024.csv", "movements%203.csv", "a+b.csv", "a=5.csv", "b=5.csv", "caffè.csv", "sub/x.csv", "x.csv", "q[1].csv",
+]
+
+
+def test_every_name_is_loaded_once(spark, warehouse, drops, tmp_path):
+    (tmp_path / drops.folder / "sub").mkdir()
+    for name in NAMES:
+        source = drops(name, DAY1)
+    drops("_hidden.csv", DAY1)
+    result = warehouse.extract(source)
+    assert (result.files, result.rows, result.failed_files) == (len(NAMES) + 1, 4 * len(NAMES), 1)
+    counts = warehouse.raw_movements().groupBy("source_file_name").count().collect()
+    assert {r.source_file_name: r["count"] for r in counts} == {n: 4 for n in NAMES}
+    assert {r.file_name for r in warehouse.processed_files().collect()} == set(NAMES)
+    assert [r.file_name for r in csv_files.source_files(spark, source).collect()] == sorted(NAMES)
+    again = warehouse.extract(source)
+    assert (again.rows, again.failed_files) == (0, 1)
+    failed = warehouse.runs.read().filter("status = 'failed'").collect()
+    assert {r.source_file_name for r in failed} == {"_hidden.csv"}
+
+
+def test_wrong_bytes_reject_their_file_alone(warehouse, drops, tmp_path):
+    source = drops("movements_2024-01-01.csv", DAY1)
+    (tmp_path / source / "movements_2024-01-02.csv").write_bytes(DAY2.replace("NOPE", "caff\xe8").encode("latin-1"))
+    result = warehouse.extract(source)
+    assert (result.files, result.rows, result.failed_files) == (2, 4, 1)
+
+
+def test_quotes_separators_and_line_breaks_survive(spark, folder):
+    from storespark.sources.writers import write_csv
+
+    italian = {new: old for old, new in csv_files.schemas.PRODUCT_MASTER_COLUMNS.items()}
+    odd = 'TUBO 5"" PASTA; LUNGA,\nfresca\\'
+    rows = [("P1", odd, "c", "c", "c", D(4), "PZ", D("0.5"), D("1.5"), '"B"')]
+    products = spark.createDataFrame(rows, csv_files.schemas.TABLES["products"])
+    write_csv(products.withColumnsRenamed(italian), f"{folder}/master")
+    assert csv_files.products_master(spark, f"{folder}/master").collect() == products.collect()
+
+
+def test_a_killed_step_leaves_a_running_row(warehouse, drops, monkeypatch):
+    source = drops("movements_2024-01-01.csv", DAY1)
+
+    def killed(*args, **kwargs):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(Warehouse, "_write", killed)
+    with pytest.raises(KeyboardInterrupt):
+        warehouse.extract(source)
+    assert [r.status for r in warehouse.runs.read().collect()] == ["running"]
+
+
+def test_stock_follows_commit_order_and_keeps_two_snapshots(warehouse, drops, spark):
+    warehouse.run(drops("movements_2024-01-01.csv", DAY1))
+    warehouse.run(drops("movements_2024-01-02.csv", DAY2))
+    assert stock(warehouse) == EXPECTED_STOCK
+    kept = spark.read.parquet(warehouse.path("inventory")).select("attempt_id").distinct().count()
+    assert kept == pipeline.KEPT_SNAPSHOTS
+
+
+def test_a_batch_before_the_stream_is_not_loaded_again(spark, warehouse, drops):
+    drops("movements_2024-01-01.csv", DAY1)
+    source = drops("movements_2024-01-02.csv", DAY2)
+    warehouse.run(source)
+    drops("movements_2024-01-04.csv", HEADER)
+    for _ in range(2):  # each time a new checkpoint
+        stream_pipeline(warehouse, source, shared_folder(spark, "stream")).awaitTermination()
+    assert fact(warehouse) == EXPECTED_FACT and stock(warehouse) == EXPECTED_STOCK
+    assert warehouse.processed_files().filter("file_name = 'movements_2024-01-04.csv'").count() == 1
 
 
 @pytest.mark.parametrize("step", ["extract", "transform", "load"])
@@ -197,15 +273,16 @@ def test_replayed_epoch_adds_nothing(spark, folder, drops):
 
     w = Warehouse(spark, folder)
     source = drops("movements_2024-01-01.csv", DAY1)
-    checkpoint = shared_folder(spark, "stream")
-    stream_ingest(w, source, checkpoint).awaitTermination()
-    ingest._store_epoch(w, checkpoint, csv_files.raw_ingest(spark, source), 0)
+    stream_ingest(w, source, shared_folder(spark, "stream")).awaitTermination()
+    ingest._extract_epoch(w, source, None)
     assert w.raw_movements().count() == 4
 
 
-def test_row_ids_that_do_not_fit_are_an_error(spark, monkeypatch):
-    monkeypatch.setattr(pipeline, "_ROW_BITS", 2)
-    with pytest.raises(Exception, match="too many rows"):
-        spark.range(0, 40, 1, 2).select(pipeline.row_id(1)).collect()
-    with pytest.raises(ValueError):
-        pipeline.row_id(2**14)
+def test_ids_go_on_from_the_last_batch(spark, warehouse, drops):
+    """Twenty thousand batches, and ids far above 2^49, are nothing special."""
+    warehouse.commit("extract", [20_000], "faked", last_id=2**60)
+    warehouse.extract(drops("movements_2024-01-01.csv", DAY1))
+    assert warehouse.raw_movements().agg(F.min("raw_movement_id")).first()[0] > 2**60
+    assert warehouse.commits().agg(F.max("batch_id")).first()[0] == 20_001
+    with pytest.raises(Exception, match="overflow|OVERFLOW"):
+        spark.range(0, 4, 1, 2).select(pipeline.row_id(2**63 - 2)).collect()
