@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -39,18 +40,28 @@ PIECES = (
 )
 
 
+def byte_signs() -> dict[int, str]:
+    """The printable sign that stands for each byte in byte-level vocabularies: itself, or the next from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
 class Tokens:
     """Token ids of texts by a public byte-level tokenizer.
 
     The tokenizer splits a text before it merges, and its ids depend on one
-    split piece at a time; so each distinct piece is encoded once and kept.
-    Only texts of letters, digits and signs that Python's classes see alike
-    are split here, any other goes to the tokenizer as a whole.
+    split piece at a time; so each distinct piece goes through its merges once
+    and its ids are kept, as bytes. Only texts of letters, digits and signs
+    that Python's classes see alike are split here, any other goes to the
+    tokenizer as a whole.
     """
 
-    SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+    SPLIT = re.compile(r" ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
     #: ASCII without the separators 1C-1F, and the Latin letters from U+00C0 on that are plain letters
     ALIKE = re.compile(r"[\x00-\x1b\x20-\x7f\xa1-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf-ʯ‐-‧€]*")
+    SIGNS = str.maketrans({chr(b): sign for b, sign in byte_signs().items()})
+    END = struct.pack("<I", END_ID)
 
     def __init__(self, path: str | None = None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -62,25 +73,27 @@ class Tokens:
             path = public_tokenizers.path(VOCABULARY)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.model = self.tokenizer.model
+        self.known: dict[str, bytes] = {}
+
+    def merged(self, piece: str) -> bytes:
+        found = self.model.tokenize(piece.encode().decode("latin-1").translate(self.SIGNS))
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.SPLIT.findall(t) if self.ALIKE.fullmatch(t) else None for t in texts]
         if len(self.known) > CACHE:
             self.known.clear()
-        new = list({p for pieces in split if pieces for p in pieces if p not in self.known})
-        for first in range(0, len(new), 10_000):
-            part = new[first : first + 10_000]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[piece] = tuple(found.ids)
-        known, out = self.known, []
+        for piece in set().union(*(p for p in split if p)).difference(self.known):
+            self.known[piece] = self.merged(piece)
+        ids_of, out = self.known.__getitem__, []
         for text, pieces in zip(texts, split):
             if pieces is None:
-                ids = list(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                data = struct.pack(f"<{len(ids)}I", *ids)
             else:
-                ids = [i for p in pieces for i in known[p]]
-            ids.append(END_ID)
-            out.append(np.array(ids, dtype="<u4"))
+                data = b"".join(map(ids_of, pieces))
+            out.append(np.frombuffer(data + self.END, dtype="<u4"))
         return out
 
 
