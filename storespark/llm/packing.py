@@ -18,10 +18,11 @@ separately; a null doc_id stays null; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import base64
 import os
 import re
-import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,68 +33,52 @@ from pyspark.sql import functions as F
 
 from storespark.llm.common import arrow_ready, text_or_empty
 
-WINDOW, POOL, CACHE = 1024, 20_000, 300_000
+WINDOW, POOL = 1024, 20_000
 END_ID = 0
-VOCABULARY = "byte_bpe_50k.json"
+VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 )
 
 
-def byte_signs() -> dict[int, str]:
-    """The printable sign that stands for each byte in byte-level vocabularies: itself, or the next from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(others)}
-
-
 class Tokens:
-    """Token ids of texts by a public byte-level tokenizer.
+    """Token ids of texts by a public byte-level vocabulary.
 
-    The tokenizer splits a text before it merges, and its ids depend on one
-    split piece at a time; so each distinct piece goes through its merges once
-    and its ids are kept, as bytes. Only texts of letters, digits and signs
-    that Python's classes see alike are split here, any other goes to the
-    tokenizer as a whole.
+    Two public libraries read it: one from its merges, one from its ranks, the
+    second about four times as fast. Both split a text by the same expression;
+    they can differ only in which rare characters they take for letters,
+    numbers or spaces. So texts of ``ALIKE`` characters go to the faster one
+    and any other text to the first, whose ids are the ones asked for.
     """
 
-    SPLIT = re.compile(r" ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-    #: ASCII without the separators 1C-1F, and the Latin letters from U+00C0 on that are plain letters
+    #: ASCII, Latin letters and common signs, which have been what they are since the first Unicode versions
     ALIKE = re.compile(r"[\x00-\x1b\x20-\x7f\xa1-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf-ʯ‐-‧€]*")
-    SIGNS = str.maketrans({chr(b): sign for b, sign in byte_signs().items()})
-    END = struct.pack("<I", END_ID)
 
-    def __init__(self, path: str | None = None) -> None:
+    def __init__(self, path: str | None = None, ranks: str | None = None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
-        if path is None:
-            import public_tokenizers
-
-            path = public_tokenizers.path(VOCABULARY)
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
         self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}
-
-    def merged(self, piece: str) -> bytes:
-        found = self.model.tokenize(piece.encode().decode("latin-1").translate(self.SIGNS))
-        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
+        self.fast = None
+        if path is None or ranks:
+            with open(ranks or public_tokenizers.path(RANKS), "rb") as lines:
+                by_piece = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
+            self.fast = tiktoken.Encoding(
+                "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=by_piece, special_tokens={}
+            )
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.SPLIT.findall(t) if self.ALIKE.fullmatch(t) else None for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        for piece in set().union(*(p for p in split if p)).difference(self.known):
-            self.known[piece] = self.merged(piece)
-        ids_of, out = self.known.__getitem__, []
-        for text, pieces in zip(texts, split):
-            if pieces is None:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                data = struct.pack(f"<{len(ids)}I", *ids)
+        out = []
+        for text in texts:
+            if self.fast and self.ALIKE.fullmatch(text):
+                ids = self.fast.encode_ordinary(text)
             else:
-                data = b"".join(map(ids_of, pieces))
-            out.append(np.frombuffer(data + self.END, dtype="<u4"))
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            ids.append(END_ID)
+            out.append(np.frombuffer(array("I", ids), dtype="<u4"))
         return out
 
 
@@ -235,7 +220,10 @@ def packer(window: int, path: str | None):
 
 
 def pack(docs: DataFrame, window: int = WINDOW, tokenizer_path: str | None = None) -> DataFrame:
-    """A row per piece of every row of ``docs`` (doc_id, text): where it starts, its sequence and its place there."""
+    """A row per piece of every row of ``docs`` (doc_id, text): where it starts, its sequence and its place there.
+
+    ``tokenizer_path`` names another vocabulary; it has to lie at the same path on all executors.
+    """
     arrow_ready(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint"), text_or_empty().alias("text")).mapInArrow(
         packer(window, tokenizer_path), PIECES
