@@ -12,11 +12,12 @@ weighted Jaccard similarity.
 
 Links are found by bands of the signature and verified exactly on the
 shingles. Texts with equal words are one text first. Within a bucket every
-text is compared with the bucket's hub only, the member that shares most
-buckets with others. What the hubs leave apart is compared exactly after that:
-in each bucket, members outside its largest class against members of other
-classes, so that no link between different texts is lost and no bucket is
-expanded into all its pairs.
+text is compared with the bucket's hub, the member that shares most buckets
+with others. Then come rounds: in buckets that still hold several classes,
+members outside the largest class are compared with ``LEADERS`` members drawn
+anew each round. A bucket of up to that many members is thereby compared in
+full; larger ones go on for as long as a round finds any link. Each round is
+linear in the members, so no bucket is expanded into all its pairs.
 
 Defined cases: a null text counts as empty; texts with less than five words
 are one shingle of all their words, those without a word are one class; a null
@@ -39,8 +40,10 @@ from storespark.llm.common import kept_rows, materialise, row_name, arrow_ready,
 
 WORDS, THRESHOLD = 5, 0.8
 COORDINATES, BANDS, ROWS = 128, 32, 4
-#: Differing bits of two 128-bit sketches that a pair at the threshold exceeds with a chance below 1e-6.
-MOST_BITS = 31
+#: members of a bucket that others are compared with in a round
+LEADERS = 8
+#: Differing bits of two 128-bit sketches that a pair at the threshold exceeds with a chance below 1e-4.
+MOST_BITS = 27
 WORD = re.compile(r"\w+")
 _A, _B, _C = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
@@ -145,16 +148,21 @@ def similarity_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
 
 
-def verified(pairs: DataFrame, names: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def shingle_units(members: DataFrame, names: DataFrame, texts: DataFrame) -> DataFrame:
+    """(rep, units) of every representative in a bucket; ``names`` has (rep, name), ``texts`` (name, text).
+
+    The texts are shuffled once, for all rounds.
+    """
+    held = names.join(members.select("rep").distinct(), "rep")
+    named = texts.join(held, "name").dropDuplicates(["rep"]).select("rep", "text")
+    return materialise(named.mapInArrow(unit_batches, "rep bigint, units binary"), "units")
+
+
+def verified(pairs: DataFrame, own: DataFrame, threshold: float) -> DataFrame:
     """Of distinct pairs (a, b) of representatives, those whose shingles are similar enough.
 
-    ``names`` has (rep, name), ``texts`` (name, text). Only texts that are in a
-    pair are shuffled on; hubs with many partners are split by the joins.
+    Hubs with many partners are split by the joins.
     """
-    pairs = materialise(pairs, "pairs")
-    held = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
-    named = texts.join(names.join(held, "rep"), "name").dropDuplicates(["rep"])
-    own = materialise(named.select("rep", "text").mapInArrow(unit_batches, "rep bigint, units binary"), "units")
     both = pairs.join(own.select(F.col("rep").alias("a"), F.col("units").alias("x")), "a").join(
         own.select(F.col("rep").alias("b"), F.col("units").alias("y")), "b"
     )
@@ -201,23 +209,28 @@ def hub_pairs(members: DataFrame, most_bits: int) -> DataFrame:
     return pairs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
 
 
-def remaining_pairs(members: DataFrame, classes: DataFrame, most_bits: int) -> DataFrame:
-    """In each bucket, members outside its largest class with members of other classes.
-
-    A pair between two members outside the largest class comes up once from each side.
-    """
+def round_pairs(members: DataFrame, classes: DataFrame, turn: int, most_bits: int) -> DataFrame:
+    """In buckets of several classes, members outside the largest with this round's leaders of other classes."""
     placed = members.join(classes, "rep", "left").withColumn("class", F.coalesce("class", "rep"))
     sizes = placed.groupBy("key", "class").count()
     largest = sizes.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.struct("count", -F.col("class"), "class")).alias("m")
     )
-    mixed_buckets = largest.where("n > 1").select("key", F.col("m.class").alias("main"))
-    placed = materialise(placed.join(mixed_buckets, "key"), "mixed")
+    several = largest.where("n > 1").select("key", F.col("m.class").alias("main"))
+    placed = materialise(placed.join(several, "key"), "several")
+    # the first few of an order by hash, as a sum of small arrays that are cut per task before they are shuffled
+    drawn = placed.withColumn("order", F.xxhash64("rep", "key", F.lit(turn)))
+    cuts = drawn.withColumn("slot", F.pmod("order", F.lit(LEADERS * 4))).groupBy("key", "slot").agg(F.min("order").alias("order"))
+    firsts = cuts.groupBy("key").agg(F.slice(F.array_sort(F.collect_list("order")), 1, LEADERS).alias("firsts"))
+    size = placed.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    leaders = drawn.join(firsts, "key").join(size, "key")
+    leaders = leaders.where((F.col("size") <= LEADERS) | F.array_contains("firsts", F.col("order")))
+    leaders = leaders.select("key", F.col("rep").alias("r2"), F.col("bits").alias("b2"), F.col("class").alias("c2"))
     few = placed.where(F.col("class") != F.col("main")).select(
         "key", F.col("rep").alias("r1"), F.col("bits").alias("b1"), F.col("class").alias("c1")
     )
-    all_of = placed.select("key", F.col("rep").alias("r2"), F.col("bits").alias("b2"), F.col("class").alias("c2"))
-    pairs = few.join(all_of, (few["key"] == all_of["key"]) & (F.col("c1") != F.col("c2")) & (differing_bits("b1", "b2") <= most_bits))
+    near = (few["key"] == leaders["key"]) & (F.col("c1") != F.col("c2")) & (differing_bits("b1", "b2") <= most_bits)
+    pairs = few.join(leaders, near)
     return pairs.select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b")).distinct()
 
 
@@ -241,13 +254,19 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, most_bits: in
     members = first.select("rep", "bits", F.explode("bands").alias("key"))
     shared = members.groupBy("key").count().where("count > 1").select("key")
     members = materialise(members.join(shared, "key"), "buckets")
-    names, texts = first.select("rep", "name"), rows.select("name", "text")
-    links = verified(hub_pairs(members, most_bits), names, texts, threshold)
-    classes = components(links)
-    more = remaining_pairs(members, classes, most_bits).join(links.select("a", "b"), ["a", "b"], "left_anti")
-    more = verified(more, names, texts, threshold)
-    if not more.isEmpty():
-        classes = components(links.select("a", "b").union(more.select("a", "b")))
+    own = shingle_units(members, first.select("rep", "name"), rows.select("name", "text"))
+    tried = materialise(hub_pairs(members, most_bits), "pairs")
+    links = verified(tried, own, threshold).select("a", "b")
+    classes, turn = components(links), 0
+    while True:
+        turn += 1
+        pairs = round_pairs(members, classes, turn, most_bits).join(tried, ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "pairs")
+        more = verified(pairs, own, threshold).select("a", "b")
+        if more.isEmpty():
+            break
+        tried, links = tried.unionByName(pairs), links.unionByName(more)
+        classes = components(links)
     by_text = groups.join(classes, "rep", "left").select("same", F.coalesce("class", "rep").alias("class"))
     placed = materialise(sketched.join(by_text, "same").select("_row", "doc_id", "name", "class"), "placed")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
