@@ -21,6 +21,54 @@ PRIMARY_KEYS = {
     "product_suppliers": ["product_id", "supplier_id"],
     "products_specifications": ["product_id"],
     "processed_files": ["file_name"],
+    "raw_movements": ["raw_movement_id"],
+    "cleaned_movements": ["cleaned_movement_id"],
+    "bad_movements": ["bad_movement_id"],
+    "movements": ["movement_id"],
+    "pipeline_runs": ["run_id"],
+}
+_SOURCE = ["source_file_name", "source_system"]
+_MOVED = ["store_id", "product_id", "movement_type", "quantity", "is_promo", "movement_timestamp", "movement_date"]
+# columns that must hold a value; a primary key's columns must too
+NOT_NULL = {
+    "products": ["product_description"],
+    "store_layout": [],
+    "store_assortment": POSITION_KEY[1:],
+    "inventory": ["stock_qty"],
+    "suppliers": ["supplier_name", "supplier_type"],
+    "product_suppliers": ["is_primary_supplier"],
+    "products_specifications": [
+        "rotation_class", "spoilage_probability", "initial_stock", "minimum_stock_threshold", "reorder_lot",
+    ],
+    "raw_movements": [*_SOURCE, *_MOVED],
+    "cleaned_movements": ["raw_movement_id", *_SOURCE, *_MOVED, "loaded"],
+    "bad_movements": ["raw_movement_id", *_SOURCE, "error_reason", "reviewed", "corrected"],
+    "movements": [*_SOURCE, *_MOVED],
+    "processed_files": ["source_system"],
+    "pipeline_runs": ["pipeline_step", "status", "started_at"],
+}
+_MOVED_LENGTHS = {
+    "source_file_name": 255, "source_system": 50, "product_id": 50, "supplier_id": 20, "movement_type": 20,
+    "promo_type": 50,
+}
+# most characters a column may hold
+LENGTHS = {
+    "products": {
+        "product_id": 50, "category_level_1": 100, "category_level_2": 100, "category_level_3": 100,
+        "unit_of_measure": 20, "brand_code": 20,
+    },
+    "store_layout": {"shelf_category": 100, "zone": 10},
+    "store_assortment": {"product_id": 50, "zone": 10},
+    "inventory": {"product_id": 50},
+    "suppliers": {"supplier_id": 20, "supplier_name": 100, "supplier_type": 20},
+    "product_suppliers": {"product_id": 50, "supplier_id": 20},
+    "products_specifications": {"product_id": 50, "rotation_class": 20},
+    "raw_movements": _MOVED_LENGTHS,
+    "cleaned_movements": _MOVED_LENGTHS,
+    "bad_movements": _MOVED_LENGTHS | {"error_reason": 255},
+    "movements": _MOVED_LENGTHS | {"zone": 10},
+    "processed_files": {"file_name": 255, "source_system": 50},
+    "pipeline_runs": {"pipeline_step": 50, "source_file_name": 255, "status": 20},
 }
 UNIQUE = {
     "store_assortment": POSITION_KEY,
@@ -57,6 +105,7 @@ DOMAINS = {
     "inventory": {"stock_qty": "stock_qty >= 0"},
     "suppliers": {"supplier_type": "supplier_type in ('primary', 'secondary')"},
     "raw_movements": {"movement_type": f"movement_type in ({_KINDS})", "quantity": "quantity > 0"},
+    "cleaned_movements": {"movement_type": f"movement_type in ({_KINDS})", "quantity": "quantity > 0"},
     "movements": {"movement_type": f"movement_type in ({_KINDS})", "quantity": "quantity > 0"},
     "products_specifications": {
         "rotation_class": "rotation_class in ('high', 'medium', 'low')",
@@ -117,7 +166,7 @@ def orphans(df: DataFrame, columns: list[str], referenced: DataFrame) -> DataFra
     Counting comes first, so the anti join compares keys, not rows.
     """
     used = df.dropna(subset=columns).groupBy(*columns).agg(F.count("*").alias("rows"))
-    return attach(used, referenced.select(*columns), columns, "left_anti", hot_keys=False)
+    return attach(used, referenced.select(*columns), columns, "left_anti")
 
 
 def audit_foreign_keys(t: Tables) -> DataFrame:
@@ -147,6 +196,41 @@ def audit_price_rules(t: Tables, names: tuple[str, ...] = ("cleaned_movements",
     return _union([_violations(t[name], name, PRICE_RULES) for name in names if name in t])
 
 
+def _present(t: Tables, name: str, checks: dict[str, str]) -> dict[str, str]:
+    return {column: check for column, check in checks.items() if column in t[name].columns}
+
+
+def audit_not_null(t: Tables) -> DataFrame:
+    """Rows without a value, per table and required column; key columns are required."""
+    parts = []
+    for name, columns in NOT_NULL.items():
+        required = dict.fromkeys([*PRIMARY_KEYS.get(name, []), *columns])
+        checks = _present(t, name, {c: f"{c} is not null" for c in required}) if name in t else {}
+        if checks:
+            parts.append(_violations(t[name], name, checks))
+    return _union(parts)
+
+
+def audit_lengths(t: Tables) -> DataFrame:
+    """Rows with more characters than a column may hold, per table and column."""
+    parts = []
+    for name, limits in LENGTHS.items():
+        checks = _present(t, name, {c: f"length({c}) <= {n}" for c, n in limits.items()}) if name in t else {}
+        if checks:
+            parts.append(_violations(t[name], name, checks))
+    return _union(parts)
+
+
+def unchecked(t: Tables) -> list[tuple[str, str, str]]:
+    """(audit, table, columns) of every constraint that no audit can look at, as the table or a column is absent."""
+    wanted = [("primary key", n, c) for n, c in PRIMARY_KEYS.items()] + [("unique", n, c) for n, c in UNIQUE.items()]
+    wanted += [("foreign key", n, c) for n, c, _ in FOREIGN_KEYS]
+    wanted += [("not null", n, [c]) for n, columns in NOT_NULL.items() for c in columns]
+    wanted += [("length", n, [c]) for n, limits in LENGTHS.items() for c in limits]
+    wanted += [("domain", n, [c]) for n, checks in DOMAINS.items() for c in checks]
+    return [(kind, n, ", ".join(c)) for kind, n, c in wanted if n not in t or not _has(t[n], c)]
+
+
 def domain_violations(df: DataFrame, check: str) -> DataFrame:
     """The rows themselves that fail one check."""
     return df.filter(~F.expr(check))

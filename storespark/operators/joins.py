@@ -1,8 +1,8 @@
 """Joins of movements with lookup tables.
 
 A lookup is broadcast only when the planner's size estimate is inside a limit,
-and movements then stay where they are. Beyond it both sides are shuffled, and
-keys that hold more rows than one task should get are cut into parts.
+and movements then stay where they are. Beyond it both sides are shuffled by
+the key, once, and adaptive execution splits the partitions of hot keys.
 """
 
 from __future__ import annotations
@@ -11,10 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-# rows of one key a single task should get at most
-HOT_ROWS = 2_000_000
-# tasks over which rows with a null key are spread; they match nothing
-NULL_PARTS = 4096
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -38,42 +34,15 @@ def attach(
     on: list[str],
     how: str = "inner",
     sized_by: tuple[DataFrame, ...] | None = None,
-    hot_keys: bool = True,
 ) -> DataFrame:
     """Join a lookup to facts, broadcasting it only below the size limit.
 
     ``sized_by`` names the frames that bound a lookup which is itself a join
     along a key; the planner would take the product of their sizes.
-    ``hot_keys=False`` says that facts are already summed by key.
     """
     if fits_broadcast(*(sized_by or (lookup,))):
         return facts.join(F.broadcast(lookup), on, how)
-    return split_join(facts, lookup, on, how) if hot_keys else facts.join(lookup, on, how)
-
-
-def hot_key_parts(facts: DataFrame, on: list[str]) -> DataFrame:
-    """Keys with more than ``HOT_ROWS`` rows and the parts each is cut into: at most rows / HOT_ROWS keys."""
-    counted = facts.dropna(subset=on).groupBy(*on).agg(F.count("*").alias("_n"))
-    return counted.filter(F.col("_n") > HOT_ROWS).select(*on, F.ceil(F.col("_n") / HOT_ROWS).alias("_parts"))
-
-
-def split_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """A shuffle join in which no task gets a whole hot key.
-
-    One pass over the key columns finds the hot keys. Their rows are dealt to
-    parts by a hash of the row, and the lookup rows of just these keys are
-    copied to every part. Other keys have one part. The result is that of the
-    plain join.
-    """
-    hot = F.broadcast(hot_key_parts(facts, on))
-    parts = F.coalesce("_parts", F.lit(1))
-    null_key = F.lit(False)
-    for key in on:
-        null_key = null_key | F.col(key).isNull()
-    dealt = F.when(null_key, F.lit(NULL_PARTS)).otherwise(parts)
-    left = facts.join(hot, on, "left").withColumn("_part", F.pmod(F.xxhash64(*facts.columns), dealt).cast("bigint"))
-    right = lookup.join(hot, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
-    return left.drop("_parts").join(right.drop("_parts"), [*on, "_part"], how).drop("_part")
+    return facts.join(lookup, on, how)
 
 
 def active_positions(assortment: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -108,11 +77,21 @@ def position_join(assortment: DataFrame, layout: DataFrame) -> DataFrame:
 
 
 def attach_named(
-    facts: DataFrame, products: DataFrame, brands: DataFrame, how: str = "inner", hot_keys: bool = True
+    facts: DataFrame, products: DataFrame, brands: DataFrame, how: str = "inner"
 ) -> DataFrame:
     """Add product columns and the brand name to rows with a product."""
     named = brand_left_join(products, brands)
-    return attach(facts, named, ["product_id"], how, sized_by=(products, brands), hot_keys=hot_keys)
+    return attach(facts, named, ["product_id"], how, sized_by=(products, brands))
+
+
+def attach_placed(facts: DataFrame, assortment: DataFrame, products: DataFrame, brands: DataFrame) -> DataFrame:
+    """Add the current position, product columns and brand name to movements of placed products.
+
+    The three lookups become one by store and product, so that movements are shuffled once at most.
+    """
+    positions = active_positions(assortment)
+    placed = attach_named(positions, products, brands)
+    return attach(facts, placed, ["store_id", "product_id"], sized_by=(positions, products, brands))
 
 
 def layout_left_assortment(layout: DataFrame, assortment: DataFrame) -> DataFrame:

@@ -93,9 +93,11 @@ def supplier_code(number: Column) -> Column:
 
 
 def supplier_name(number: Column) -> Column:
-    # the letter of the number as a Unicode character; Spark's chr wraps at 256
-    letter = F.decode(F.unhex(F.lpad(F.hex(F.lit(64) + number), 4, "0")), "UTF-16BE")
-    return F.concat(F.lit("Fornitore "), letter)
+    """A letter per number: the character 64 places on, with the surrogates left out; beyond Unicode the number itself."""
+    place = F.lit(64) + number
+    place = F.when(place >= 0xD800, place + 0x800).otherwise(place)
+    letter = F.decode(F.unhex(F.lpad(F.hex(place), 8, "0")), "UTF-32")  # Spark's chr wraps at 256
+    return F.concat(F.lit("Fornitore "), F.when(place <= 0x10FFFF, letter).otherwise(number.cast("string")))
 
 
 def supplier_list(numbers: DataFrame) -> DataFrame:

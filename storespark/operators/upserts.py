@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storespark.operators.joins import attach
+from storespark.operators.joins import POSITION_KEY, attach
 from storespark.tables import Tables
 
 
@@ -35,10 +35,24 @@ def _without(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     return attach(df, gone, [key], "left_anti").select(*df.columns)
 
 
+def _forgotten(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """Rows with a deleted key set to null."""
+    joined = attach(df, gone.withColumn("_gone", F.lit(True)), [key], "left")
+    return joined.withColumn(key, F.when(F.col("_gone").isNull(), F.col(key))).select(*df.columns)
+
+
 def cascade_delete(
-    tables: Tables, products: DataFrame | None = None, suppliers: DataFrame | None = None
+    tables: Tables,
+    products: DataFrame | None = None,
+    suppliers: DataFrame | None = None,
+    slots: DataFrame | None = None,
+    raw_rows: DataFrame | None = None,
 ) -> Tables:
-    """Tables after deleting the listed product and supplier keys, with all that depends on them."""
+    """Tables after deleting the listed products, suppliers, layout slots and raw rows, with all that depends on them.
+
+    A slot takes the assortment rows placed on it; a raw row takes its clean
+    and bad row, and the fact forgets its number.
+    """
     changed: dict[str, DataFrame] = {}
 
     def table(name: str) -> DataFrame:
@@ -55,9 +69,19 @@ def cascade_delete(
             if name in tables:
                 changed[name] = _without(table(name), gone, "supplier_id")
         for name in SUPPLIER_REFERENCES:
+            if name in tables:
+                changed[name] = _forgotten(table(name), gone, "supplier_id")
+    if slots is not None:
+        gone = slots.select(*POSITION_KEY).distinct()
+        for name in ["store_layout", "store_assortment"]:
             if name in tables:
                 frame = table(name)
-                joined = attach(frame, gone.withColumn("_gone", F.lit(True)), ["supplier_id"], "left")
-                kept = F.when(F.col("_gone").isNull(), F.col("supplier_id"))
-                changed[name] = joined.withColumn("supplier_id", kept).select(*frame.columns)
+                changed[name] = attach(frame, gone, POSITION_KEY, "left_anti").select(*frame.columns)
+    if raw_rows is not None:
+        gone = raw_rows.select("raw_movement_id").distinct()
+        for name in ["raw_movements", "cleaned_movements", "bad_movements"]:
+            if name in tables:
+                changed[name] = _without(table(name), gone, "raw_movement_id")
+        if "movements" in tables and "raw_movement_id" in tables["movements"].columns:
+            changed["movements"] = _forgotten(table("movements"), gone, "raw_movement_id")
     return tables.replaced(**changed)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import calendar
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from storespark.functions.money import MONEY, line_value, money_sum, money_sum0, percent, ratio
-from storespark.operators.joins import active_positions, attach_named
+from storespark.operators.joins import active_positions, attach, attach_named
 from storespark.operators.rollup import additive, collapsed
 from storespark.plans.views import daily_kpis, inventory_by_shelf, shelf_detail
 from storespark.tables import Tables
@@ -28,8 +29,8 @@ def dashboard_filter(
 ) -> DataFrame:
     """Linked filters; each one given must hold.
 
-    Year, month and day become ranges of ``movement_date``, which prune date
-    folders and Parquet row groups.
+    Year, month and day become ranges of ``movement_date``, and so does a week
+    with a year, which prune date folders and Parquet row groups.
     """
     date = F.col("movement_date")
     if shelf_id is not None:
@@ -39,13 +40,37 @@ def dashboard_filter(
     if month is not None:
         y, m = map(int, month.split("-"))
         df = df.filter(date.between(F.lit(dt.date(y, m, 1)), F.lit(dt.date(y, m, calendar.monthrange(y, m)[1]))))
-    if week is not None:
+    if week is not None and year is not None:
+        # an ISO week of the year before or after may lie in this calendar year
+        spans = [_iso_week(y, week) for y in (year - 1, year, year + 1)]
+        within = [date.between(F.lit(a), F.lit(b)) for a, b in filter(None, spans)]
+        df = df.filter(reduce(Column.__or__, within))
+    elif week is not None:
         df = df.filter(F.weekofyear(date) == week)
     if day is not None:
         df = df.filter(date == F.lit(str(day)).cast("date"))
     return df
 
 
+def _iso_week(year: int, week: int) -> tuple[dt.date, dt.date] | None:
+    """First and last day, none where the year has no such week."""
+    try:
+        return dt.date.fromisocalendar(year, week, 1), dt.date.fromisocalendar(year, week, 7)
+    except ValueError:
+        return None
+
+
+DATES = ("month", "year", "week", "day")
+
+
+def _supported(filters: dict, *names: str) -> dict:
+    """The filters that are set; one that the table has no column for is an error."""
+    given = {k: v for k, v in filters.items() if v is not None}
+    if unknown := set(given) - set(names):
+        raise ValueError(f"not a filter of this table: {', '.join(sorted(unknown))}; it has {', '.join(names)}")
+    return given
+
+
 def _filtered(t: Tables, filters: dict) -> Tables:
     """Filters on dates apply to movements, before anything is joined or summed."""
     dates = {k: v for k, v in filters.items() if k != "shelf_id"}
@@ -59,6 +84,7 @@ def _on_shelf(df: DataFrame, filters: dict) -> DataFrame:
 
 def overview_totals(t: Tables, **filters) -> DataFrame:
     """Revenue, quantity sold, breakage and margin over the filtered days."""
+    filters = _supported(filters, *DATES)
     revenue, cogs = money_sum0(F.col("revenue")), money_sum0(F.col("cogs"))
     return daily_kpis(_filtered(t, filters)).agg(
         revenue.alias("revenue"),
@@ -78,6 +104,7 @@ _PERIODS = {
 
 def overview_trend(t: Tables, grain: str = "month", **filters) -> DataFrame:
     """Sales and cost, purchased and sold quantities, revenue / cost over days, weeks or months."""
+    filters = _supported(filters, *DATES)
     by_period = daily_kpis(_filtered(t, filters)).groupBy(_PERIODS[grain]().alias("period")).agg(
         money_sum(F.col("revenue")).alias("revenue"),
         money_sum(F.col("cogs")).alias("cogs"),
@@ -116,14 +143,18 @@ def _placed_sums(t: Tables) -> DataFrame:
         "product_id", "product_description", "category_level_1", "brand_code", "purchase_price"
     )
     placed = _product_sums(t).join(active_positions(t.store_assortment), ["store_id", "product_id"])
-    return attach_named(placed, products, t.brands, hot_keys=False)
+    return attach_named(placed, products, t.brands)
 
 
 def shelf_products_grid(t: Tables, **filters) -> DataFrame:
-    """Sold and broken quantity and stock of each product with movements, by shelf, level and zone."""
-    sums = _on_shelf(_placed_sums(_filtered(t, filters)), filters)
-    stock = inventory_by_shelf(t).select("store_id", "product_id", "stock_qty")
-    return sums.join(stock, ["store_id", "product_id"], "left").select(
+    """Every product that is placed, by shelf, level and zone, with its sold and broken quantity and its stock."""
+    filters = _supported(filters, "shelf_id", *DATES)
+    keys = ["store_id", "product_id"]
+    placed = _on_shelf(active_positions(t.store_assortment), filters)
+    named = attach(placed, t.products.select("product_id", "product_description"), ["product_id"])
+    sums = _product_sums(_filtered(t, filters)).select(*keys, "qty_sold", "qty_breakage")
+    stock = inventory_by_shelf(t).select(*keys, "stock_qty")
+    return named.join(sums, keys, "left").join(stock, keys, "left").fillna(0, ["qty_sold", "qty_breakage"]).select(
         "store_id", "shelf_id", "shelf_level", "zone", "slot_number", "product_id", "product_description",
         "qty_sold", "qty_breakage", "stock_qty",
     )
@@ -139,6 +170,7 @@ def _sale_cost() -> Column:
 
 def shelf_level_kpis(t: Tables, by_zone: bool = True, **filters) -> DataFrame:
     """Quantity, revenue, average price and margin of sales per level, and per zone where asked."""
+    filters = _supported(filters, "shelf_id", *DATES)
     keys = [*SHELF, "shelf_level", *(["zone"] if by_zone else [])]
     sums = _on_shelf(_placed_sums(_filtered(t, filters)), filters).filter("sale_rows > 0")
     return sums.groupBy(*keys).agg(
@@ -154,6 +186,7 @@ _SHARE_COLUMNS = {"brand": "brand_code", "category": "category_level_1"}
 
 def share_of_shelf(t: Tables, by: str = "brand", **filters) -> DataFrame:
     """Slots a brand or category holds, and its share of the occupied slots of the shelf."""
+    filters = _supported(filters, "shelf_id")
     item = _SHARE_COLUMNS[by]
     occupied = _on_shelf(shelf_detail(t), filters).filter(F.col("product_id").isNotNull())
     slots = occupied.groupBy(*SHELF, item).agg(F.count("*").alias("slots"))
@@ -164,6 +197,7 @@ def share_of_shelf(t: Tables, by: str = "brand", **filters) -> DataFrame:
 
 def share_of_sales(t: Tables, by: str = "brand", **filters) -> DataFrame:
     """Revenue share of a brand or category on its shelf beside its share of the space."""
+    filters = _supported(filters, "shelf_id", *DATES)
     item = _SHARE_COLUMNS[by]
     sums = _on_shelf(_placed_sums(_filtered(t, filters)), filters)
     revenue = sums.groupBy(*SHELF, item).agg(_revenue().alias("_revenue"))
@@ -179,6 +213,7 @@ def share_of_sales(t: Tables, by: str = "brand", **filters) -> DataFrame:
 
 def shelf_mix_kpis(t: Tables, **filters) -> DataFrame:
     """Distinct brands and categories on a shelf with its revenue and margin."""
+    filters = _supported(filters, "shelf_id", *DATES)
     occupied = _on_shelf(shelf_detail(t), filters).filter(F.col("product_id").isNotNull())
     mix = occupied.groupBy(*SHELF).agg(
         F.count_distinct("brand_code").alias("brands"), F.count_distinct("category_level_1").alias("categories")

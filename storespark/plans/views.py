@@ -16,6 +16,7 @@ from storespark.operators.joins import (
     active_positions,
     attach,
     attach_named,
+    attach_placed,
     layout_left_assortment,
     position_join,
     stock_join,
@@ -106,7 +107,7 @@ def margins_by_product_shelf(t: Tables) -> DataFrame:
     products = t.products.select(
         "product_id", "product_description", "category_level_1", "category_level_2", "brand_code", "purchase_price"
     )
-    priced = attach_named(sums, products, t.brands, hot_keys=False).withColumns(
+    priced = attach_named(sums, products, t.brands).withColumns(
         {"revenue": F.col("revenue").cast(MONEY), "cost": _cost().cast(MONEY)}
     )
     return with_calendar(priced).select(
@@ -183,7 +184,7 @@ def shelf_detail(t: Tables) -> DataFrame:
         "product_id", "product_description", "category_level_1", "category_level_2", "brand_code"
     )
     placed = layout_left_assortment(t.store_layout, t.store_assortment)
-    slots = attach_named(placed, products, t.brands, "left", hot_keys=False)
+    slots = attach_named(placed, products, t.brands, "left")
     return slots.select(
         "store_id", "shelf_id", "shelf_category", "shelf_level", "zone", "slot_number", "capacity", "product_id",
         "active_flag", "product_description", "category_level_1", "category_level_2", "brand_code", "brand_name",
@@ -196,9 +197,8 @@ def shelf_movements_current(t: Tables) -> DataFrame:
         "product_id", "product_description", "category_level_1", "category_level_2", "brand_code",
         F.col("purchase_price").alias("unit_cost"),
     )
-    placed = attach(t.movements.drop("shelf_id", "shelf_level", "zone", "slot_number"),
-                    active_positions(t.store_assortment), list(STORE_PRODUCT))
-    rows = attach_named(placed, products, t.brands)
+    moves = t.movements.drop("shelf_id", "shelf_level", "zone", "slot_number")
+    rows = attach_placed(moves, t.store_assortment, products, t.brands)
     return with_calendar(rows).select(
         "store_id", "shelf_id", "shelf_level", "zone", "slot_number", "product_id", "product_description",
         "category_level_1", "category_level_2", "brand_code", "brand_name", "movement_type", "quantity",

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storespark import schemas
 from storespark.functions import calendar, money, text
 from storespark.functions import fixed_values as fixed
 from storespark.operators import audits, fileset, joins, ranking, shelves, stock, upserts, validation
@@ -120,6 +122,66 @@ def brands_csv(bed, t):
     return csv_files.brands_csv(bed.spark, folder)
 
 
+@register()
+def stored_tables(bed, t):
+    root = shared_folder(bed.spark, "tables")
+    for name in ("brands", "products"):
+        writers.full_refresh(t[name], f"{root}/{name}")
+    stored = Tables.from_parquet(bed.spark, root, ["brands", "products"])
+    counts = [stored[n].agg(F.lit(n).alias("table_name"), F.count("*").alias("rows")) for n in ("brands", "products")]
+    return counts[0].unionByName(counts[1])
+
+
+def written(bed: Testbed, first: DataFrame, *steps: Callable[[str], object]) -> DataFrame:
+    """What a folder holds after ``first`` was written and the steps were done to it."""
+    path = shared_folder(bed.spark, "sink")
+    writers.append_rows(first, path)
+    for step in steps:
+        step(path)
+    return bed.spark.read.parquet(path)
+
+
+@register()
+def append_rows(bed, t):
+    return written(bed, t.brands, lambda path: writers.append_rows(t.brands, path))
+
+
+@register()
+def full_refresh(bed, t):
+    return written(bed, t.brands, lambda path: writers.full_refresh(t.brands.filter("brand_code > 'B2'"), path))
+
+
+@register()
+def overwrite_partitions(bed, t):
+    path = shared_folder(bed.spark, "sink")
+    rows = t.products.filter("category_level_1 is not null").select("product_id", "category_level_1", "unit_of_measure")
+    writers.append_rows(rows, path, ["category_level_1"])
+    new = rows.filter("category_level_1 = 'PROMO'").withColumn("unit_of_measure", F.lit("new"))
+    writers.overwrite_partitions(new, path, ["category_level_1"])
+    return bed.spark.read.schema(rows.schema).parquet(path)
+
+
+@register()
+def replace_table(bed, t):
+    only_codes = t.brands.select("brand_code")
+    return written(bed, t.brands, lambda path: writers.replace_table(only_codes, path, schemas.TABLES["brands"]))
+
+
+@register()
+def load_once(bed, t):
+    return written(bed, t.brands, *[lambda path: writers.load_once(t.brands, path)] * 2)
+
+
+@register()
+def write_csv(bed, t):
+    folder = shared_folder(bed.spark, "csv")
+    quoted = F.concat(F.lit('He said "'), F.col("descrizione"), F.lit('"; \ndone'))
+    rows = bed.price_rows().select("id_prodotto", quoted.alias("descrizione"))
+    writers.write_csv(rows, folder, sep=";")
+    reader = bed.spark.read.option("header", True).option("multiLine", True).option("sep", ";")
+    return reader.options(**csv_files.DIALECT).csv(folder)
+
+
 @register()
 def brands_upsert(bed, t):
     changes = bed.source("part").filter("p_type in ('PROMO', 'SMALL')").selectExpr(
@@ -461,9 +523,24 @@ def audit_unique(bed, t):
 
 add("audit_foreign_keys", lambda bed, t: audits.audit_foreign_keys(t))
 add("audit_domains", lambda bed, t: audits.audit_domains(t))
+add("audit_not_null", lambda bed, t: audits.audit_not_null(t))
+add("audit_lengths", lambda bed, t: audits.audit_lengths(t))
 add("audit_price_rules", lambda bed, t: audits.audit_price_rules(t, ("raw_movements", "movements")))
 
 
+@register()
+def cascade_delete_rows(bed, t):
+    fact = t.raw_movements.select("raw_movement_id")
+    gone = t.raw_movements.filter("movement_type = 'breakage'")
+    left = upserts.cascade_delete(
+        t.replaced(movements=fact), slots=t.store_layout.filter("shelf_level = 1"), raw_rows=gone
+    )
+    counts = {n: left[n] for n in ("store_layout", "store_assortment", "raw_movements", "cleaned_movements")}
+    counts["movements without raw row"] = left.movements.filter("raw_movement_id is null")
+    parts = [df.agg(F.lit(n).alias("table_name"), F.count("*").alias("rows")) for n, df in counts.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register()
 def cascade_delete(bed, t):
     gone = t.products.filter("category_level_1 = 'LARGE'")
@@ -492,6 +569,7 @@ add("overview_trend", lambda bed, t: dashboards.overview_trend(t, "month"))
 add("overview_trend_week", lambda bed, t: dashboards.overview_trend(t, "week"))
 add("overview_trend_day", lambda bed, t: dashboards.overview_trend(t, "day"))
 add("shelf_products_grid", lambda bed, t: dashboards.shelf_products_grid(t))
+add("shelf_products_grid_week", lambda bed, t: dashboards.shelf_products_grid(t, shelf_id=7, year=1998, week=1))
 add("shelf_level_kpis", lambda bed, t: dashboards.shelf_level_kpis(t))
 add("shelf_level_totals", lambda bed, t: dashboards.shelf_level_kpis(t, by_zone=False))
 add("share_of_shelf", lambda bed, t: dashboards.share_of_shelf(t))
@@ -544,6 +622,16 @@ def _stream_pipeline(bed, t):
     return warehouse.movements().select(*RAW_OUT, "shelf_id", "shelf_level", "zone", "slot_number")
 
 
+@register()
+def run_steps(bed, t):
+    """Runs and rows per step in the log of a whole batch."""
+    warehouse = new_warehouse(bed, t)
+    warehouse.run(movement_folder(bed, t))
+    return warehouse.runs.read().groupBy("pipeline_step").agg(
+        F.count("*").alias("runs"), F.sum("rows_processed").alias("rows_processed")
+    )
+
+
 @register()
 def batch_load(bed, t):
     warehouse = new_warehouse(bed, t)

@@ -1,12 +1,13 @@
 import hashlib
 import random
 import re
+from decimal import ROUND_HALF_UP, localcontext
 from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
 from storespark.functions import fixed_values as fixed
-from storespark.functions import text
+from storespark.functions import money, text
 from storespark.operators import ranking, shelves
 from storespark.operators.stock import clamp_threshold
 
@@ -135,3 +136,25 @@ def test_allocation_sums_to_the_shelves(spark):
     assert got == {"a": 18, "b": 19, "c": 2, "d": 6}
     shelf_map = {r.shelf_id: r.shelf_category for r in shelves.shelf_category_map(allocation).collect()}
     assert sorted(shelf_map) == list(range(1, 46)) and shelf_map[18] == "a" and shelf_map[19] == "b" and shelf_map[45] == "c"
+
+
+def test_quotients_are_rounded_once_at_any_size(spark):
+    pairs = [("5.0000", "100000.0001"), ("1", "3"), ("-2", "3"), ("1", "-8"), ("100000000000000", "1"),
+             ("123456789012345678.1234", "7.0001"), ("0.0005", "10"), ("1", "0")]
+    frame = spark.createDataFrame([(D(a), D(b)) for a, b in pairs], "a decimal(38,4), b decimal(38,4)")
+    found = frame.select(money.ratio(F.col("a"), F.col("b")), money.percent(F.col("a"), F.col("b"))).collect()
+    with localcontext() as context:
+        context.prec = 60
+        for (a, b), row in zip(pairs, found):
+            for digits, times, got in ((4, 1, row[0]), (2, 100, row[1])):
+                exact = None if D(b) == 0 else (D(a) * times / D(b)).quantize(D(1).scaleb(-digits), ROUND_HALF_UP)
+                assert got == exact, (a, b, digits)
+    large = spark.createDataFrame([(D(10) ** 14, D(1))], "r decimal(38,4), c decimal(38,4)")
+    assert large.select(money.margin_pct(F.col("r"), F.col("c"))).first()[0] == D("100.00")
+
+
+def test_supplier_names_differ_at_any_number(spark):
+    numbers = spark.range(1, 100_001).withColumnRenamed("id", "n").union(spark.sql("select 5000000L"))
+    found = shelves.supplier_list(numbers)
+    assert found.select("supplier_name").distinct().count() == 100_001
+    assert found.filter("supplier_id = 'SUP_001'").first().supplier_name == "Fornitore A"

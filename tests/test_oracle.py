@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_check import connect, difference
+from storespark.testbed import oracle, registry
 
 SF_DIR = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = oracle.sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +16,13 @@ def con():
 
 
 def test_registry_is_complete():
-    assert set(entry.queries()) == set(SQL)
+    assert set(registry.QUERIES) == set(SQL)
+    assert set(registry.QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(registry.QUERIES))
 def test_query_equals_sql(spark, con, key):
-    frame = entry.queries()[key](spark, SF_DIR)
+    frame = registry.QUERIES[key](spark, SF_DIR)
     assert difference(frame, con, SQL[key]) is None
 
 

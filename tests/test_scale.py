@@ -3,10 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from storespark.operators import joins, rollup, validation
 from storespark.operators.ranking import first_per_key
 from storespark.plans import masterdata, views
+from storespark.testbed import registry
 from storespark.testbed.adapters import Testbed
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -57,31 +57,27 @@ def test_small_lookups_leave_movements_in_place(spark):
     assert kpis.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in kpis
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_split_join_equals_the_plain_join(spark, monkeypatch, how):
-    monkeypatch.setattr(joins, "HOT_ROWS", 1000)
-    facts = hot_movements(spark, 12000).selectExpr(
-        "raw_movement_id", "store_id", "case when raw_movement_id % 3 > 0 then product_id end as product_id")
-    lookup = spark.range(0, 900).selectExpr("1 as store_id", "cast(id as string) as product_id", "id as v").union(
-        spark.sql("select 1, 'hot', -1L union all select 1, null, -2L union all select 1, '7', -7L"))
-    on = ["store_id", "product_id"]
-    split, plain = joins.split_join(facts, lookup, on, how), facts.join(lookup, on, how)
-    assert split.columns == plain.columns
-    assert sorted(map(tuple, split.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
-
-
-def test_no_part_of_a_hot_key_is_large(spark, monkeypatch):
-    monkeypatch.setattr(joins, "HOT_ROWS", 1000)
-    monkeypatch.setattr(joins, "BROADCAST_LIMIT_BYTES", 0)
-    moves = hot_movements(spark, 30000)
-    parts = {r.product_id: r._parts for r in joins.hot_key_parts(moves, ["product_id"]).collect()}
-    assert parts == {"hot": 15}
-    dealt = moves.groupBy((F.pmod(F.xxhash64(*moves.columns), F.lit(15))).alias("part"), "product_id").count()
-    assert dealt.filter("product_id = 'hot'").agg(F.max("count")).first()[0] < 1300
-    products = moves.select("product_id").distinct()
-    suppliers = spark.createDataFrame([("S1",)], "supplier_id string")
-    checked = validation.validate(moves, products, suppliers)
-    assert checked.count() == 30000 and validation.bad_rows(checked).isEmpty()
+def test_row_level_joins_scan_and_shuffle_the_fact_once(spark, no_broadcast, folder):
+    """Per set of keys: one for positions, products and brands, two for products and suppliers."""
+    t = Testbed(spark, SF_DIR).tables()
+    t.movements.write.parquet(f"{folder}/fact")
+    fact = spark.read.parquet(f"{folder}/fact")
+    one = plan(views.shelf_movements_current(t.replaced(movements=fact)))
+    assert one.count(f"{folder}/fact") == 1 and "promo_type" not in one
+    raw = t.raw_movements
+    raw.write.parquet(f"{folder}/raw")
+    checked = plan(validation.validate(spark.read.parquet(f"{folder}/raw"), t.products, t.suppliers))
+    assert checked.count(f"{folder}/raw") == 1 and checked.count("SortMergeJoin") == 2
+
+
+def test_a_hot_key_is_split_by_adaptive_execution(spark, no_broadcast):
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    moves = hot_movements(spark, 200_000)
+    lookup = moves.select("store_id", "product_id").distinct().withColumn("v", F.lit(1))
+    joined = joins.attach(moves, lookup, ["store_id", "product_id"])
+    assert "skew=true" in final_plan(joined)
+    assert joined.count() == 200_000
+    spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionFactor")
 
 
 def test_hot_product_is_summed_before_a_shuffle_join(spark, no_broadcast):
@@ -104,8 +100,8 @@ def test_copies_collapse_before_the_shuffle(spark):
 
 
 def test_no_cross_join_in_any_query(spark):
-    skipped = {"stream_ingest", "stream_pipeline", "batch_load"}
-    for key, query in entry.queries().items():
+    skipped = {"stream_ingest", "stream_pipeline", "batch_load", "run_steps"}
+    for key, query in registry.QUERIES.items():
         if key in skipped:
             continue
         text = plan(query(spark, SF_DIR))

@@ -29,12 +29,9 @@ def test_summing_first_gives_the_same(bed, name):
     assert rows(view(bed, collapse=True)) == rows(view(bed, collapse=False))
 
 
-@pytest.mark.parametrize("hot_rows", [2_000_000, 5])
-def test_views_equal_when_lookups_are_too_big_to_broadcast(spark, bed, monkeypatch, hot_rows):
-    """Also with nearly every key cut into parts."""
+def test_views_equal_when_lookups_are_too_big_to_broadcast(spark, bed, monkeypatch):
     expected = {n: rows(v(bed)) for n, v in views.VIEWS.items()}
     monkeypatch.setattr(joins, "BROADCAST_LIMIT_BYTES", 0)
-    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -172,3 +169,25 @@ def test_shares_add_up(bed):
 def test_views_can_be_registered(spark, bed):
     views.register_views(bed)
     assert spark.sql("select count(*) from daily_kpis").first()[0] == views.daily_kpis(bed).count()
+
+
+def test_grid_shows_every_placed_product(bed):
+    placed = joins.active_positions(bed.store_assortment).join(bed.products, "product_id").count()
+    assert dashboards.shelf_products_grid(bed, day="1998-01-01").count() == placed
+
+
+@pytest.mark.parametrize("table, filters", [
+    (dashboards.overview_totals, {"shelf_id": 3}), (dashboards.overview_trend, {"shelf_id": 3}),
+    (dashboards.share_of_shelf, {"month": "2024-01"}), (dashboards.shelf_mix_kpis, {"monht": "2024-01"}),
+])
+def test_a_filter_a_table_does_not_have_is_an_error(bed, table, filters):
+    with pytest.raises(ValueError, match="not a filter"):
+        table(bed, **filters)
+
+
+@pytest.mark.parametrize("year, week", [(1996, 1), (1998, 53), (1999, 53), (1997, 1), (2000, 52)])
+def test_week_with_year_is_a_range(bed, year, week):
+    both = dashboards.dashboard_filter(bed.movements, year=year, week=week)
+    apart = bed.movements.filter((F.year("movement_date") == year) & (F.weekofyear("movement_date") == week))
+    assert rows(both) == rows(apart)
+    assert "weekofyear" not in both._jdf.queryExecution().optimizedPlan().toString()
