@@ -37,40 +37,61 @@ def numbered(keys: DataFrame, column: str, name: str = "i") -> DataFrame:
     )
 
 
-def sample_by_category(
+def _bucket(order: Column, buckets: int) -> Column:
+    return F.floor(F.conv(F.substring(order, 1, 8), 16, 10).cast("bigint") * buckets / 2**32).cast("int")
+
+
+def sample_ends(
     df: DataFrame, category: str, order: Column, shares: Mapping[str, float], buckets: int = 4096
 ) -> DataFrame:
-    """Exactly half-even-round(share x size) rows of each listed category, lowest ``order`` (a hex hash) first.
+    """Where the sample of each listed category ends: its ``_end`` bucket and, where not all of it stays, the ``_last`` hash.
 
-    Rows are counted per category and hash bucket. Buckets below the one where
-    the quota ends are kept whole, and only that one bucket is ranked, so a
-    category of any size is spread over all tasks. Categories not listed are
-    dropped, as are null ones.
+    Two scans of the category and the hash: rows are counted per category and
+    hash bucket, and only the bucket in which the quota ends is ranked. One row
+    per listed category comes out.
     """
     share = F.create_map(*[F.lit(x) for k, v in shares.items() for x in (k, str(v))])
     quota_share = F.element_at(share, F.col(category)).cast("decimal(9,6)")
-    bucket = F.floor(F.conv(F.substring("_order", 1, 8), 16, 10).cast("bigint") * buckets / 2**32).cast("int")
-    rows = (
-        df.filter(F.col(category).isin(list(shares)))
-        .withColumn("_order", order)
-        .withColumn("_bucket", bucket)
-    )
+    keys = df.filter(F.col(category).isin(list(shares))).select(category, order.alias("_order"))
+    keys = keys.withColumn("_bucket", _bucket(F.col("_order"), buckets))
     # at most (listed categories x buckets) rows
-    sizes = rows.groupBy(category, "_bucket").agg(F.count("*").alias("_size"))
+    sizes = keys.groupBy(category, "_bucket").agg(F.count("*").alias("_size"))
     upto = W.partitionBy(category).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(category)
     limits = (
         sizes.withColumn("_below", F.coalesce(F.sum("_size").over(upto), F.lit(0)))
         .withColumn("_quota", F.bround(quota_share * F.sum("_size").over(whole), 0).cast("bigint"))
         .filter(F.col("_below") < F.col("_quota"))
-        .select(category, "_bucket", F.least(F.col("_quota") - F.col("_below"), F.col("_size")).alias("_take"), "_size")
+        .withColumn("_take", F.least(F.col("_quota") - F.col("_below"), F.col("_size")))
+    )
+    ends = limits.groupBy(category).agg(F.max(F.struct("_bucket", "_take", "_size")).alias("_e")).select(
+        category, F.col("_e._bucket").alias("_end"), F.col("_e._take").alias("_take"), F.col("_e._size").alias("_size")
     )
-    joined = rows.join(F.broadcast(limits), [category, "_bucket"])
-    kept = joined.filter(F.col("_take") == F.col("_size"))
-    place = F.row_number().over(W.partitionBy(category, "_bucket").orderBy("_order"))
-    cut = joined.filter(F.col("_take") < F.col("_size")).withColumn("_place", place)
-    cut = cut.filter(F.col("_place") <= F.col("_take")).drop("_place")
-    return kept.unionByName(cut).select(*df.columns)
+    cut = keys.join(F.broadcast(ends.filter("_take < _size")), category).filter(F.col("_bucket") == F.col("_end"))
+    place = F.row_number().over(W.partitionBy(category).orderBy("_order"))
+    last = cut.withColumn("_place", place).filter(F.col("_place") == F.col("_take"))
+    last = last.select(category, F.col("_order").alias("_last"))
+    return ends.join(last, category, "left").select(category, "_end", "_last")
+
+
+def in_sample(order: Column, buckets: int = 4096) -> Column:
+    """Whether a row that carries its category's ``_end`` and ``_last`` is in the sample."""
+    bucket = _bucket(order, buckets)
+    last = F.coalesce(order <= F.col("_last"), F.lit(True))
+    return F.coalesce((bucket < F.col("_end")) | ((bucket == F.col("_end")) & last), F.lit(False))
+
+
+def sample_by_category(
+    df: DataFrame, category: str, order: Column, shares: Mapping[str, float], buckets: int = 4096
+) -> DataFrame:
+    """Half-even-round(share x size) rows of each listed category, lowest ``order`` (a hex hash) first.
+
+    Beside the scans for the ends, the rows are read once and filtered, so a
+    category of any size is spread over all tasks. Categories not listed are
+    dropped, as are null ones; rows with one hash stay or go together.
+    """
+    ends = sample_ends(df, category, order, shares, buckets)
+    return df.join(F.broadcast(ends), category).filter(in_sample(order, buckets)).select(*df.columns)
 
 
 def first_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:

@@ -73,7 +73,7 @@ def distinct_brand_codes(products: DataFrame) -> DataFrame:
 
 def brand_names(products: DataFrame, names: list[str] | None = None) -> DataFrame:
     """A display name for each brand code: names are dealt in code order, with a number from the second round on."""
-    names = names or fixed.words(fixed.BRAND_NAMES)
+    names = names or fixed.BRAND_NAMES
     codes = products.select("brand_code").filter(F.col("brand_code").isNotNull()).distinct()
     i, n = F.col("i"), len(names)
     listed = F.array(*[F.lit(x) for x in names])
@@ -124,14 +124,14 @@ def _rule_struct(rotation: str, low: str, high: str) -> Column:
     )
 
 
-def classify_products(products: DataFrame, rules: list[str] | None = None) -> DataFrame:
+def classify_products(products: DataFrame, rules: list[list[tuple]] | None = None) -> DataFrame:
     """Rotation class and spoilage range: the rule of the finest category that has one.
 
     ``rules`` are three rule tables (for category 1, 2, 3) in the layout of the fixed values.
     """
-    texts = rules or [fixed.CATEGORY_1_RULES, fixed.CATEGORY_2_RULES, fixed.CATEGORY_3_RULES]
+    tables = rules or [fixed.CATEGORY_1_RULES, fixed.CATEGORY_2_RULES, fixed.CATEGORY_3_RULES]
     finest_first = [
-        _rule_lookup(fixed.rules(text), f"category_level_{level}") for level, text in enumerate(texts, 1)
+        _rule_lookup(table, f"category_level_{level}") for level, table in enumerate(tables, 1)
     ][::-1]
     rule = F.coalesce(*finest_first, _rule_struct(*fixed.DEFAULT_RULE))
     return products.withColumn("_rule", rule).select("product_id", "_rule.*")

@@ -19,7 +19,7 @@ from storespark.functions.text import (
     truncate_description,
 )
 from storespark.functions.money import half_even_cents
-from storespark.operators.ranking import sample_by_category
+from storespark.operators.ranking import in_sample, sample_ends
 
 
 def category_exclude(category: Column, excluded: list[str]) -> Column:
@@ -51,10 +51,10 @@ def branded(products: DataFrame, spellings: Spellings | None = None) -> DataFram
 
 def masterdata_concat(products: DataFrame, shares: dict[str, float] | None = None, seed: int | str = 42) -> DataFrame:
     """Branded rows and the sampled unbranded rows of the listed departments."""
-    unbranded = products.filter(~F.col("brand_removed"))
     order = hash_order(F.col("id_prodotto"), seed)
-    sample = sample_by_category(unbranded, "cat1", order, shares or fixed.SAMPLE_SHARES)
-    return products.filter("brand_removed").unionByName(sample)
+    ends = sample_ends(products.filter(~F.col("brand_removed")), "cat1", order, shares or fixed.SAMPLE_SHARES)
+    rows = products.join(F.broadcast(ends), "cat1", "left")
+    return rows.filter(F.col("brand_removed") | in_sample(order)).select(*products.columns)
 
 
 def positive_prices(products: DataFrame) -> DataFrame:
@@ -68,7 +68,7 @@ def product_registry(
     excluded: list[str] | None = None,
     seed: int | str = 42,
 ) -> DataFrame:
-    """The whole chain over a price list: one scan for the branded rows, one for the samples."""
+    """The whole chain over a price list: one scan for the rows, two of keys for where the samples end."""
     rows = branded(noisy_prices(unbranded_source(prices), seed), spellings)
     kept = masterdata_concat(rows, shares, seed).filter(
         category_exclude(F.col("cat1"), excluded or fixed.DROPPED_CATEGORIES)

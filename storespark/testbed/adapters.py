@@ -238,7 +238,7 @@ SPELLINGS = [
 ]
 SHARES = {"STANDARD": 0.05, "LARGE": 0.3, "SMALL": 0.3, "PROMO": 1.0}
 CLASS_RULES = [
-    "STANDARD | high | 0.03 | 0.08\nLARGE | low | 0.0 | 0.0005\nPROMO | medium | 0.001 | 0.004",
-    "red | high | 0.0005 | 0.002\nold | low | 0.0001 | 0.0005",
-    "anvil | low | 0.0 | 0.001\ngear | high | 0.05 | 0.12",
+    [("STANDARD", "high", "0.03", "0.08"), ("LARGE", "low", "0.0", "0.0005"), ("PROMO", "medium", "0.001", "0.004")],
+    [("red", "high", "0.0005", "0.002"), ("old", "low", "0.0001", "0.0005")],
+    [("anvil", "low", "0.0", "0.001"), ("gear", "high", "0.05", "0.12")],
 ]

@@ -13,8 +13,8 @@ from storespark.operators.stock import clamp_threshold
 
 
 def test_fixed_lists():
-    assert len(fixed.words(fixed.BRANDS)) == len(set(fixed.words(fixed.BRANDS))) == 155
-    assert len(set(fixed.words(fixed.BRAND_NAMES))) == 145
+    assert len(fixed.BRANDS) == len(set(fixed.BRANDS)) == 155
+    assert len(set(fixed.BRAND_NAMES)) == 145
     spellings = fixed.brand_spellings()
     assert spellings[:4] == [("mulino bianco", "B012"), ("mulinobianco", "B012"), ("m b", "B012"), ("mb", "B012")]
     assert dict(spellings)["barilla"] == "B001" and dict(spellings)["plasmon"] == "B155"
