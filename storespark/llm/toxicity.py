@@ -34,13 +34,14 @@ from storespark.llm.common import fold, materialise, arrow_ready, text_or_empty
 
 MOST_LABELLED, MOST_LEARNED, LEAST_LOG_ODDS, LEAST_SHARE = 12_000, 400, 2.5, 0.01
 TREES, DEPTH = 15, 4
+CLEAN_PRIOR = 0.2
 
 #: Insults and words of contempt in the four languages of the corpus.
 LEXICON = frozenset(
     """
     idiot idiots idiotic moron morons moronic stupid dumb fool trash garbage scum filth filthy loser losers pathetic
     worthless disgusting clown clowns imbecile cretin jerk bastard vermin parasite pig swine retard ugly freak
-    crap damn hell shut hate hateful kill die
+    crap damn hateful
     trottel dummkopf arschloch vollidiot abschaum versager dreck mistkerl depp schwachkopf widerlich erbärmlich
     connard crétin imbécile débile abruti ordure salaud minable dégoûtant raclure
     idiota imbécil estúpido estúpida basura escoria perdedor payaso asqueroso cabrón inútil tonto
@@ -221,8 +222,10 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED):
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, stepSize=0.3, seed=7, minInstancesPerNode=3).fit(fit)
     held = rows.where("_calibrate")
     held = held if held.select("label").distinct().count() == 2 else rows
-    raw = trees.transform(held).select(raw_score().alias("raw"), "label")
-    calibration = IsotonicRegression(featuresCol="raw", labelCol="label").fit(raw)
+    raw = trees.transform(held).select(raw_score().alias("raw"), "label", F.lit(1.0).alias("weight"))
+    # a share of each row counts as clean, so that a step made of two or three rows does not decide
+    prior = raw.select("raw", F.lit(0.0).alias("label"), F.lit(CLEAN_PRIOR).alias("weight"))
+    calibration = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight").fit(raw.union(prior))
     return learned, trees, calibration
 
 
