@@ -249,8 +249,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, most_bits: in
     sketched = materialise(sketched.withColumn("_row", F.monotonically_increasing_id()), "sketches")
     # texts with equal words are one text, named by the smallest row
     groups = sketched.groupBy("same").agg(F.min("_row").alias("rep"))
-    first = sketched.join(groups, (sketched["same"] == groups["same"]) & (sketched["_row"] == groups["rep"]))
-    first = materialise(first.select("rep", "name", "bits", "bands"), "representatives")
+    groups = materialise(groups, "texts")
+    first = sketched.join(groups.select(F.col("rep").alias("_row")), "_row", "left_semi")
+    first = materialise(first.select(F.col("_row").alias("rep"), "name", "bits", "bands"), "representatives")
     members = first.select("rep", "bits", F.explode("bands").alias("key"))
     shared = members.groupBy("key").count().where("count > 1").select("key")
     members = materialise(members.join(shared, "key"), "buckets")
@@ -271,7 +272,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, most_bits: in
     placed = materialise(sketched.join(by_text, "same").select("_row", "doc_id", "name", "class"), "placed")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
     named = placed.groupBy("class").agg(F.min(order).alias("f"), F.count(F.lit(1)).alias("class_size"))
-    named = named.select("class", "class_size", F.col("f.doc_id").alias("class_id"), F.col("f._row").alias("_first"))
+    # written, so that the join below shuffles by itself and a hot class can be split
+    named = materialise(
+        named.select("class", "class_size", F.col("f.doc_id").alias("class_id"), F.col("f._row").alias("_first")), "named"
+    )
     return placed.join(named, "class").select(
         "doc_id", "class_id", "class_size", (F.col("_row") == F.col("_first")).alias("kept"), "name"
     )

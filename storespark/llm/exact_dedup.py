@@ -89,18 +89,23 @@ def exact_duplicates(docs: DataFrame, key: Callable[[Column], Column] = chunk_ke
     groups = verified.groupBy("ids", "exact_ids").agg(
         F.count(F.lit(1)).alias("group_size"), F.min(order).alias("_first")
     )
-    groups = groups.select(
-        "ids",
-        "exact_ids",
-        "group_size",
-        F.col("_first.doc_id").alias("keep_id"),
-        F.col("_first._row").alias("_keep_row"),
+    # only groups of several rows, written, so that the join below shuffles by itself and a hot group can be split
+    groups = materialise(
+        groups.where("group_size > 1").select(
+            "ids",
+            "exact_ids",
+            "group_size",
+            F.col("_first.doc_id").alias("_keep_id"),
+            F.col("_first._row").alias("_keep_row"),
+        ),
+        "groups",
     )
-    return verified.join(groups, ["ids", "exact_ids"]).select(
+    several = F.col("_keep_row").isNotNull()
+    return verified.join(groups, ["ids", "exact_ids"], "left").select(
         "doc_id",
-        "keep_id",
-        "group_size",
-        (F.col("_row") == F.col("_keep_row")).alias("kept"),
+        F.when(several, F.col("_keep_id")).otherwise(F.col("doc_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
+        (~several | (F.col("_row") == F.col("_keep_row"))).alias("kept"),
         "text_sha256",
         "n_chunks",
     )
