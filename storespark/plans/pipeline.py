@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -303,21 +304,21 @@ class Warehouse:
         )
 
     def extract(self, folder: str, most: int | None = None) -> StepResult:
-        """Read every file the ledger does not know, or the first ``most`` drops. Errors are logged and reported.
+        """Read every file the ledger does not know, in batches of up to ``most`` drops. Errors are logged and reported.
 
         A file that cannot be read fails alone; one with its columns in another order is read in that order.
         """
         new = new_files(list_files(self.spark, folder), self.processed_files()).select("file_name", "path", "length")
         # one entry per file, which Spark's own file index holds on the driver anyway; fixed before the ledger grows
         found = new.orderBy("file_name", "path").collect()
-        if most:
-            names = list(dict.fromkeys(f.file_name for f in found))[:most]
-            found = [f for f in found if f.file_name in set(names)]
+        names = list(dict.fromkeys(f.file_name for f in found))
+        batch_of = {name: i // (most or len(names)) for i, name in enumerate(names)}
+        batches = [list(files) for _, files in groupby(found, key=lambda f: batch_of[f.file_name])]
         hidden = hidden_names(self.spark, folder)
         if hidden:
             message = "names that start with _ or . are passed over by the readers; rename the file"
             self.runs.start("extract").fail_files("extract", [(name, message) for name in hidden])
-        result = self._extract_files(folder, found) if found else StepResult("extract")
+        result = self._sum([self._extract_files(folder, files) for files in batches])
         return StepResult(
             "extract", result.files + len(hidden), result.rows, result.failed_files + len(hidden), result.error
         ) if hidden else result

@@ -3,7 +3,9 @@
 The stream tells when files have come; what is loaded is decided by the
 warehouse's ledger, as in a batch. So a file that a batch or another checkpoint
 took is not loaded again, a drop of several parts is accepted or rejected as a
-whole, and files without rows reach the log. A replayed epoch finds nothing new.
+whole, and files without rows reach the log. An epoch takes all drops that the
+ledger does not know, in batches of up to ``max_files``, so that a rejected one
+keeps none of the others back. A replayed epoch finds nothing new.
 """
 
 from __future__ import annotations
@@ -51,10 +53,12 @@ def stream_pipeline(
     """Raw, validated, fact and stock of every new file, once."""
 
     def step() -> None:
-        _extract_epoch(warehouse, folder, max_files)
-        done = warehouse.transform()
+        # what could be read is loaded before an unreadable file is reported
+        extracted, done = warehouse.extract(folder, max_files), warehouse.transform()
         if done.error:
             raise RuntimeError(done.error)
         warehouse.load()
+        if extracted.error:
+            raise RuntimeError(extracted.error)
 
     return _each_epoch(warehouse, folder, checkpoint, max_files, step)

@@ -268,6 +268,15 @@ def test_stream_equals_batch(spark, warehouse, drops):
     assert warehouse.commits().count() == commits
 
 
+def test_a_rejected_first_file_keeps_no_other_back(spark, warehouse, drops):
+    drops("a.csv", DAY1.replace("sale", "gift"))
+    drops("movements_2024-01-01.csv", DAY1)
+    source = drops("movements_2024-01-02.csv", DAY2)
+    stream_pipeline(warehouse, source, shared_folder(spark, "stream"), max_files=1).awaitTermination()
+    assert fact(warehouse) == EXPECTED_FACT and stock(warehouse) == EXPECTED_STOCK
+    assert {r.file_name for r in warehouse.ledger().collect()} == {"movements_2024-01-01.csv", "movements_2024-01-02.csv"}
+
+
 def test_replayed_epoch_adds_nothing(spark, folder, drops):
     from storespark.streaming import ingest
 
