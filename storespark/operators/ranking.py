@@ -46,9 +46,10 @@ def sample_ends(
 ) -> DataFrame:
     """Where the sample of each listed category ends: its ``_end`` bucket and, where not all of it stays, the ``_last`` hash.
 
-    Two scans of the category and the hash: rows are counted per category and
-    hash bucket, and only the bucket in which the quota ends is ranked. One row
-    per listed category comes out.
+    Where not all rows of that hash stay, ``_missing`` is how many do. Two scans
+    of the category and the hash: rows are counted per category and hash bucket,
+    and then per hash in the bucket in which the quota ends. One row per listed
+    category comes out.
     """
     share = F.create_map(*[F.lit(x) for k, v in shares.items() for x in (k, str(v))])
     quota_share = F.element_at(share, F.col(category)).cast("decimal(9,6)")
@@ -68,30 +69,55 @@ def sample_ends(
         category, F.col("_e._bucket").alias("_end"), F.col("_e._take").alias("_take"), F.col("_e._size").alias("_size")
     )
     cut = keys.join(F.broadcast(ends.filter("_take < _size")), category).filter(F.col("_bucket") == F.col("_end"))
-    place = F.row_number().over(W.partitionBy(category).orderBy("_order"))
-    last = cut.withColumn("_place", place).filter(F.col("_place") == F.col("_take"))
-    last = last.select(category, F.col("_order").alias("_last"))
-    return ends.join(last, category, "left").select(category, "_end", "_last")
+    hashes = cut.groupBy(category, "_order", "_take").agg(F.count("*").alias("_n"))
+    lower = W.partitionBy(category).orderBy("_order").rowsBetween(W.unboundedPreceding, -1)
+    hashes = hashes.withColumn("_left", F.col("_take") - F.coalesce(F.sum("_n").over(lower), F.lit(0)))
+    last = hashes.filter((F.col("_left") > 0) & (F.col("_left") <= F.col("_n")))
+    missing = F.when(F.col("_left") < F.col("_n"), F.col("_left")).alias("_missing")
+    last = last.select(category, F.col("_order").alias("_last"), missing)
+    return ends.join(last, category, "left").select(category, "_end", "_last", "_missing")
 
 
 def in_sample(order: Column, buckets: int = 4096) -> Column:
-    """Whether a row that carries its category's ``_end`` and ``_last`` is in the sample."""
+    """Whether a row that carries its category's end is in the sample; those of ``tied_rows`` come besides."""
     bucket = _bucket(order, buckets)
-    last = F.coalesce(order <= F.col("_last"), F.lit(True))
+    last = F.coalesce((order < F.col("_last")) | ((order == F.col("_last")) & F.col("_missing").isNull()), F.lit(True))
     return F.coalesce((bucket < F.col("_end")) | ((bucket == F.col("_end")) & last), F.lit(False))
 
 
+def tied_rows(rows: DataFrame, category: str, order: Column, columns: list[str]) -> DataFrame:
+    """Of rows that carry their category's end and have its ``_last`` hash, as many as are missing, as ``columns``.
+
+    Equal rows are counted first. What differs is ordered by a second hash and
+    ranked inside ranges of it, so that a hash of any size is spread over tasks.
+    """
+    tied = rows.filter((order == F.col("_last")) & F.col("_missing").isNotNull())
+    kinds = tied.groupBy(*columns, "_missing").agg(F.count("*").alias("_n"))
+    kinds = kinds.withColumn("_tie", F.xxhash64(F.lit("tie"), *columns)).withColumn("_range", F.pmod("_tie", F.lit(SPLITS)))
+    # at most SPLITS rows per category
+    sizes = kinds.groupBy(category, "_range").agg(F.sum("_n").alias("_size"))
+    before = W.partitionBy(category).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select(category, "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    own = W.partitionBy(category, "_range").orderBy("_tie", *columns).rowsBetween(W.unboundedPreceding, -1)
+    placed = kinds.withColumn("_before", F.coalesce(F.sum("_n").over(own), F.lit(0)))
+    left = F.col("_missing") - F.col("_offset") - F.col("_before")
+    kept = placed.join(F.broadcast(offsets), [category, "_range"]).withColumn("_keep", F.least("_n", left))
+    return kept.filter("_keep > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_keep"))).select(*columns)
+
+
 def sample_by_category(
     df: DataFrame, category: str, order: Column, shares: Mapping[str, float], buckets: int = 4096
 ) -> DataFrame:
-    """Half-even-round(share x size) rows of each listed category, lowest ``order`` (a hex hash) first.
+    """Exactly half-even-round(share x size) rows of each listed category, lowest ``order`` (a hex hash) first.
 
-    Beside the scans for the ends, the rows are read once and filtered, so a
-    category of any size is spread over all tasks. Categories not listed are
-    dropped, as are null ones; rows with one hash stay or go together.
+    Beside the scans for the ends, the rows are filtered, once by hash and once
+    for those of the last hash, so a category of any size is spread over all
+    tasks. Categories not listed are dropped, as are null ones; of rows with one
+    hash at the end those with the lowest second hash stay.
     """
     ends = sample_ends(df, category, order, shares, buckets)
-    return df.join(F.broadcast(ends), category).filter(in_sample(order, buckets)).select(*df.columns)
+    rows = df.join(F.broadcast(ends), category)
+    return rows.filter(in_sample(order, buckets)).select(*df.columns).unionAll(tied_rows(rows, category, order, df.columns))
 
 
 def first_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:

@@ -19,7 +19,7 @@ from storespark.functions.text import (
     truncate_description,
 )
 from storespark.functions.money import half_even_cents
-from storespark.operators.ranking import in_sample, sample_ends
+from storespark.operators.ranking import in_sample, sample_ends, tied_rows
 
 
 def category_exclude(category: Column, excluded: list[str]) -> Column:
@@ -54,7 +54,8 @@ def masterdata_concat(products: DataFrame, shares: dict[str, float] | None = Non
     order = hash_order(F.col("id_prodotto"), seed)
     ends = sample_ends(products.filter(~F.col("brand_removed")), "cat1", order, shares or fixed.SAMPLE_SHARES)
     rows = products.join(F.broadcast(ends), "cat1", "left")
-    return rows.filter(F.col("brand_removed") | in_sample(order)).select(*products.columns)
+    tied = tied_rows(rows.filter(~F.col("brand_removed")), "cat1", order, products.columns)
+    return rows.filter(F.col("brand_removed") | in_sample(order)).select(*products.columns).unionAll(tied)
 
 
 def positive_prices(products: DataFrame) -> DataFrame:
@@ -68,7 +69,7 @@ def product_registry(
     excluded: list[str] | None = None,
     seed: int | str = 42,
 ) -> DataFrame:
-    """The whole chain over a price list: one scan for the rows, two of keys for where the samples end."""
+    """The whole chain over a price list: one scan for the rows, one for ties, two of keys for where the samples end."""
     rows = branded(noisy_prices(unbranded_source(prices), seed), spellings)
     kept = masterdata_concat(rows, shares, seed).filter(
         category_exclude(F.col("cat1"), excluded or fixed.DROPPED_CATEGORIES)

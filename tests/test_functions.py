@@ -122,6 +122,18 @@ def test_sample_is_exact_with_a_hot_category(spark):
         assert {r.id for r in got} == expected and len(got) == len(expected)
 
 
+def test_sample_is_exact_where_one_id_straddles_its_end(spark):
+    rows = spark.range(900).selectExpr("id as n", "if(id % 3 = 0, -1, id) as id", "id % 2 as v", "'c' as c")
+    order = text.hash_order(F.col("id"), 1)
+    hashes = sorted(hashlib.md5(f"1{r.id}".encode()).hexdigest() for r in rows.collect())
+    below = hashes.index(hashlib.md5(b"1-1").hexdigest())
+    for share in ((below + 20) / 900, (below + 299) / 900, (below + 300) / 900, below / 900):
+        for columns in (["n", "id", "c"], ["id", "v", "c"]):
+            got = ranking.sample_by_category(rows.select(*columns), "c", order, {"c": round(share, 6)}).collect()
+            assert len(got) == round(share * 900)
+            assert sorted(hashlib.md5(f"1{r.id}".encode()).hexdigest() for r in got) == hashes[: len(got)]
+
+
 def test_first_per_key_with_many_copies(spark):
     rows = spark.range(6000).selectExpr("case when id % 3 = 0 then 'hot' else cast(id % 7 as string) end as k", "id as n", "id % 5 as v")
     got = {r.k: (r.n, r.v) for r in ranking.first_per_key(rows, "k", [F.col("n")]).collect()}
