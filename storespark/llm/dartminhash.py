@@ -13,11 +13,12 @@ weighted Jaccard similarity.
 Links are found by bands of the signature and verified exactly on the
 shingles. Texts with equal words are one text first. Within a bucket every
 text is compared with the bucket's hub, the member that shares most buckets
-with others. Then come rounds: in buckets that still hold several classes,
-members outside the largest class are compared with ``LEADERS`` members drawn
-anew each round. A bucket of up to that many members is thereby compared in
-full; larger ones go on for as long as a round finds any link. Each round is
-linear in the members, so no bucket is expanded into all its pairs.
+with others. Buckets of up to ``FEW`` members that still hold several classes
+are then compared in full. In larger ones, members outside the largest class
+are joined with members of other classes by an exact prefix filter: two sets
+at the threshold share a unit among the rarest of each, so a passage that
+thousands of texts have in common brings none of them together, and no similar
+pair is passed over.
 
 Defined cases: a null text counts as empty; texts with less than five words
 are one shingle of all their words, those without a word are one class; a null
@@ -34,16 +35,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from storespark.llm.common import kept_rows, materialise, row_name, arrow_ready, text_or_empty
 
 WORDS, THRESHOLD = 5, 0.8
 COORDINATES, BANDS, ROWS = 128, 32, 4
-#: members of a bucket that others are compared with in a round
-LEADERS = 8
-#: Differing bits of two 128-bit sketches that a pair at the threshold exceeds with a chance below 1e-4.
-MOST_BITS = 27
+#: members of a bucket that is compared in full
+FEW = 8
+#: Differing bits of two 128-bit sketches that a pair at the threshold exceeds with a chance below 1e-6.
+MOST_BITS = 31
+#: Bounds on counts give way by so much, as products with the threshold are rounded.
+SLACK = 1e-6
 WORD = re.compile(r"\w+")
 _A, _B, _C = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
@@ -209,29 +213,72 @@ def hub_pairs(members: DataFrame, most_bits: int) -> DataFrame:
     return pairs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
 
 
-def round_pairs(members: DataFrame, classes: DataFrame, turn: int, most_bits: int) -> DataFrame:
-    """In buckets of several classes, members outside the largest with this round's leaders of other classes."""
+def several_classes(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of buckets that hold several classes, with the ``size`` and the ``main`` class of their bucket."""
     placed = members.join(classes, "rep", "left").withColumn("class", F.coalesce("class", "rep"))
     sizes = placed.groupBy("key", "class").count()
     largest = sizes.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.struct("count", -F.col("class"), "class")).alias("m")
+        F.count(F.lit(1)).alias("n"), F.sum("count").alias("size"), F.max(F.struct("count", -F.col("class"), "class")).alias("m")
     )
-    several = largest.where("n > 1").select("key", F.col("m.class").alias("main"))
-    placed = materialise(placed.join(several, "key"), "several")
-    # the first few of an order by hash, as a sum of small arrays that are cut per task before they are shuffled
-    drawn = placed.withColumn("order", F.xxhash64("rep", "key", F.lit(turn)))
-    cuts = drawn.withColumn("slot", F.pmod("order", F.lit(LEADERS * 4))).groupBy("key", "slot").agg(F.min("order").alias("order"))
-    firsts = cuts.groupBy("key").agg(F.slice(F.array_sort(F.collect_list("order")), 1, LEADERS).alias("firsts"))
-    size = placed.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    leaders = drawn.join(firsts, "key").join(size, "key")
-    leaders = leaders.where((F.col("size") <= LEADERS) | F.array_contains("firsts", F.col("order")))
-    leaders = leaders.select("key", F.col("rep").alias("r2"), F.col("bits").alias("b2"), F.col("class").alias("c2"))
-    few = placed.where(F.col("class") != F.col("main")).select(
-        "key", F.col("rep").alias("r1"), F.col("bits").alias("b1"), F.col("class").alias("c1")
-    )
-    near = (few["key"] == leaders["key"]) & (F.col("c1") != F.col("c2")) & (differing_bits("b1", "b2") <= most_bits)
-    pairs = few.join(leaders, near)
-    return pairs.select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b")).distinct()
+    several = largest.where("n > 1").select("key", "size", F.col("m.class").alias("main"))
+    return materialise(placed.join(several, "key"), "several")
+
+
+def few_pairs(placed: DataFrame, most_bits: int) -> DataFrame:
+    """All pairs of different classes in buckets of up to ``FEW`` members."""
+    small = placed.where(F.col("size") <= FEW)
+    one, two = (small.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("rep", "bits", "class")]) for i in (1, 2))
+    apart = (F.col("rep1") < F.col("rep2")) & (F.col("class1") != F.col("class2"))
+    pairs = one.join(two, "key").where(apart & (differing_bits("bits1", "bits2") <= most_bits))
+    return pairs.select(F.col("rep1").alias("a"), F.col("rep2").alias("b")).distinct()
+
+
+def listed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rep, held in zip(batch.column("rep").to_pylist(), batch.column("units").to_pylist()):
+            found = np.frombuffer(held, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(found), rep)), pa.array(np.full(len(found), len(found))), pa.array(found)],
+                names=["rep", "n", "unit"],
+            )
+
+
+def prefixes(own: DataFrame, threshold: float) -> DataFrame:
+    """(rep, n, unit, place): the units, rarest first, of which a similar text has to hold one.
+
+    Of n units a partner shares at least threshold * n, so one of the first n - threshold * n + 1 in any order that
+    all texts keep to. Units that one text alone holds have their places, but no rows.
+    """
+    held = materialise(own.mapInArrow(listed_batches, "rep bigint, n bigint, unit bigint"), "shingles")
+    shared = materialise(held.groupBy("unit").agg(F.count(F.lit(1)).alias("frequency")).where("frequency > 1"), "frequencies")
+    common = held.join(shared, "unit")
+    by_rep = W.partitionBy("rep")
+    alone = F.col("n") - F.count(F.lit(1)).over(by_rep)
+    place = alone + F.row_number().over(by_rep.orderBy("frequency", "unit"))
+    placed = common.select("rep", "n", "unit", place.alias("place"))
+    return materialise(placed.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold - SLACK) + 1), "prefixes")
+
+
+def prefix_pairs(placed: DataFrame, own: DataFrame, threshold: float) -> DataFrame:
+    """In larger buckets of several classes, members outside the largest with all of other classes that may be similar.
+
+    Of two classes in a bucket one is outside. A pair passes if its sizes and what can follow the unit's places allow
+    for the threshold; at its first shared unit every similar pair does.
+    """
+    large = placed.where(F.col("size") > FEW)
+    outside = F.max(F.col("class") != F.col("main")).alias("outside")
+    who = materialise(large.groupBy("rep").agg(F.first("class").alias("class"), outside), "large")
+    first = prefixes(own.join(who.select("rep"), "rep", "left_semi"), threshold)
+    first = materialise(first.join(who, "rep"), "placed-prefixes")
+    one = first.where("outside").select("unit", *[F.col(c).alias(f"{c}1") for c in ("rep", "class", "n", "place")])
+    two = first.select("unit", *[F.col(c).alias(f"{c}2") for c in ("rep", "class", "n", "place", "outside")])
+    # a pair that is outside on both sides comes once
+    once = ~F.col("outside2") | (F.col("rep1") < F.col("rep2"))
+    least = (F.col("n1") + F.col("n2")) * (threshold / (1 + threshold)) - SLACK
+    follow = F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2")) + 1
+    near = (one["unit"] == two["unit"]) & (F.col("class1") != F.col("class2")) & once & (follow >= least)
+    pairs = one.join(two, near)
+    return pairs.select(F.least("rep1", "rep2").alias("a"), F.greatest("rep1", "rep2").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, most_bits: int = MOST_BITS) -> DataFrame:
@@ -258,16 +305,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, most_bits: in
     own = shingle_units(members, first.select("rep", "name"), rows.select("name", "text"))
     tried = materialise(hub_pairs(members, most_bits), "pairs")
     links = verified(tried, own, threshold).select("a", "b")
-    classes, turn = components(links), 0
-    while True:
-        turn += 1
-        pairs = round_pairs(members, classes, turn, most_bits).join(tried, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        more = verified(pairs, own, threshold).select("a", "b")
-        if more.isEmpty():
-            break
-        tried, links = tried.unionByName(pairs), links.unionByName(more)
+    for pairs_of in (lambda p: few_pairs(p, most_bits), lambda p: prefix_pairs(p, own, threshold)):
         classes = components(links)
+        pairs = pairs_of(several_classes(members, classes)).join(tried, ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "pairs")
+        tried, links = tried.unionByName(pairs), links.unionByName(verified(pairs, own, threshold).select("a", "b"))
+    classes = components(links)
     by_text = groups.join(classes, "rep", "left").select("same", F.coalesce("class", "rep").alias("class"))
     placed = materialise(sketched.join(by_text, "same").select("_row", "doc_id", "name", "class"), "placed")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")

@@ -373,3 +373,24 @@ def test_pipeline_stages_take_effect(spark):
 
 def test_every_dealt_operator_is_registered():
     assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+
+
+def test_pairs_whose_buckets_are_all_large_are_found(spark):
+    """Texts share a passage; few of them share as much again as makes a pair, in buckets that hundreds are in."""
+    passage = [f"p{i}" for i in range(400)]
+    texts = []
+    for i in range(900):
+        twin = i - 1 if i % 300 == 1 else i
+        own = [f"t{twin}x{j}" for j in range(10)] + [f"o{i}x{j}" for j in range(50)]
+        texts.append(" ".join(passage + own))
+    number = {}
+    held = [frozenset(number.setdefault(u, len(number)) for u in _units(t)) for t in texts]
+    near = []
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        shared = len(held[i] & held[j])
+        if 10 * shared >= 8 * (len(held[i]) + len(held[j]) - shared):
+            near.append((i, j))
+    assert near == [(0, 1), (300, 301), (600, 601)]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    found = {r["doc_id"]: r["class_id"] for r in dartminhash.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {(c, d) for d, c in found.items() if c != d} == set(near)
