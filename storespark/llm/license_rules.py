@@ -1,6 +1,6 @@
 """Signature rules for licences: hand-written names, expanded by phrase templates.
 
-A rule has a keyword (looked for first, lower case), a regular expression over
+A rule has a keyword (one word that each of its matches holds, looked for first, lower case), a regular expression over
 the original text (ASCII letters in either case), a label, a priority (1 is the
 strongest) and a confidence.
 """
@@ -41,7 +41,7 @@ LICENCES: list[tuple[str, str, list[str], list[str], list[str]]] = [
     ("lgpl", "lesser", ["GNU Lesser General Public License", "Lesser General Public License"], [], []),
     ("agpl-3.0", "affero", [rf"(?:GNU )?Affero General Public License{VERSION}3(?:\.0)?", "GNU Affero General Public License"], [r"gnu\.org/licenses/agpl-3\.0"], ["AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"]),
     ("agpl", "agpl", ["GNU AGPL", "AGPL License", r"AGPLv3\+?"], [], []),
-    ("fdl", "free documentation", [rf"GNU Free Documentation License(?:{VERSION}1\.[123])?"], [r"gnu\.org/licenses/fdl"], ["GFDL-1.1", "GFDL-1.2", "GFDL-1.3"]),
+    ("fdl", "documentation", [rf"GNU Free Documentation License(?:{VERSION}1\.[123])?"], [r"gnu\.org/licenses/fdl"], ["GFDL-1.1", "GFDL-1.2", "GFDL-1.3"]),
     ("bsd-2-clause", "bsd", [r"(?:2|two)-Clause BSD License", r"BSD 2-Clause(?: License)?", "Simplified BSD License", "FreeBSD License"], [r"opensource\.org/licenses/bsd-2-clause"], ["BSD-2-Clause"]),
     ("bsd-3-clause", "bsd", [r"(?:3|three)-Clause BSD License", r"BSD 3-Clause(?: License)?", "New BSD License", "Modified BSD License", "Revised BSD License"], [r"opensource\.org/licenses/bsd-3-clause"], ["BSD-3-Clause"]),
     ("bsd-4-clause", "bsd", [r"(?:4|four)-Clause BSD License", "Original BSD License"], [], ["BSD-4-Clause"]),
@@ -70,29 +70,40 @@ LICENCES: list[tuple[str, str, list[str], list[str], list[str]]] = [
     ("openssl", "openssl", ["OpenSSL License"], [], ["OpenSSL"]),
     ("ofl", "font", [rf"SIL Open Font License(?:{VERSION}1\.[01])?", "Open Font License"], [r"scripts\.sil\.org/OFL"], ["OFL-1.0", "OFL-1.1"]),
     ("odbl", "database", ["Open Database License", "Open Data Commons Open Database License"], [r"opendatacommons\.org/licenses/odbl"], ["ODbL-1.0"]),
-    ("odc-by", "data commons", ["Open Data Commons Attribution License"], [r"opendatacommons\.org/licenses/by"], ["ODC-By-1.0"]),
-    ("pddl", "public domain", ["Public Domain Dedication and License"], [r"opendatacommons\.org/licenses/pddl"], ["PDDL-1.0"]),
+    ("odc-by", "attribution", ["Open Data Commons Attribution License"], [r"opendatacommons\.org/licenses/by"], ["ODC-By-1.0"]),
+    ("pddl", "dedication", ["Public Domain Dedication and License"], [r"opendatacommons\.org/licenses/pddl"], ["PDDL-1.0"]),
     ("cc0-1.0", "cc0", [r"CC0(?:[ -]1\.0)?(?: Universal)?"], [r"creativecommons\.org/publicdomain/zero"], ["CC0-1.0"]),
     ("cc-pdm", "creativecommons", [], [r"creativecommons\.org/publicdomain/mark"], []),
-    ("public-domain", "public domain", ["(?:in|into|to) the public domain", "public domain dedication"], [], []),
+    ("public-domain", "domain", ["(?:in|into|to) the public domain", "public domain dedication"], [], []),
     ("ms-pl", "microsoft", ["Microsoft Public License"], [], ["MS-PL"]),
     ("ms-rl", "microsoft", ["Microsoft Reciprocal License"], [], ["MS-RL"]),
     ("afl", "academic", [rf"Academic Free License(?:{VERSION}[123](?:\.[01])?)?"], [], ["AFL-2.1", "AFL-3.0"]),
-    ("osl", "open software", [rf"Open Software License(?:{VERSION}[123](?:\.[01])?)?"], [], ["OSL-1.0", "OSL-2.0", "OSL-2.1", "OSL-3.0"]),
+    ("osl", "software", [rf"Open Software License(?:{VERSION}[123](?:\.[01])?)?"], [], ["OSL-1.0", "OSL-2.0", "OSL-2.1", "OSL-3.0"]),
     ("ncsa", "ncsa", ["NCSA Open Source License", "University of Illinois/NCSA"], [], ["NCSA"]),
     ("postgresql", "postgresql", ["PostgreSQL Licen[cs]e"], [], ["PostgreSQL"]),
     ("vim", "vim", ["Vim License"], [], ["Vim"]),
     ("w3c", "w3c", ["W3C Software (?:Notice and )?License"], [], ["W3C"]),
-    ("qpl", "q public", ["Q Public License"], [], ["QPL-1.0"]),
-    ("sspl", "server side", ["Server Side Public License"], [], ["SSPL-1.0"]),
-    ("busl", "business source", [rf"Business Source License(?:{VERSION}1\.1)?"], [], ["BUSL-1.1"]),
+    ("qpl", "public", ["Q Public License"], [], ["QPL-1.0"]),
+    ("sspl", "server", ["Server Side Public License"], [], ["SSPL-1.0"]),
+    ("busl", "business", [rf"Business Source License(?:{VERSION}1\.1)?"], [], ["BUSL-1.1"]),
     ("elastic", "elastic", [rf"Elastic License(?:{VERSION}2(?:\.0)?)?"], [], ["Elastic-2.0"]),
     ("cecill", "cecill", [r"CeCILL(?:-[ABC])?(?: License)?"], [r"cecill\.info"], ["CECILL-2.0", "CECILL-2.1", "CECILL-B", "CECILL-C"]),
     ("mulan", "mulan", [r"Mulan (?:PSL|Permissive Software License)"], [], ["MulanPSL-2.0"]),
-    ("blueoak", "blue oak", ["Blue Oak Model License"], [r"blueoakcouncil\.org/license"], ["BlueOak-1.0.0"]),
+    ("blueoak", "oak", ["Blue Oak Model License"], [r"blueoakcouncil\.org/license"], ["BlueOak-1.0.0"]),
     ("proprietary", "rights", ["All rights reserved", "Alle Rechte vorbehalten", "Tous droits réservés", "Todos los derechos reservados"], [], []),
 ]
 
+#: keywords of names that do not hold the keyword of their licence
+OWN_KEYWORDS = {
+    "X Consortium License": "consortium",
+    "Berkeley Software Distribution License": "berkeley",
+    "Internet Systems Consortium License": "consortium",
+    r"PSF License(?: Agreement)?": "psf",
+    "Alle Rechte vorbehalten": "vorbehalten",
+    "Tous droits réservés": "réservés",
+    "Todos los derechos reservados": "reservados",
+}
+
 #: Creative Commons: conditions and versions make the names, the identifiers and the addresses
 CC_CONDITIONS = {
     "by": "Attribution",
@@ -118,7 +129,7 @@ def _cc() -> list[tuple[str, str, list[str], list[str], list[str]]]:
     for key, name in CC_CONDITIONS.items():
         for version in CC_VERSIONS:
             dotted = version.replace(".", r"\.")
-            short = rf"CC[ -]{key.replace('-', '[ -]')}[ -](?:v\.?\s?)?{dotted}"
+            short = rf"CC {key.replace('-', ' ')} (?:v\.?\s?)?{dotted}"
             address = rf"creativecommons\.org/licenses/{key}/{dotted}"
             found.append((f"cc-{key}-{version}", "cc", [short], [], [f"CC-{key.upper()}-{version}"]))
             long_name = rf"Creative Commons {name}(?: {dotted})(?: International| Unported)?(?: Public)?(?: License)?"
@@ -132,14 +143,14 @@ def rules() -> list[Rule]:
     made: list[Rule] = []
     for label, keyword, names, addresses, identifiers in LICENCES + _cc():
         for name in names:
-            spaced = name.replace(" ", GAP)
-            made.append(Rule(keyword, "(?i)" + _edge(GRANT + spaced), label, 2, 0.98))
-            made.append(Rule(keyword, "(?i)" + _edge(spaced), label, 3, 0.8))
+            spaced, held = name.replace(" ", GAP), OWN_KEYWORDS.get(name, keyword)
+            made.append(Rule(held, "(?i)" + _edge(GRANT + spaced), label, 2, 0.98))
+            made.append(Rule(held, "(?i)" + _edge(spaced), label, 3, 0.8))
         for address in addresses:
             made.append(Rule(address.split("\\")[0].lower().split("/")[0], rf"(?i){address}[\w./-]{{0,40}}", label, 2, 0.95))
         for identifier in identifiers:
             quoted = identifier.replace(".", r"\.").replace("+", r"\+")
             made.append(Rule("spdx", rf"(?i)SPDX-License-Identifier:\s{{0,4}}\(?{quoted}(?![A-Za-z0-9.-])", label, 1, 0.99))
-    made.append(Rule("licen", "(?i)(?<![A-Za-z0-9])" + GRANT, "unknown", 4, 0.4))
+    made.append(Rule("under", "(?i)(?<![A-Za-z0-9])" + GRANT, "unknown", 4, 0.4))
     made.append(Rule("copyright", r"(?i)copyright\s{1,4}(?:\(c\)|©)?\s{0,4}(?:19|20)\d\d", "copyright", 4, 0.3))
     return made

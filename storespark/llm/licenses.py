@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storespark.llm.common import text_or_empty
-from storespark.llm.license_rules import Rule, rules
+from storespark.llm.license_rules import GAP, GRANT, Rule, rules
 
 #: Word characters with A-Z still in place; lower-casing them changes no word's extent.
 WORD_CHAR = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -67,17 +67,24 @@ def matches(text: Column, pattern: Column) -> Column:
     )
 
 
-#: Every rule's matches hold at least one of these, in lower case; texts without any are not looked at further.
+#: Every rule's matches hold at least one of these words, in lower case, or a match of ``TRIGGER_FORMS``; texts without
+#: any are not looked at further.
 TRIGGERS = (
-    "licen", "gpl", "clause", "attribution", "wtfpl", "cc0", "cc by", "cc-by", "public domain", "publicdomain", "ncsa",
+    "licen", "gpl", "clause", "attribution", "wtfpl", "cc0", "domain", "ncsa",
     "cecill", "mulan", "reserved", "vorbehalten", "réservés", "reservados", "copyright", "eupl.eu", "sil.org", "epl-",
-    "creative",
+    "creative", "mozilla.org/mpl", "edl-",
 )
+TRIGGER_FORMS = (rf"cc{GAP}by", GRANT)
 
 
 def gate(text: Column) -> Column:
     """Whether a text holds any trigger."""
-    return bound(F.lower(text), lambda low: reduce(lambda a, b: a | b, [F.contains(low, F.lit(t)) for t in TRIGGERS]))
+
+    def held(low: Column) -> Column:
+        words = [F.contains(low, F.lit(t)) for t in TRIGGERS]
+        return reduce(lambda a, b: a | b, [*words, *[F.rlike(low, F.lit(form)) for form in TRIGGER_FORMS]])
+
+    return bound(F.lower(text), held)
 
 
 def _rules_by_keyword(ordered: list[Rule]) -> Column:

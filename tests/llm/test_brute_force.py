@@ -124,6 +124,68 @@ def test_license_rules_and_suppression(spark):
     assert len(licenses.rules()) > 300
 
 
+def _samples(parsed, space):
+    """Shortest texts that a rule matches, one for each choice of alternatives, with ``space`` for white space."""
+    made = [""]
+    for op, value in parsed:
+        name = str(op)
+        if name in ("ASSERT", "ASSERT_NOT", "AT"):
+            continue
+        if name == "LITERAL":
+            parts = [chr(value)]
+        elif name == "IN":
+            kind, first = value[0]
+            parts = [space if str(kind) == "CATEGORY" and "SPACE" in str(first) else chr(first[0] if str(kind) == "RANGE" else first) if str(kind) != "CATEGORY" else "1"]
+        elif name == "MAX_REPEAT":
+            parts = [s * value[0] for s in _samples(value[2], space)] if value[0] else [""]
+        elif name == "SUBPATTERN":
+            parts = _samples(value[3], space)
+        elif name == "BRANCH":
+            parts = [s for branch in value[1] for s in _samples(branch, space)]
+        else:
+            raise ValueError(name)
+        made = [a + b for a in made for b in parts]
+    return made
+
+
+def test_each_license_rule_is_found_through_the_gates():
+    from storespark.llm import license_rules
+
+    ordered = licenses.rules()
+    forms = [re.compile(f) for f in licenses.TRIGGER_FORMS]
+    for rule in ordered:
+        assert " " not in rule.keyword
+        for space in " \n":
+            for text in _samples(re._parser.parse(rule.pattern), space):
+                low = text.lower()
+                assert re.search(rule.pattern, text), (rule, text)
+                assert rule.keyword in low, (rule, text)
+                assert any(t in low for t in licenses.TRIGGERS) or any(f.search(low) for f in forms), (rule, text)
+    assert len(ordered) == 522 and set(license_rules.OWN_KEYWORDS) <= {n for x in license_rules.LICENCES for n in x[2]}
+
+
+def test_license_names_with_words_of_their_own(spark):
+    cases = {
+        "Alle Rechte vorbehalten": "proprietary",
+        "Tous droits\nréservés": "proprietary",
+        "Todos los derechos reservados": "proprietary",
+        "X Consortium License": "x11",
+        "Berkeley Software\nDistribution License": "bsd",
+        "Internet Systems Consortium License": "isc",
+        "PSF License": "python",
+        "in the public\ndomain": "public-domain",
+        "GNU Free\nDocumentation License": "fdl",
+        "Server\nSide Public License": "sspl",
+        "Business\nSource License": "busl",
+        "CC\nBY-SA 4.0": "cc-by-sa-4.0",
+        "mozilla.org/MPL/2.0": "mpl",
+        "released under its terms": "unknown",
+    }
+    rows = [(i, text, None, None, None) for i, text in enumerate(cases)]
+    found = licenses.scan_licenses(spark.createDataFrame(rows, SCHEMA)).orderBy("doc_id").collect()
+    assert {t: r["labels"] for t, r in zip(cases, found)} == cases
+
+
 def _units(text):
     words = re.findall(r"\w+", text.lower())
     n = min(5, len(words))
