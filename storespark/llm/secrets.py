@@ -2,9 +2,9 @@
 
 Every text is scanned for candidates: the three base kinds, and further kinds
 of known form. A candidate's value is kept as SHA-256 only. Over the corpus
-the hashes are summed by owner and repository: a value that many owners hold
-is a widely copied example, a random-looking value that one owner holds is
-likely a live credential.
+the hashes are summed by owner and repository: a value that many owners or
+many repositories hold is a widely copied example, a random-looking value that
+one owner holds in a few repositories is likely a live credential.
 
 The scan is one Arrow pass that writes counts, spans and hashes; only those
 narrow rows are shuffled, and the sums are combined per task before they move,
@@ -60,8 +60,10 @@ SCANNED = (
     "doc_id bigint, owner string, repo string, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, "
     "spans string, candidates array<struct<hash:string,kind:string,from:int,to:int,random:boolean>>"
 )
-#: A value is an example from this many owners on; below it, one owner only makes it owner-specific.
-EXAMPLE_OWNERS = 3
+#: A value is an example from this many owners or repositories on; below both, one owner only makes it owner-specific.
+EXAMPLE_OWNERS, EXAMPLE_REPOS = 3, 10
+#: A live value is in so many repositories at most.
+LIVE_REPOS = 3
 
 
 def entropy(value: str) -> float:
@@ -138,16 +140,20 @@ def ownership(scanned: DataFrame) -> DataFrame:
     )
 
 
-def verdict(example_owners: int = EXAMPLE_OWNERS) -> Column:
+def verdict(example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> Column:
     return (
-        F.when(F.col("n_owners") >= example_owners, "example")
-        .when((F.col("n_owners") == 1) & F.col("random"), "live")
+        F.when((F.col("n_owners") >= example_owners) | (F.col("n_repos") >= example_repos), "example")
+        .when((F.col("n_owners") == 1) & (F.col("n_repos") <= LIVE_REPOS) & F.col("random"), "live")
         .otherwise("unclear")
     )
 
 
 def scan_secrets(
-    docs: DataFrame, owner: Column | None = None, repo: Column | None = None, example_owners: int = EXAMPLE_OWNERS
+    docs: DataFrame,
+    owner: Column | None = None,
+    repo: Column | None = None,
+    example_owners: int = EXAMPLE_OWNERS,
+    example_repos: int = EXAMPLE_REPOS,
 ) -> DataFrame:
     """One row per row of ``docs``: base counts and digest, all spans, and the candidates with their verdicts.
 
@@ -158,7 +164,7 @@ def scan_secrets(
     repo = docs["doc_id"] if repo is None else repo
     scanned = materialise(scan(docs, owner, repo).withColumn("_row", F.monotonically_increasing_id()), "secrets")
     each = scanned.select("_row", F.explode("candidates").alias("c")).select("_row", "c.*")
-    judged = each.join(ownership(scanned), "hash").withColumn("verdict", verdict(example_owners))
+    judged = each.join(ownership(scanned), "hash").withColumn("verdict", verdict(example_owners, example_repos))
     span = F.concat_ws(":", "kind", "from", "to")
     of = lambda v: F.count_if(F.col("verdict") == v)
     per_row = judged.groupBy("_row").agg(

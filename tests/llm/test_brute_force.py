@@ -69,6 +69,17 @@ def test_ownership_separates_examples_from_live_values(spark):
     assert found[3]["found"][0]["n_repos"] == 20
 
 
+def test_copies_within_one_owner_are_examples(spark):
+    copied, few, live = ("tok_" + f"{x}f8a7c6b5d4e3f2a1b0c" for x in "789")
+    rows = [(i, f"token = {copied}", None, "hot", 0) for i in range(1000)]
+    rows += [(1000 + i, f"token = {few}", None, "hot", 0) for i in range(5)]
+    rows += [(2000 + i, f"token = {live}", None, "hot", 0) for i in range(2)]
+    found = {r["doc_id"]: r for r in secrets.scan_secrets(spark.createDataFrame(rows, SCHEMA)).collect()}
+    counts = {i: tuple(found[i][f"n_{v}"] for v in ("live", "example", "unclear")) for i in (0, 999, 1000, 2000)}
+    assert counts == {0: (0, 1, 0), 999: (0, 1, 0), 1000: (0, 0, 1), 2000: (1, 0, 0)}
+    assert found[0]["live_spans"] == "" and found[0]["most_owners"] == 1
+
+
 def _exact(texts):
     groups = defaultdict(list)
     for doc_id, text in texts:
