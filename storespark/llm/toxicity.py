@@ -13,7 +13,8 @@ trees see four fifths of the sample, the isotonic step the rest.
 Defined cases: a null or empty text has all features 0 and is scored like any
 other; without labels of both kinds every score is 0; labels with a null
 doc_id or a null mark are not learned from, and of repeated labels the largest
-counts; rows alike are scored separately.
+counts; rows alike are scored separately. A row is dropped by its own text:
+rows with another text under a repeated or null doc_id stay.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storespark.llm.common import fold, materialise, arrow_ready, text_or_empty
+from storespark.llm.common import fold, materialise, arrow_ready, row_name, text_or_empty
 
 MOST_LABELLED, MOST_LEARNED, LEAST_LOG_ODDS, LEAST_SHARE = 12_000, 400, 2.5, 0.01
 TREES, DEPTH = 15, 4
@@ -120,7 +121,8 @@ def features(text: str, words: Words) -> list[float]:
         while a < len(address) and address[a] < i - NEAR:
             a += 1
         near += a < len(address) and address[a] <= i + NEAR
-    for run in SPACED.findall(text) if hidden or len(text) < 1_000_000 else []:
+    runs = SPACED.findall(text)
+    for run in runs:
         hidden += re.sub(r"\W|_", "", run).lower() in LEXICON
     letters = sum(map(str.isalpha, text))
     capitals = sum(map(str.isupper, text))
@@ -142,7 +144,7 @@ def features(text: str, words: Words) -> list[float]:
         disguised * per,
         math.log1p(hidden),
         stretched * per,
-        float(len(SPACED.findall(text))) * per,
+        float(len(runs)) * per,
         (len(text) - letters - spaces) / len(text),
     ]
 
@@ -234,18 +236,19 @@ def raw_score():
 
 
 def score(docs: DataFrame, model) -> DataFrame:
-    """doc_id, score and predicted of every row; only doc_id and text are read."""
-    rows = docs.select(F.col("doc_id").cast("bigint"), text_or_empty().alias("text"))
+    """doc_id, name, score and predicted of every row; only doc_id and text are read."""
+    name = row_name(docs["doc_id"], docs["text"]).alias("name")
+    rows = docs.select(F.col("doc_id").cast("bigint"), name, text_or_empty().alias("text"))
     if model is None:
-        return rows.select("doc_id", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return rows.select("doc_id", "name", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     learned, trees, calibration = model
-    scored = with_features(rows, learned, "doc_id bigint").withColumn("features", array_to_vector("features"))
-    scored = trees.transform(scored).select("doc_id", raw_score().alias("raw"))
+    scored = with_features(rows, learned, "doc_id bigint, name string").withColumn("features", array_to_vector("features"))
+    scored = trees.transform(scored).select("doc_id", "name", raw_score().alias("raw"))
     value = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("prediction")))
     return (
         calibration.setFeaturesCol("raw")
         .transform(scored)
-        .select("doc_id", value.alias("score"), F.when(value >= 0.5, 1).otherwise(0).alias("predicted"))
+        .select("doc_id", "name", value.alias("score"), F.when(value >= 0.5, 1).otherwise(0).alias("predicted"))
     )
 
 
@@ -257,6 +260,6 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic; texts are shuffled by doc_id only."""
-    bad = toxicity(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """The rows of ``docs`` that are not predicted toxic; texts are shuffled once, by row name."""
+    bad = score(docs, train(docs, labels)).where("predicted = 1").select(F.col("name").alias("_bad")).distinct()
+    return docs.join(bad, row_name(docs["doc_id"], docs["text"]) == bad["_bad"], "left_anti")

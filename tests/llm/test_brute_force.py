@@ -427,6 +427,26 @@ def test_toxic_words_in_disguise():
     assert toxicity.features("vequique", words)[at("learned_strongest")] == 4.0
 
 
+def test_spaced_insults_count_at_every_length():
+    words, at = toxicity.Words({}), toxicity.FEATURES.index("disguised_hits")
+    short, long = (toxicity.features("you i d i o t " + "word " * n, words)[at] for n in (10, 250_000))
+    assert short == long > 0
+
+
+def test_toxic_rows_take_no_clean_row_along(spark, monkeypatch):
+    rows = [(i, t, None, None, None) for i in (None, 7) for t in ("you idiot", "a kind word")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    toxic = F.col("text") == "you idiot"
+
+    def scored(given, model):
+        name = toxicity.row_name(given["doc_id"], given["text"]).alias("name")
+        return given.select("doc_id", name, toxic.cast("double").alias("score"), toxic.cast("int").alias("predicted"))
+
+    monkeypatch.setattr(toxicity, "train", lambda *_: None)
+    monkeypatch.setattr(toxicity, "score", scored)
+    assert rows_of(toxicity.drop_toxic(docs, None), "doc_id", "text") == [(7, "a kind word"), (None, "a kind word")]
+
+
 def test_without_labels_nothing_is_toxic(docs, spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert {(r["score"], r["predicted"]) for r in toxicity.toxicity(docs, none).collect()} == {(0.0, 0)}
