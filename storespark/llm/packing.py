@@ -48,7 +48,8 @@ class Tokens:
     second about four times as fast. Both split a text by the same expression;
     they can differ only in which rare characters they take for letters,
     numbers or spaces. So texts of ``ALIKE`` characters go to the faster one
-    and any other text to the first, whose ids are the ones asked for.
+    and any other text to the first, whose ids are the ones asked for; so does
+    a text that holds an added token of the vocabulary, which is one id.
     """
 
     #: ASCII, Latin letters and common signs, which have been what they are since the first Unicode versions
@@ -61,7 +62,7 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.fast = None
         if path is None or ranks:
             with open(ranks or public_tokenizers.path(RANKS), "rb") as lines:
@@ -73,7 +74,7 @@ class Tokens:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out = []
         for text in texts:
-            if self.fast and self.ALIKE.fullmatch(text):
+            if self.fast and self.ALIKE.fullmatch(text) and not any(a in text for a in self.added):
                 ids = self.fast.encode_ordinary(text)
             else:
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids

@@ -362,6 +362,17 @@ def test_tokens_equal_the_tokenizers(texts):
         assert tokens.encode([text])[0].tolist() == tokens.tokenizer.encode(text, add_special_tokens=False).ids + [0]
 
 
+def test_tokens_equal_a_fresh_tokenizers(texts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    fresh, tokens = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY)), packing.Tokens()
+    assert fresh.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    odd = ["a <|endoftext|> b", "<|endoftext|>", "漢<|endoftext|>", "<|endoftext |>", "x<|endoftext|><|endoftext|>\n"]
+    for text in odd + [t for _, t in texts[:60]]:
+        assert tokens.encode([text])[0].tolist() == fresh.encode(text, add_special_tokens=False).ids + [0]
+
+
 def test_closest_sum_is_the_best_one():
     rng = np.random.default_rng(3)
     for _ in range(60):
