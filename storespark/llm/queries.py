@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storespark.llm import (
+    bpe_prefix,
     dartminhash,
     exact_dedup,
     fingerprints,
+    hard_negatives,
     langid,
     licenses,
     mixing,
@@ -65,6 +67,14 @@ def op10_warc_packages(spark: SparkSession, folder: str) -> DataFrame:
     return warc_zip.archive_pages(table(spark, folder, "pages")).drop("url")
 
 
+def op12_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe_prefix.digests(table(spark, folder, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -78,6 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_water_filling,
         op9_bin_slack,
         op10_warc_packages,
+        op12_prefix_bpe,
+        op13_hard_negatives,
     )
 }
 
@@ -134,4 +146,25 @@ select page_id, payload_bytes, payload_digest,
   case when page_id = first_id then 'response' else 'revisit' end as record_type,
   case when page_id <> first_id then first_id end as refers_to
 from t""",
+    "op13_hard_negatives": """
+with usable as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same,
+    cast(list_dot_product(a.v, b.v) as bigint) as score
+  from usable a join usable b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+positives as (
+  select anchor_id, id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select p.anchor_id, p.positive_id,
+  cast(row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.id) as integer) as rank,
+  n.id as negative_id, p.positive_score, n.score as negative_score
+from positives p join scored n
+  on n.anchor_id = p.anchor_id and not n.same
+  and 30 * p.positive_score <= 100 * n.score and 100 * n.score <= 90 * p.positive_score
+qualify row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.id) <= 10""",
 }
