@@ -17,6 +17,7 @@ from storespark.llm import (
     licenses,
     mixing,
     packing,
+    prefix_trie,
     secrets,
     toxicity,
     warc_zip,
@@ -67,6 +68,10 @@ def op10_warc_packages(spark: SparkSession, folder: str) -> DataFrame:
     return warc_zip.archive_pages(table(spark, folder, "pages")).drop("url")
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.shared_prefix_trie(table(spark, folder, "conversations"))
+
+
 def op12_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_prefix.digests(table(spark, folder, "documents"))
 
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_water_filling,
         op9_bin_slack,
         op10_warc_packages,
+        op11_prefix_trie,
         op12_prefix_bpe,
         op13_hard_negatives,
     )
@@ -146,6 +152,47 @@ select page_id, payload_bytes, payload_digest,
   case when page_id = first_id then 'response' else 'revisit' end as record_type,
   case when page_id <> first_id then first_id end as refers_to
 from t""",
+    "op11_prefix_trie": """
+with own as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as place
+  from conversations where conv_id is not null),
+ids as (select conv_id, cast(conv_id as varchar) as digits from own group by conv_id),
+hashed as (
+  select conv_id, xor(list_reduce(
+      list_concat([cast(4294967295 as bigint)], flatten(list_transform(range(1, strlen(digits) + 1),
+        lambda i: [cast(ascii(substr(digits, i, 1)) as bigint), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, x: case when x >= 0 then xor(a, x) when a % 2 = 1 then xor(a // 2, 3988292384) else a // 2 end),
+    4294967295) % 9 as h
+  from ids),
+parts as (
+  select i.conv_id, 0 as part, o.place, o.role, o.text
+  from hashed i join own o on o.conv_id = i.conv_id - i.conv_id % 5 and o.place <= i.h
+  union all
+  select i.conv_id, 1, o.place, o.role, o.text from hashed i join own o on o.conv_id = i.conv_id and o.place > i.h),
+rebuilt as (select *, row_number() over (partition by conv_id order by part, place) as d from parts),
+paths as (
+  select conv_id, d, strlen(text) as bytes,
+    list(sha256(length(role) || ':' || role || text)) over (partition by conv_id order by d) as path
+  from rebuilt),
+prefixes as (
+  select conv_id, d, bytes, sha256(cast(path as varchar)) as key from paths
+  union all select conv_id, 0, 0, 'root' from ids),
+lengths as (select conv_id, max(d) as length from prefixes group by conv_id),
+nodes as (
+  select key, d, min(conv_id) as conv_id, count(*) as n_convs, max(bytes) as bytes,
+    coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where length = d), '') as ends
+  from prefixes join lengths using (conv_id) group by key, d),
+linked as (
+  select n.*, p.key as parent_key from nodes n left join prefixes p on p.conv_id = n.conv_id and p.d = n.d - 1),
+kids as (select parent_key as key, count(*) as n_children from linked where parent_key is not null group by parent_key),
+subtrees as (
+  select p.key, sum((n.n_convs - 1) * n.bytes) as saved_tokens, count(*) filter (where k.key is null) as n_leaves
+  from nodes n left join kids k on k.key = n.key join prefixes p on p.conv_id = n.conv_id and p.d <= n.d
+  group by p.key)
+select l.conv_id, l.d as depth, u.conv_id as parent_conv_id, l.n_convs, coalesce(k.n_children, 0) as n_children,
+  s.n_leaves, cast(s.saved_tokens as bigint) as saved_tokens, sha256(l.ends) as ends_sha256
+from linked l join subtrees s on s.key = l.key left join kids k on k.key = l.key left join nodes u on u.key = l.parent_key""",
     "op13_hard_negatives": """
 with usable as (
   select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
