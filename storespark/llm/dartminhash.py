@@ -49,6 +49,8 @@ MOST_BITS = 31
 #: Bounds on counts give way by so much, as products with the threshold are rounded.
 SLACK = 1e-6
 WORD = re.compile(r"\w+")
+#: Texts are worked on together up to so many words; a longer text is worked on by itself.
+RUN_WORDS = 200_000
 _A, _B, _C = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
 
@@ -73,41 +75,91 @@ class WordHashes:
         return np.fromiter((known[w] for w in words), dtype=np.uint64, count=len(words))
 
 
-def units(words: np.ndarray, n: int = WORDS) -> np.ndarray:
-    """A hash per unit of weight: of the shingle and of its how-manieth occurrence it is."""
-    if not len(words):
-        return words
-    n = min(n, len(words))
-    shingles = np.zeros(len(words) - n + 1, dtype=np.uint64)
+def unit_runs(words: np.ndarray, starts: np.ndarray, n: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Units of weight of several texts, sorted within each, and where each text's units start.
+
+    A unit is a hash of a shingle and of its how-manieth occurrence it is. ``words`` are the words' hashes of all texts
+    one after the other; ``starts`` has one entry more than there are texts.
+    """
+    sizes = np.diff(starts)
+    counts = np.where(sizes >= n, sizes - n + 1, (sizes > 0).astype(sizes.dtype))
+    ends = np.concatenate(([0], np.cumsum(counts)))
+    owner = np.repeat(np.arange(len(sizes)), counts)
+    first = starts[owner] + (np.arange(ends[-1]) - ends[owner])
+    width = np.minimum(sizes, n)[owner]
+    shingles = np.zeros(len(owner), dtype=np.uint64)
     for i in range(n):
-        shingles = mixed(shingles + words[i : len(words) - n + 1 + i] + _C)
-    shingles.sort()
-    first = np.concatenate(([0], np.flatnonzero(shingles[1:] != shingles[:-1]) + 1))
-    nth = np.arange(len(shingles)) - np.repeat(first, np.diff(np.append(first, len(shingles))))
-    return mixed(shingles + nth.astype(np.uint64) * _C)
+        if (width > i).all():
+            shingles = mixed(shingles + words[first + i] + _C)
+        else:
+            more = np.flatnonzero(width > i)
+            shingles[more] = mixed(shingles[more] + words[first[more] + i] + _C)
+    for x, y in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        shingles[x:y].sort()
+    new = np.ones(len(shingles), dtype=bool)
+    new[1:] = shingles[1:] != shingles[:-1]
+    new[ends[:-1][counts > 0]] = True
+    place = np.arange(len(shingles))
+    nth = place - np.maximum.accumulate(np.where(new, place, 0))
+    return mixed(shingles + nth.astype(np.uint64) * _C), ends
 
 
-def signature(weight: np.ndarray, k: int = COORDINATES) -> np.ndarray:
-    """The name of the earliest dart per coordinate; ``weight`` are the units of one text, at least one."""
-    bound = k * (np.log(k) + 3) / len(weight)
-    while True:
-        alive, rank, throw = weight, np.zeros(len(weight)), 0
-        names, ranks = [], []
+def units(words: np.ndarray, n: int = WORDS) -> np.ndarray:
+    """Units of weight of one text."""
+    return unit_runs(words, np.array([0, len(words)]), n)[0]
+
+
+def signatures(weight: np.ndarray, ends: np.ndarray, k: int = COORDINATES) -> np.ndarray:
+    """The name of the earliest dart per text and coordinate; every text has at least one unit.
+
+    Darts are thrown for all texts at once. Texts with an empty coordinate throw again up to twice the rank.
+    """
+    sizes = np.diff(ends)
+    out, todo = np.empty((len(sizes), k), dtype=np.uint64), np.arange(len(sizes))
+    bound = k * (np.log(k) + 3) / sizes
+    while len(todo):
+        owner = np.repeat(np.arange(len(todo)), sizes[todo])
+        alive = weight if len(todo) == len(sizes) else np.concatenate([weight[ends[t] : ends[t + 1]] for t in todo])
+        rank, most, throw = np.zeros(len(alive)), bound[todo], 0
+        names, ranks, slots = [], [], []
         while len(alive):
             throw += 1
             darts = mixed(alive + np.uint64(throw * int(_C) % 2**64))
             rank = rank - np.log(((darts >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53)
-            near = rank <= bound
-            alive, rank, darts = alive[near], rank[near], darts[near]
-            names.append(mixed(darts ^ _B))
+            near = rank <= most[owner]
+            alive, rank, darts, owner = alive[near], rank[near], darts[near], owner[near]
+            name = mixed(darts ^ _B)
+            names.append(name)
             ranks.append(rank)
-        names, ranks = np.concatenate(names), np.concatenate(ranks)
-        coordinate = (names % np.uint64(k)).astype(np.int64)
-        order = np.lexsort((names, ranks, coordinate))
-        filled, first = np.unique(coordinate[order], return_index=True)
-        if len(filled) == k:
-            return names[order][first]
-        bound *= 2
+            slots.append(owner * k + (name % np.uint64(k)).astype(np.int64))
+        names, ranks, slots = np.concatenate(names), np.concatenate(ranks), np.concatenate(slots)
+        late_first = np.argsort(-ranks, kind="stable")
+        earliest = np.full(len(todo) * k, -1)
+        earliest[slots[late_first]] = late_first  # of several darts the last one written, the earliest, stays
+        earliest = earliest.reshape(len(todo), k)
+        full = (earliest >= 0).all(axis=1)
+        out[todo[full]] = names[earliest[full]]
+        bound[todo] *= 2
+        todo = todo[~full]
+    return out
+
+
+def signature(weight: np.ndarray, k: int = COORDINATES) -> np.ndarray:
+    """The signature of one text of at least one unit."""
+    return signatures(weight, np.array([0, len(weight)]), k)[0]
+
+
+def runs_of_texts(texts: list[str], words: WordHashes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Word hashes of texts one after the other, up to about ``RUN_WORDS`` words at a time, and where each text starts."""
+    held, starts = [], [0]
+    for text in texts:
+        held += WORD.findall(text.lower())
+        starts.append(len(held))
+        if len(held) >= RUN_WORDS:
+            yield words.of(held), np.array(starts)
+            held, starts = [], [0]
+    if len(starts) > 1:
+        yield words.of(held), np.array(starts)
 
 
 def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,22 +167,22 @@ def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     spread = np.arange(1, BANDS + 1, dtype=np.uint64) * _C
     for batch in batches:
         same, bits, bands = [], [], []
-        for text in batch.column("text").to_pylist():
-            hashes = words.of(WORD.findall(text.lower()))
-            same.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).hexdigest())
-            own = units(hashes)
-            if not len(own):
-                bits.append([0, 0])
-                bands.append([])
-                continue
-            sign = signature(own)
-            bits.append(np.packbits((sign >> np.uint64(20) & np.uint64(1)).astype(bool)).view(np.int64).tolist())
-            key = spread.copy()
-            for column in sign.reshape(BANDS, ROWS).T:
-                key = mixed(key + column)
-            bands.append(key.view(np.int64).tolist())
+        for hashes, starts in runs_of_texts(batch.column("text").to_pylist(), words):
+            same += [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).hexdigest() for a, b in zip(starts[:-1], starts[1:])]
+            own, ends = unit_runs(hashes, starts)
+            some = np.flatnonzero(np.diff(ends))
+            sign = signatures(own, np.append(ends[some], ends[-1])) if len(some) else np.empty((0, COORDINATES), np.uint64)
+            packed = np.packbits((sign >> np.uint64(20) & np.uint64(1)).astype(bool), axis=1).view(np.int64)
+            keys = np.tile(spread, (len(some), 1))
+            for i in range(ROWS):
+                keys = mixed(keys + sign.reshape(-1, BANDS, ROWS)[:, :, i])
+            of_text = dict(zip(some.tolist(), zip(packed.tolist(), keys.view(np.int64).tolist())))
+            for i in range(len(starts) - 1):
+                own_bits, own_bands = of_text.get(i, ([0, 0], []))
+                bits.append(own_bits)
+                bands.append(own_bands)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("name"), pa.array(same), pa.array(bits, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))],
+            [batch.column("doc_id"), batch.column("name"), pa.array(same, pa.string()), pa.array(bits, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))],
             names=["doc_id", "name", "same", "bits", "bands"],
         )
 
@@ -138,7 +190,10 @@ def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = WordHashes()
     for batch in batches:
-        found = [np.sort(units(words.of(WORD.findall(t.lower())))).tobytes() for t in batch.column("text").to_pylist()]
+        found = []
+        for hashes, starts in runs_of_texts(batch.column("text").to_pylist(), words):
+            own, ends = unit_runs(hashes, starts)
+            found += [np.sort(own[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:])]
         yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(found, pa.binary())], names=["rep", "units"])
 
 
