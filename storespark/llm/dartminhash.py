@@ -14,11 +14,13 @@ Links are found by bands of the signature and verified exactly on the
 shingles. Texts with equal words are one text first. Within a bucket every
 text is compared with the bucket's hub, the member that shares most buckets
 with others. Buckets of up to ``FEW`` members that still hold several classes
-are then compared in full. In larger ones, members outside the largest class
-are joined with members of other classes by an exact prefix filter: two sets
-at the threshold share a unit among the rarest of each, so a passage that
-thousands of texts have in common brings none of them together, and no similar
-pair is passed over.
+are then compared in full. Texts of larger ones that do are joined by an exact
+prefix filter: of two similar sets, the smaller holds one of the larger's
+rarest units among its own very rarest, and the place of that unit bounds the
+larger's size. Unit and size band make the key of the join, so a passage that
+thousands of texts have in common brings none of them together unless it makes
+them similar. Groups of one key meet their two hubs first; then only members of
+different classes are compared, all of them, so no similar pair is passed over.
 
 Defined cases: a null text counts as empty; texts with less than five words
 are one shingle of all their words, those without a word are one class; a null
@@ -48,6 +50,8 @@ FEW = 8
 MOST_BITS = 31
 #: Bounds on counts give way by so much, as products with the threshold are rounded.
 SLACK = 1e-6
+#: Sizes of a band are within this factor.
+SIZE_STEP = 1.03
 WORD = re.compile(r"\w+")
 #: Texts are worked on together up to so many words; a longer text is worked on by itself.
 RUN_WORDS = 200_000
@@ -229,27 +233,38 @@ def verified(pairs: DataFrame, own: DataFrame, threshold: float) -> DataFrame:
     return materialise(found.where(F.col("similarity") >= threshold), "links")
 
 
-def components(links: DataFrame, purpose: str = "classes") -> DataFrame:
-    """(rep, class) for every representative with a link: the smallest of its connected component.
+def components(links: DataFrame) -> DataFrame:
+    """(v, class) for every end of a link (a, b): the smallest of its connected component.
 
     Labels fall to the smallest neighbour's and then to their label's label, a round each,
     so rounds grow with the logarithm of a chain's length.
     """
     edges = links.select(F.col("a").alias("v"), F.col("b").alias("w")).union(links.select("b", "a"))
     edges = materialise(edges.distinct(), "edges")
-    labels = materialise(edges.groupBy("v").agg(F.least("v", F.min("w")).alias("class")), purpose)
+    labels = materialise(edges.groupBy("v").agg(F.least("v", F.min("w")).alias("class")), "classes")
     while True:
         near = edges.join(labels.withColumnRenamed("v", "w"), "w").groupBy("v").agg(F.min("class").alias("near"))
         lower = labels.join(near, "v").select("v", F.least("class", "near").alias("low"), F.col("class").alias("old"))
-        lower = materialise(lower, purpose)
+        lower = materialise(lower, "classes")
         of_label = lower.select(F.col("v").alias("low"), F.col("low").alias("lowest"))
         stepped = materialise(
             lower.join(of_label, "low").select("v", F.col("lowest").alias("class"), (F.col("lowest") < F.col("old")).alias("moved")),
-            purpose,
+            "classes",
         )
         labels = stepped.select("v", "class")
         if stepped.where("moved").isEmpty():
-            return labels.withColumnRenamed("v", "rep")
+            return labels
+
+
+def merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Classes (rep, class) after further links (a, b); only classes that a link joins are looked at."""
+    of = lambda c: classes.select(F.col("rep").alias(c), F.col("class").alias(f"{c}_class"))
+    placed = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    between = placed.select(F.coalesce("a_class", "a").alias("a"), F.coalesce("b_class", "b").alias("b")).where("a <> b").distinct()
+    found = components(between).select(F.col("v").alias("class"), F.col("class").alias("lower"))
+    moved = classes.join(found, "class", "left").select("rep", F.coalesce("lower", "class").alias("class"))
+    single = found.select(F.col("class").alias("rep"), F.col("lower").alias("class")).join(classes.select("rep"), "rep", "left_anti")
+    return materialise(moved.unionByName(single), "merged")
 
 
 def differing_bits(x: str, y: str) -> Column:
@@ -258,24 +273,25 @@ def differing_bits(x: str, y: str) -> Column:
 
 
 def hub_pairs(members: DataFrame, most_bits: int) -> DataFrame:
-    """Each member of a bucket with the bucket's hub."""
-    sizes = members.groupBy("key").count()
+    """Each member of a bucket with the bucket's hub.
+
+    Sums per bucket are written before they meet the members, so that hot buckets can be split.
+    """
+    sizes = materialise(members.groupBy("key").count(), "bucket-sizes")
     spread = members.join(sizes, "key").groupBy("rep").agg(F.sum("count").alias("spread"))
-    ranked = members.join(spread, "rep")
+    ranked = members.join(materialise(spread, "spread"), "rep")
     hubs = ranked.groupBy("key").agg(F.max(F.struct("spread", -F.col("rep"), "rep", "bits")).alias("h"))
-    hubs = hubs.select("key", F.col("h.rep").alias("hub"), F.col("h.bits").alias("hub_bits"))
+    hubs = materialise(hubs.select("key", F.col("h.rep").alias("hub"), F.col("h.bits").alias("hub_bits")), "hubs")
     pairs = members.join(hubs, "key").where((F.col("rep") != F.col("hub")) & (differing_bits("bits", "hub_bits") <= most_bits))
     return pairs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
 
 
 def several_classes(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of buckets that hold several classes, with the ``size`` and the ``main`` class of their bucket."""
+    """Members of buckets that hold several classes, with the ``size`` of their bucket."""
     placed = members.join(classes, "rep", "left").withColumn("class", F.coalesce("class", "rep"))
-    sizes = placed.groupBy("key", "class").count()
-    largest = sizes.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("count").alias("size"), F.max(F.struct("count", -F.col("class"), "class")).alias("m")
-    )
-    several = largest.where("n > 1").select("key", "size", F.col("m.class").alias("main"))
+    placed = materialise(placed, "placed-members")
+    sizes = placed.groupBy("key").agg(F.min("class").alias("_low"), F.max("class").alias("_high"), F.count(F.lit(1)).alias("size"))
+    several = materialise(sizes.where("_low <> _high").select("key", "size"), "several-keys")
     return materialise(placed.join(several, "key"), "several")
 
 
@@ -298,11 +314,11 @@ def listed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
-def prefixes(own: DataFrame, threshold: float) -> DataFrame:
-    """(rep, n, unit, place): the units, rarest first, of which a similar text has to hold one.
+def by_frequency(own: DataFrame, threshold: float) -> DataFrame:
+    """(rep, n, unit, place): of n units, in order of how many texts hold them, the first n - threshold * n + 1.
 
-    Of n units a partner shares at least threshold * n, so one of the first n - threshold * n + 1 in any order that
-    all texts keep to. Units that one text alone holds have their places, but no rows.
+    A partner shares at least threshold * n of them, so one of these, in any order that all texts keep to. Units that
+    one text alone holds have their places, but no rows.
     """
     held = materialise(own.mapInArrow(listed_batches, "rep bigint, n bigint, unit bigint"), "shingles")
     shared = materialise(held.groupBy("unit").agg(F.count(F.lit(1)).alias("frequency")).where("frequency > 1"), "frequencies")
@@ -311,35 +327,81 @@ def prefixes(own: DataFrame, threshold: float) -> DataFrame:
     alone = F.col("n") - F.count(F.lit(1)).over(by_rep)
     place = alone + F.row_number().over(by_rep.orderBy("frequency", "unit"))
     placed = common.select("rep", "n", "unit", place.alias("place"))
-    return materialise(placed.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold - SLACK) + 1), "prefixes")
+    return materialise(placed.where(F.col("place") <= first_places(threshold)), "prefixes")
+
+
+def first_places(share: float) -> Column:
+    """How many first places a partner that shares ``share`` of the n units cannot all miss."""
+    return F.col("n") - F.ceil(F.col("n") * share - SLACK) + 1
+
+
+def size_band(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / np.log(SIZE_STEP))
+
 
+def meeting_places(first: DataFrame, threshold: float) -> DataFrame:
+    """(unit, band, rep, n, place, small): rows of one unit and band may be similar if one is the ``small`` side.
 
-def prefix_pairs(placed: DataFrame, own: DataFrame, threshold: float) -> DataFrame:
-    """In larger buckets of several classes, members outside the largest with all of other classes that may be similar.
+    Of a pair of n1 >= n2 units at least (n1 + n2) * t / (1 + t) are shared, and no more than stand from the first
+    shared unit on. So the smaller holds that unit among fewer places than the larger, and its place bounds n1: as the
+    smaller side a row stands in the bands of all sizes that its place allows for, as the larger one in its own.
+    """
+    share = threshold / (1 + threshold)
+    most = (F.col("n") - F.col("place") + 1 + SLACK) / share - F.col("n")
+    # the highest band may begin a little early, as logarithms are rounded
+    bands = F.sequence(size_band(F.col("n")), size_band(F.greatest(F.col("n"), most) * (1 + SLACK)))
+    small = first.where(F.col("place") <= first_places(2 * share)).select("*", F.explode(bands).alias("band"), F.lit(True).alias("small"))
+    return small.unionByName(first.select("*", size_band(F.col("n")).alias("band"), F.lit(False).alias("small")))
+
+
+def groups_of_several(rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of meeting places that hold several classes, with their class, and each such place's main class and hubs.
+
+    The main class is the one with most rows; ``hub`` is of it, ``other`` of the others.
+    """
+    placed = rows.join(classes, "rep", "left").withColumn("class", F.coalesce("class", "rep"))
+    placed = materialise(placed, "placed-prefixes")
+    counted = placed.groupBy("unit", "band", "class").agg(F.count(F.lit(1)).alias("rows"), F.min("rep").alias("first"), F.max("small").alias("small"))
+    sides = F.struct("rows", -F.col("class"), F.col("class").alias("main"), F.col("first").alias("hub"))
+    groups = counted.groupBy("unit", "band").agg(F.max(sides).alias("m"), F.max("small").alias("small"), F.count(F.lit(1)).alias("classes"))
+    groups = materialise(groups.where("small and classes > 1").select("unit", "band", "m.main", "m.hub"), "places")
+    here = materialise(placed.join(groups, ["unit", "band"]), "meeting")
+    drawn = F.struct(F.xxhash64("rep", F.lit("other")), "rep")
+    others = here.where("class <> main").groupBy("unit", "band").agg(F.min(drawn)["rep"].alias("other"))
+    return here, materialise(others, "others")
 
-    Of two classes in a bucket one is outside. A pair passes if its sizes and what can follow the unit's places allow
-    for the threshold; at its first shared unit every similar pair does.
+
+def star_pairs(here: DataFrame, others: DataFrame) -> DataFrame:
+    """Every row outside its place's main class with the place's hub, and with one more row outside."""
+    outside = here.where("class <> main").select("unit", "band", "rep", "hub").distinct()
+    both = outside.join(others, ["unit", "band"]).select("rep", F.explode(F.array("hub", "other")).alias("with")).where("rep <> with")
+    return both.select(F.least("rep", "with").alias("a"), F.greatest("rep", "with").alias("b")).distinct()
+
+
+def cross_pairs(here: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of different classes at one place whose sizes and places allow for the threshold.
+
+    Of two classes at a place one is not its main class, so rows of the main class never meet each other.
     """
-    large = placed.where(F.col("size") > FEW)
-    outside = F.max(F.col("class") != F.col("main")).alias("outside")
-    who = materialise(large.groupBy("rep").agg(F.first("class").alias("class"), outside), "large")
-    first = prefixes(own.join(who.select("rep"), "rep", "left_semi"), threshold)
-    first = materialise(first.join(who, "rep"), "placed-prefixes")
-    one = first.where("outside").select("unit", *[F.col(c).alias(f"{c}1") for c in ("rep", "class", "n", "place")])
-    two = first.select("unit", *[F.col(c).alias(f"{c}2") for c in ("rep", "class", "n", "place", "outside")])
-    # a pair that is outside on both sides comes once
-    once = ~F.col("outside2") | (F.col("rep1") < F.col("rep2"))
+    sides = {}
+    for i in (1, 2):
+        sides[i] = here.select("unit", "band", *[F.col(c).alias(f"{c}{i}") for c in ("rep", "class", "n", "place", "small", "main")])
     least = (F.col("n1") + F.col("n2")) * (threshold / (1 + threshold)) - SLACK
     follow = F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2")) + 1
-    near = (one["unit"] == two["unit"]) & (F.col("class1") != F.col("class2")) & once & (follow >= least)
-    pairs = one.join(two, near)
+    # side 2 is the smaller one; which side lies outside the main class decides where a pair comes from
+    near = (F.col("class1") != F.col("class2")) & (F.col("n1") >= F.col("n2")) & (F.col("rep1") != F.col("rep2")) & (follow >= least)
+    large, small = sides[1].where("not small1").drop("small1"), sides[2].where("small2").drop("small2")
+    a = large.where("class1 <> main1").drop("main1").join(small.drop("main2"), ["unit", "band"]).where(near)
+    b = large.where("class1 = main1").drop("main1").join(small.where("class2 <> main2").drop("main2"), ["unit", "band"]).where(near)
+    pairs = a.select("rep1", "rep2").union(b.select("rep1", "rep2"))
     return pairs.select(F.least("rep1", "rep2").alias("a"), F.greatest("rep1", "rep2").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, most_bits: int = MOST_BITS) -> DataFrame:
-    """doc_id, class_id, class_size, kept, name: one row per row of ``docs`` (doc_id, text).
+    """doc_id, class_id, class_size, n_links, kept, name: one row per row of ``docs`` (doc_id, text).
 
-    ``class_id`` is the smallest doc_id of the class; the first row with it is kept.
+    ``class_id`` is the smallest doc_id of the class; the first row with it is kept. ``n_links`` counts the other texts
+    with which the row's text was compared and found similar; within a class not all pairs are compared.
     """
     arrow_ready(docs.sparkSession)
     rows = docs.select(
@@ -355,19 +417,32 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, most_bits: in
     first = sketched.join(groups.select(F.col("rep").alias("_row")), "_row", "left_semi")
     first = materialise(first.select(F.col("_row").alias("rep"), "name", "bits", "bands"), "representatives")
     members = first.select("rep", "bits", F.explode("bands").alias("key"))
-    shared = members.groupBy("key").count().where("count > 1").select("key")
+    shared = materialise(members.groupBy("key").count().where("count > 1").select("key"), "shared-keys")
     members = materialise(members.join(shared, "key"), "buckets")
     own = shingle_units(members, first.select("rep", "name"), rows.select("name", "text"))
     tried = materialise(hub_pairs(members, most_bits), "pairs")
     links = verified(tried, own, threshold).select("a", "b")
-    for pairs_of in (lambda p: few_pairs(p, most_bits), lambda p: prefix_pairs(p, own, threshold)):
-        classes = components(links)
-        pairs = pairs_of(several_classes(members, classes)).join(tried, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        tried, links = tried.unionByName(pairs), links.unionByName(verified(pairs, own, threshold).select("a", "b"))
-    classes = components(links)
-    by_text = groups.join(classes, "rep", "left").select("same", F.coalesce("class", "rep").alias("class"))
-    placed = materialise(sketched.join(by_text, "same").select("_row", "doc_id", "name", "class"), "placed")
+    classes = components(links).withColumnRenamed("v", "rep")
+
+    def compared(pairs: DataFrame) -> None:
+        nonlocal tried, links, classes
+        pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        found = verified(pairs, own, threshold).select("a", "b")
+        tried, links, classes = tried.unionByName(pairs), links.unionByName(found), merged(classes, found)
+
+    compared(few_pairs(several_classes(members, classes), most_bits))
+    large = several_classes(members, classes).where(F.col("size") > FEW).select("rep").distinct()
+    first = by_frequency(own.join(large, "rep", "left_semi"), threshold)
+    places = materialise(meeting_places(first, threshold), "meeting-places")
+    compared(star_pairs(*groups_of_several(places, classes)))
+    compared(cross_pairs(groups_of_several(places, classes)[0], threshold))
+    degrees = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
+    classes = materialise(classes.join(degrees, "rep", "left"), "classes-with-links")
+    by_text = groups.join(classes, "rep", "left").select(
+        "same", F.coalesce("class", "rep").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+    )
+    by_text = materialise(by_text, "classes-of-texts")
+    placed = materialise(sketched.join(by_text, "same").select("_row", "doc_id", "name", "class", "n_links"), "placed")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
     named = placed.groupBy("class").agg(F.min(order).alias("f"), F.count(F.lit(1)).alias("class_size"))
     # written, so that the join below shuffles by itself and a hot class can be split
@@ -375,7 +450,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, most_bits: in
         named.select("class", "class_size", F.col("f.doc_id").alias("class_id"), F.col("f._row").alias("_first")), "named"
     )
     return placed.join(named, "class").select(
-        "doc_id", "class_id", "class_size", (F.col("_row") == F.col("_first")).alias("kept"), "name"
+        "doc_id", "class_id", "class_size", "n_links", (F.col("_row") == F.col("_first")).alias("kept"), "name"
     )
 
 

@@ -498,3 +498,18 @@ def test_pairs_whose_buckets_are_all_large_are_found(spark):
     rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
     found = {r["doc_id"]: r["class_id"] for r in dartminhash.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert {(c, d) for d, c in found.items() if c != d} == set(near)
+
+
+def test_template_texts_do_not_meet_on_their_common_passage(spark):
+    """20,000 texts share 400 shingles and have 60 of their own: the join has to bring none of them together."""
+    n, common = 20_000, np.arange(400, dtype=np.uint64)
+    rows = [(i, np.concatenate((common, np.arange(60, dtype=np.uint64) + np.uint64(1000 + 60 * i))).tobytes()) for i in range(n)]
+    # pairs that are similar by what is their own
+    rows += [(n + i, np.concatenate((common, np.arange(60, dtype=np.uint64) + np.uint64(1000 + 60 * i + 5))).tobytes()) for i in range(5)]
+    own = spark.createDataFrame(rows, "rep bigint, units binary").repartition(8)
+    alone = spark.createDataFrame([], "rep bigint, class bigint")
+    places = dartminhash.meeting_places(dartminhash.by_frequency(own, 0.8), 0.8)
+    met = places.groupBy("unit", "band").agg(F.count_if(F.expr("small")).alias("s"), F.count_if(F.expr("not small")).alias("l"))
+    assert (met.selectExpr("sum(s * l)").first()[0] or 0) < n
+    pairs = dartminhash.cross_pairs(dartminhash.groups_of_several(places, alone)[0], 0.8)
+    assert rows_of(pairs) == [(i, n + i) for i in range(5)]
