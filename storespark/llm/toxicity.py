@@ -7,21 +7,29 @@ the reader, capitals, punctuation, and how many words are spelled so as to hide
 
 The learned lexicon, the trees and the calibration are fitted on labelled
 documents outside fold 0, at most about ``MOST_LABELLED`` of them by hash of
-the id. Words and word beginnings enter the lexicon by their log odds. The
-trees see four fifths of the sample, the isotonic step the rest.
+the id, equal texts once. Words, word beginnings and families (a beginning of
+several different words of one text) enter the lexicon by a lower bound of
+their log odds, however many there are. The sample has ``PARTS`` parts: the
+features of a part come from the lexicon of the other parts, and the
+calibration sees each part as scored by trees fitted on the others. So neither
+trees nor calibration trust a word for the very texts it was learned from.
 
 Defined cases: a null or empty text has all features 0 and is scored like any
-other; without labels of both kinds every score is 0; labels with a null
-doc_id or a null mark are not learned from, and of repeated labels the largest
-counts; rows alike are scored separately. A row is dropped by its own text:
-rows with another text under a repeated or null doc_id stay.
+other; without labels of both kinds, as in an empty table, every score is 0;
+labels with a null doc_id or a null mark are not learned from, and of repeated
+labels, and of labels of equal texts, the largest counts; rows alike are scored
+separately; texts of any length are read whole; further columns are not read. A
+row is dropped by its own text: rows with another text under a repeated or
+null doc_id stay.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +41,11 @@ from pyspark.sql import functions as F
 
 from storespark.llm.common import fold, materialise, arrow_ready, row_name, text_or_empty
 
-MOST_LABELLED, MOST_LEARNED, LEAST_LOG_ODDS, LEAST_SHARE = 12_000, 400, 2.5, 0.01
+MOST_LABELLED, PARTS = 12_000, 3
+#: A unit is learned from so many texts on, if its log odds less so many standard errors pass the bound.
+LEAST_TEXTS, ERRORS, LEAST_LOG_ODDS = 2, 1.3, 0.7
 TREES, DEPTH = 15, 4
-CLEAN_PRIOR = 0.2
+CLEAN_PRIOR = 0.1
 
 #: Insults and words of contempt in the four languages of the corpus.
 LEXICON = frozenset(
@@ -54,10 +64,13 @@ HIDDEN = str.maketrans("0134578@$!|+", "oieastbasiit")
 WORD = re.compile(r"[^\W_](?:[\w'@$!|*+-]*[^\W_])?")
 SPACED = re.compile(r"(?<!\w)(?:[^\W\d_][ .*_-]){3,}[^\W\d_](?!\w)")
 STRETCHED = re.compile(r"(.)\1{2,}")
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7)
+PLAIN = re.compile(r"[^\W_]+")
+#: Learned words stand beside the fixed lexicon, near an addressed reader or in disguise, from these log odds on.
+CERTAIN = 2.5
 NEAR = 6
 FEATURES = (
-    "log_words", "lexicon_density", "lexicon_log", "learned_density", "learned_log", "learned_strongest", "address_density",
+    "log_words", "lexicon_density", "lexicon_log", "learned_density", "learned_log", "learned_strongest", "family_strongest", "family_log", "address_density",
     "near_address", "capital_share", "shouted_share", "exclaim_density", "punctuation_density", "disguised_share",
     "disguised_hits", "stretched_share", "spaced_runs", "other_share",
 )
@@ -68,14 +81,21 @@ def units(word: str) -> list[str]:
     return [word, *(f"{word[:n]}~" for n in BEGINNINGS if len(word) > n)]
 
 
+def all_units(text: str) -> set[str]:
+    """The distinct units of a text, with the beginnings that several of its words have (families)."""
+    words = {w.lower() for w in PLAIN.findall(text)}
+    begun = Counter(w[:n] for w in words for n in BEGINNINGS if len(w) > n)
+    return words | {f"{b}~" for b in begun} | {f"{b}~~" for b, n in begun.items() if n > 1}
+
+
 class Words:
     """What a word says by itself; distinct words are looked up once per worker."""
 
     def __init__(self, learned: dict[str, float]) -> None:
         self.learned, self.known = learned, {}
 
-    def look(self, word: str) -> tuple[bool, float, bool, bool, bool]:
-        """In the fixed lexicon, strongest learned log odds, disguised, a disguised hit, stretched."""
+    def look(self, word: str) -> tuple[bool, float, bool, bool, bool, tuple[str, ...]]:
+        """In the fixed lexicon, strongest learned log odds, disguised, a disguised hit, stretched, learned families."""
         found = self.known.get(word)
         if found is None:
             low = word.lower()
@@ -86,9 +106,10 @@ class Words:
             narrow = STRETCHED.sub(r"\1", shown)
             stretched = bool(STRETCHED.search(low))
             hidden = not plain and odds == 0.0 and (disguised or stretched) and any(
-                w in LEXICON or any(u in self.learned for u in units(w)) for w in {shown, narrow}
+                w in LEXICON or self.learned.get(w, 0.0) >= CERTAIN for w in {shown, narrow}
             )
-            found = (plain, odds, disguised, hidden, stretched)
+            families = tuple(low[:n] for n in BEGINNINGS if len(low) > n and f"{low[:n]}~~" in self.learned)
+            found = (plain, odds, disguised, hidden, stretched, families)
             if len(self.known) > 300_000:
                 self.known.clear()
             self.known[word] = found
@@ -100,11 +121,11 @@ def features(text: str, words: Words) -> list[float]:
     n = len(found)
     if not text:
         return [0.0] * len(FEATURES)
-    hits, address = [], []
+    hits, address, begun = [], [], {}
     plain = learned = disguised = hidden = stretched = shouted = 0
     strongest = 0.0
     for i, word in enumerate(found):
-        fixed, odds, masked, unmasked, drawn = words.look(word)
+        fixed, odds, masked, unmasked, drawn, families = words.look(word)
         plain += fixed
         learned += odds > 0
         strongest = max(strongest, odds)
@@ -112,10 +133,13 @@ def features(text: str, words: Words) -> list[float]:
         hidden += unmasked
         stretched += drawn
         shouted += len(word) > 2 and word.isupper()
-        if fixed or odds > 0 or unmasked:
+        for family in families:
+            begun.setdefault(family, set()).add(word.lower())
+        if fixed or odds >= CERTAIN or unmasked:
             hits.append(i)
         elif len(word) < 9 and word.lower() in ADDRESS:
             address.append(i)
+    several = {f: w for f, w in begun.items() if len(w) > 1}
     near, a = 0, 0
     for i in hits:
         while a < len(address) and address[a] < i - NEAR:
@@ -135,6 +159,8 @@ def features(text: str, words: Words) -> list[float]:
         learned * per,
         math.log1p(learned),
         strongest,
+        max((words.learned[f"{f}~~"] for f in several), default=0.0),
+        math.log1p(len(set().union(*several.values()))),
         len(address) * per,
         near / len(hits) if hits else 0.0,
         capitals / max(1, letters),
@@ -150,10 +176,14 @@ def features(text: str, words: Words) -> list[float]:
 
 
 def featuriser(shared):
+    """Features of the last column's texts; a column ``part``, where there is one, tells which lexicon counts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(shared.value)
+        words = [Words(learned) for learned in shared.value]
         for batch in batches:
-            rows = np.array([features(t, words) for t in batch.column(batch.num_columns - 1).to_pylist()], dtype=np.float64)
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            parts = batch.column("part").to_pylist() if "part" in batch.schema.names else [-1] * len(texts)
+            rows = np.array([features(t, words[p]) for t, p in zip(texts, parts)], dtype=np.float64)
             flat = pa.array(rows.reshape(-1))
             listed = pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * len(FEATURES), flat)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], listed], names=[*batch.schema.names[:-1], "features"])
@@ -161,48 +191,72 @@ def featuriser(shared):
     return run
 
 
-def with_features(rows: DataFrame, learned: dict[str, float], others: str) -> DataFrame:
-    """``others`` names, with types, the columns that stand before the text."""
+def with_features(rows: DataFrame, lexicons: list[dict[str, float]], others: str) -> DataFrame:
+    """``others`` names, with types, the columns that stand before the text; the last lexicon is that of all parts."""
     arrow_ready(rows.sparkSession)
-    shared = rows.sparkSession.sparkContext.broadcast(learned)
+    shared = rows.sparkSession.sparkContext.broadcast(lexicons)
     return rows.mapInArrow(featuriser(shared), f"{others}, features array<double>")
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """doc_id, toxic, text of at most about ``most`` labelled documents outside fold 0, equal texts once."""
+    """toxic, part, text of at most about ``most`` labelled documents outside fold 0, equal texts once."""
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold(F.col("doc_id")) != 0))
     marks = marks.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     share = min(1.0, most / max(1, marks.count()))
     drawn = (F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1 << 20)) / (1 << 20)) < share
     texts = docs.select("doc_id", text_or_empty().alias("text"))
-    return materialise(texts.join(marks.where(drawn), "doc_id").dropDuplicates(["text"]), "labelled")
-
-
-def learn_lexicon(sample: DataFrame) -> dict[str, float]:
-    """Log odds of the units that toxic documents hold more often; at most ``MOST_LEARNED`` come to the driver."""
-    sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
-    own = F.flatten(
-        F.transform(
-            "_words",
-            lambda w: F.concat(
-                F.array(w), *[F.when(F.length(w) > n, F.array(F.concat(F.substring(w, 1, n), F.lit("~")))).otherwise(F.array().cast("array<string>")) for n in BEGINNINGS]
-            ),
-        )
-    )
-    held = sample.withColumn("_words", words).select("toxic", F.explode(F.array_distinct(own)).alias("unit"))
-    odds = F.log((F.col("t") + 0.5) / (toxic + 1.0)) - F.log((F.col("n") + 0.5) / (clean + 1.0))
-    found = (
-        held.groupBy("unit")
-        .agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("n"))
-        .where(F.col("t") >= max(3, LEAST_SHARE * toxic))
-        .withColumn("odds", odds)
-        .where(F.col("odds") >= LEAST_LOG_ODDS)
-        .orderBy(F.desc(F.col("odds") * F.sqrt("t")), "unit")
-        .limit(MOST_LEARNED)
-    )
-    return {r["unit"]: r["odds"] for r in found.collect()}
+    once = texts.join(marks.where(drawn), "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
+    part = F.pmod(F.xxhash64(F.lit("part"), "text"), F.lit(PARTS)).cast("int").alias("part")
+    return materialise(once.select("toxic", part, "text"), "labelled")
+
+
+def unit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(unit, part, toxic, n): texts of a batch that hold a unit."""
+    for batch in batches:
+        found: Counter = Counter()
+        for toxic, part, text in zip(*(batch.column(c).to_pylist() for c in ("toxic", "part", "text"))):
+            found.update((u, part, toxic) for u in all_units(text))
+        if found:
+            units_, parts, marks = zip(*found)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(units_), pa.array(parts, pa.int32()), pa.array(marks, pa.int32()), pa.array(list(found.values()), pa.int64())],
+                names=["unit", "part", "toxic", "n"],
+            )
+
+
+def surest_odds(toxic: np.ndarray, clean: np.ndarray, all_toxic: int, all_clean: int) -> np.ndarray:
+    """Lower bounds of the log odds that a text with the unit is toxic."""
+    odds = np.log((toxic + 0.5) / (all_toxic + 1.0)) - np.log((clean + 0.5) / (all_clean + 1.0))
+    return odds - ERRORS * np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
+
+
+def learn_lexicons(sample: DataFrame) -> list[dict[str, float]]:
+    """For each part the units learned from the others, and at the end those learned from all.
+
+    To the driver come only units that toxic texts hold more often than chance lets expect.
+    """
+    arrow_ready(sample.sparkSession)
+    sizes = {(r["part"], r["toxic"]): r["count"] for r in sample.groupBy("part", "toxic").count().collect()}
+    size = lambda mark: np.array([sizes.get((p, mark), 0) for p in range(PARTS)])
+    all_toxic, all_clean = size(1), size(0)
+    counted = sample.mapInArrow(unit_counts, "unit string, part int, toxic int, n bigint")
+    of = lambda p, mark: F.sum(F.when((F.col("part") == p) & (F.col("toxic") == mark), F.col("n")).otherwise(0))
+    sums = [of(p, mark).alias(f"{name}{p}") for name, mark in (("t", 1), ("c", 0)) for p in range(PARTS)]
+    held = counted.groupBy("unit").agg(*sums)
+    t, c = (sum(F.col(f"{name}{p}") for p in range(PARTS)) for name in "tc")
+    # the laxest lexicon leaves out the part with most clean texts that hold the unit; more is not needed on the driver
+    rare = F.greatest(*[F.col(f"c{p}") for p in range(PARTS)])
+    odds = F.log((t + 0.5) / F.lit(float(all_toxic.sum() + 1))) - F.log((c - rare + 0.5) / F.lit(float(all_clean.sum() + 1)))
+    found = held.where((t >= LEAST_TEXTS) & (odds >= LEAST_LOG_ODDS)).toPandas().sort_values("unit")
+    own_t, own_c = (found[[f"{name}{p}" for p in range(PARTS)]].to_numpy() for name in "tc")
+    lexicons = []
+    for part in [*range(PARTS), None]:
+        keep = np.array([p != part for p in range(PARTS)])
+        toxic, clean = own_t[:, keep].sum(axis=1), own_c[:, keep].sum(axis=1)
+        sure = surest_odds(toxic, clean, all_toxic[keep].sum(), all_clean[keep].sum())
+        held_by = (toxic >= LEAST_TEXTS) & (sure >= LEAST_LOG_ODDS)
+        lexicons.append(dict(zip(found["unit"][held_by], sure[held_by].tolist())))
+    return lexicons
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED):
@@ -210,25 +264,22 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED):
     sample = labelled_sample(docs, labels, most)
     if sample.select("toxic").distinct().count() < 2:
         return None
-    learned = learn_lexicon(sample)
-    rows = with_features(sample.select("doc_id", "toxic", "text"), learned, "doc_id bigint, toxic int")
-    rows = rows.select(
-        array_to_vector("features").alias("features"),
-        F.col("toxic").cast("double").alias("label"),
-        (F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(5)) == 0).alias("_calibrate"),
-    )
-    rows = materialise(rows, "toxic-features")
-    fit = rows.where(~F.col("_calibrate"))
-    if fit.select("label").distinct().count() < 2:
-        fit = rows
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, stepSize=0.3, seed=7, minInstancesPerNode=3).fit(fit)
-    held = rows.where("_calibrate")
-    held = held if held.select("label").distinct().count() == 2 else rows
-    raw = trees.transform(held).select(raw_score().alias("raw"), "label", F.lit(1.0).alias("weight"))
+    lexicons = learn_lexicons(sample)
+    rows = with_features(sample.select("toxic", "part", "text"), lexicons, "toxic int, part int")
+    rows = rows.select(array_to_vector("features").alias("features"), F.col("toxic").cast("double").alias("label"), "part")
+    rows = materialise(rows, "toxic-features").coalesce(4)  # a bounded sample of narrow rows
+    classifier = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, stepSize=0.3, seed=7, minInstancesPerNode=3)
+    scored = []
+    for part in range(PARTS):
+        others, own = rows.where(F.col("part") != part), rows.where(F.col("part") == part)
+        if others.select("label").distinct().count() < 2:
+            others = rows
+        scored.append(classifier.fit(others).transform(own).select(raw_score().alias("raw"), "label", F.lit(1.0).alias("weight")))
+    raw = materialise(reduce(DataFrame.unionByName, scored), "toxic-scores").coalesce(4)
     # a share of each row counts as clean, so that a step made of two or three rows does not decide
     prior = raw.select("raw", F.lit(0.0).alias("label"), F.lit(CLEAN_PRIOR).alias("weight"))
     calibration = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight").fit(raw.union(prior))
-    return learned, trees, calibration
+    return lexicons[-1], classifier.fit(rows), calibration
 
 
 def raw_score():
@@ -242,7 +293,7 @@ def score(docs: DataFrame, model) -> DataFrame:
     if model is None:
         return rows.select("doc_id", "name", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     learned, trees, calibration = model
-    scored = with_features(rows, learned, "doc_id bigint, name string").withColumn("features", array_to_vector("features"))
+    scored = with_features(rows, [learned], "doc_id bigint, name string").withColumn("features", array_to_vector("features"))
     scored = trees.transform(scored).select("doc_id", "name", raw_score().alias("raw"))
     value = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("prediction")))
     return (
