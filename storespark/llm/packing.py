@@ -13,7 +13,8 @@ Work is per input partition: pools are bounded, so a task holds at most
 window of a task is split into powers of two, which need no padding.
 
 Defined cases: a null or empty text is its end id alone; rows alike are packed
-separately; a null doc_id stays null; an empty table gives no pieces.
+separately; a null doc_id stays null; an empty table gives no pieces; texts of
+any length are cut whole; further columns are not read.
 """
 
 from __future__ import annotations
@@ -118,7 +119,7 @@ class Packer:
         self.window, self.next_sequence = window, first_sequence
         self.counts = [0] * window
         self.waiting: list[list[tuple]] = [[] for _ in range(window)]
-        self.size = 0
+        self.size = self.total = 0
         self.rows: list[tuple] = []
 
     def piece(self, item: tuple, sequence: int, offset: int, of: slice = slice(None)) -> int:
@@ -142,10 +143,12 @@ class Packer:
         self.waiting[len(item[2])].append(item)
         self.counts[len(item[2])] += 1
         self.size += 1
+        self.total += len(item[2])
 
     def _take(self, length: int) -> tuple:
         self.counts[length] -= 1
         self.size -= 1
+        self.total -= length
         return self.waiting[length].pop()
 
     def pack(self, keep: int) -> None:
@@ -154,7 +157,7 @@ class Packer:
         while self.size > keep:
             while not self.counts[lengths[0]]:
                 lengths.pop(0)
-            if self.size < 64 and sum(n * self.counts[n] for n in lengths) < self.window:
+            if self.total < self.window:
                 self._rest(lengths)
                 return
             sequence, at = self.sequence(), 0
