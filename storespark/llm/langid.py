@@ -13,7 +13,8 @@ hash of the id); prediction reads every whole text.
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 a text whose n-grams no filter knows takes the most frequent language, score
 0; without any labelled document every text is ``und``. Ties take the language
-first in order. Rows alike are predicted separately.
+first in order. Rows alike are predicted separately; an empty table gives an
+empty result; texts of any length are read whole; further columns are not read.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from storespark.llm.common import fold, arrow_ready
 
 GRAMS = (3, 4)
-PER_LANGUAGE, MIN_SHARE, RIVAL_SHARE, MOST_GRAMS = 3000, 0.03, 0.3, 20_000
+PER_LANGUAGE, MIN_SHARE, RIVAL_SHARE = 3000, 0.03, 0.3
 ROWS_PER_GRAM, HASHES = 24, 4
 UNDETERMINED = "und"
 
@@ -124,7 +125,7 @@ def frequency_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Fit on at most about ``per_language`` documents of each language outside fold 0.
 
-    To the driver come the languages and at most ``MOST_GRAMS`` n-grams of each.
+    To the driver come the languages and the n-grams that a ``MIN_SHARE`` of a language's sampled documents hold.
     """
     arrow_ready(docs.sparkSession)
     labelled = docs.where(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 0)).select("doc_id", "lang", "text")
@@ -142,12 +143,9 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     )
     # the n-grams left are few per language, as each must be in MIN_SHARE of its documents
     rival = F.max("share").over(Window.partitionBy("gram"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("share"), "gram"))
     rows = (
         frequent.withColumn("_most", rival)
         .where(F.col("share") >= F.col("_most") * RIVAL_SHARE)
-        .withColumn("_place", place)
-        .where(F.col("_place") <= MOST_GRAMS)
         .select("lang", "gram")
         .toPandas()
     )
