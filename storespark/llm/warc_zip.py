@@ -39,6 +39,8 @@ from storespark.session import shared_folder
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 #: Least payload for a revisit record, and bytes after which a task begins another package.
 LEAST_REVISIT, PACKAGE_BYTES = 1000, 256 << 20
+#: A task reads about one block of packages, or the indexes of so many.
+READ_BLOCK, INDEXES_PER_TASK = 16 << 20, 16
 END, END64, LOCATOR64, ENTRY, LOCAL = 0x06054B50, 0x06064B50, 0x07064B50, 0x02014B50, 0x04034B50
 FULL32, FULL16 = 0xFFFFFFFF, 0xFFFF
 
@@ -179,6 +181,8 @@ def with_references(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
         .where("_n > 1")
         .drop("_n")
     )
+    # written, so that the join shuffles both sides by itself and a page that is everywhere can be split
+    copies = materialise(copies, "page-copies")
     joined = rows.join(copies, ["sha1", "_sha2", "_bytes"], "left")
     other = F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
     return joined.select("page_id", "url", "html", "sha1", F.when(other, F.col("_first")).alias("refers_to"))
@@ -336,15 +340,19 @@ def record_reader(folder: str, payloads: bool):
 
 
 def read_packages(packages: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
-    """One row per record of the packages; with ``payloads``, the bytes of responses too.
+    """One row per record of ``packages`` (package, bytes); with ``payloads``, the bytes of responses too.
 
     Indexes are read first; then records are dealt out by package and place, so
-    that a large package is read by several tasks, each front to back.
+    that a large package is read by several tasks, each front to back. How many
+    tasks follows the packages' bytes, as the index itself is narrow.
     """
     arrow_ready(packages.sparkSession)
-    places = packages.select("package").repartition("package").mapInArrow(index_reader(folder), "package string, at bigint, size bigint")
-    block = F.floor(F.col("at") / (32 << 20))
-    dealt = places.repartition("package", block).sortWithinPartitions("package", "at")
+    total, count = packages.agg(F.sum("bytes"), F.count("package")).first()
+    listing = packages.select("package").repartition(max(1, -(-count // INDEXES_PER_TASK)), "package")
+    places = listing.mapInArrow(index_reader(folder), "package string, at bigint, size bigint")
+    block = F.floor(F.col("at") / READ_BLOCK)
+    tasks = max(1, -(-(total or 0) // READ_BLOCK))
+    dealt = places.repartition(tasks, "package", block).sortWithinPartitions("package", "at")
     return dealt.mapInArrow(record_reader(folder, payloads), RECORD + (", payload binary" if payloads else ""))
 
 
