@@ -31,11 +31,11 @@ SEED = "mix-1"
 BUCKETS = 4096
 
 
-def sizes(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """doc_id, source, size, hash position and bucket of every row."""
+def sizes(docs: DataFrame, seed: str = SEED, *tags: str) -> DataFrame:
+    """doc_id, source, size, hash position and bucket of every row, with the columns ``tags``."""
     place = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     return docs.select(
-        "doc_id", "source", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"), place.alias("_place")
+        *tags, "doc_id", "source", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"), place.alias("_place")
     ).withColumn("_bucket", F.conv(F.substring("_place", 1, 3), 16, 10).cast("int"))
 
 
@@ -148,19 +148,17 @@ def _nearer() -> Column:
     return F.col("_reached") - F.col("size") / 2 <= F.col("_missing")
 
 
-def repeat_documents(docs: DataFrame, **options) -> DataFrame:
+def repeat_documents(
+    docs: DataFrame, epochs: int = EPOCHS, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED
+) -> DataFrame:
     """The mixed corpus: every row as often as the mix takes it, with the columns of ``docs``.
 
-    A selection joins by doc_id, source and size; of rows alike in these three all take the same number.
+    Rows are written with a tag first, so each row has its own part of the plan, whatever its columns have in common.
     """
-    chosen = mix(docs, **options).groupBy("doc_id", "source", "size").agg(F.sum("repeats").alias("_n"), F.count(F.lit(1)).alias("_of"))
-    chosen = chosen.where("_n > 0")
-    name = lambda d, s, n: F.concat_ws(":", n, d.cast("string"), F.coalesce(s, F.lit("\x00")))
-    size = F.regexp_count(F.coalesce(docs["text"], F.lit("")), F.lit(WORD)).cast("long")
-    keyed = docs.select(name(docs["doc_id"], docs["source"], size).alias("_name"), F.struct(*docs.columns).alias("_doc"))
-    picked = chosen.select(
-        name(F.col("doc_id"), F.col("source"), F.col("size")).alias("_name"),
-        F.round(F.col("_n") / F.col("_of")).cast("int").alias("_times"),
-    )
-    rows = keyed.join(picked, "_name").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times")))
+    tagged = docs.select(F.monotonically_increasing_id().alias("_tag"), F.struct(*docs.columns).alias("_doc"))
+    tagged = materialise(tagged, "tagged")
+    fields = tagged.select("_tag", *[F.col(f"_doc.{c}").alias(c) for c in ("doc_id", "text", "source")])
+    sized = materialise(sizes(fields, seed, "_tag"), "sizes")
+    chosen = _repeats(sized, *source_plan(sized, epochs, weights)).where("repeats > 0").select("_tag", "repeats")
+    rows = tagged.join(chosen, "_tag").select("_doc", F.explode(F.sequence(F.lit(1).cast("long"), "repeats")).alias("_copy"))
     return rows.select("_doc.*")

@@ -513,3 +513,30 @@ def test_template_texts_do_not_meet_on_their_common_passage(spark):
     assert (met.selectExpr("sum(s * l)").first()[0] or 0) < n
     pairs = dartminhash.cross_pairs(dartminhash.groups_of_several(places, alone)[0], 0.8)
     assert rows_of(pairs) == [(i, n + i) for i in range(5)]
+
+
+@pytest.mark.parametrize("n", [63, 64, 100, 900])
+def test_the_last_window_is_always_split_into_powers_of_two(spark, n):
+    rows = spark.createDataFrame([(i, None, None, None, None) for i in range(n)], SCHEMA).coalesce(1)
+    lengths = packing.pack(rows).groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
+    assert sorted(r["n"] for r in lengths) == [1 << i for i in range(10) if n >> i & 1]
+
+
+def test_long_keys_and_logins_are_found(spark):
+    key = "-----BEGIN RSA PRIVATE KEY-----" + "Ab1/" * 7_500 + "-----END RSA PRIVATE KEY-----"
+    login = f"see https://{'u' * 300}:{'p' * 300}@host/ there"
+    rows = spark.createDataFrame([(1, key, None, "a", 0), (2, login, None, "a", 0)], SCHEMA)
+    spans = {r["doc_id"]: r["spans"] for r in secrets.scan_secrets(rows).collect()}
+    assert spans[1] == f"private_key:0:{key.index('-----END') + 8}" and "url_login:4:" in spans[2]
+
+
+def test_the_mixing_stage_repeats_each_row_as_planned(spark):
+    rows = [(i, f"word{i} " * (1 + i % 7), None, f"s{i % 4}", 0) for i in range(200)]
+    rows += [(None, "alike alike", None, "s1", 0)] * 7 + [(None, "x y", None, "7:x", 0), (7, "x y", None, "x", 0), (None, "x y", None, None, 0)]
+    rows += [(7, "x y", None, None, 0), (300, None, None, "s1", 0), (300, "", None, "s1", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    planned = Counter()
+    for r in mixing.mix(docs).collect():
+        planned[r["doc_id"], r["source"], r["size"]] += r["repeats"]
+    found = Counter((r["doc_id"], r["source"], len((r["text"] or "").split())) for r in mixing.repeat_documents(docs).collect())
+    assert found == +planned and sum(found.values()) > 200
