@@ -5,6 +5,9 @@ one commit row, in one small file. Readers see committed attempts only. A step
 that dies leaves an attempt nobody reads; running it again starts a new one, so
 no step adds rows twice and no row-level anti join is needed. The commit of a
 load covers fact, stock and the loaded state at once. One writer at a time.
+
+Counts of a step are observed while it writes. Files that were rejected or
+cannot be read are put in quarantine and left alone until they change.
 """
 
 from __future__ import annotations
@@ -14,17 +17,18 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from storespark import schemas
 from storespark.functions import fixed_values as fixed
 from storespark.operators.joins import active_positions, attach, enrich_shelf_position, fits_broadcast, new_files
-from storespark.operators.stock import inventory_apply, net_stock_delta
+from storespark.operators.stock import net_stock_delta
 from storespark.operators.validation import CLEANED_COLUMNS, FACT_COLUMNS, validate
 from storespark.plans.runlog import RunLog
-from storespark.sources.csv_files import OTHER_HEADER, hidden_names, list_files, read_in_order
-from storespark.sources.writers import append_rows, delete_folder, has_rows, read_or_empty
+from storespark.plans.stock_versions import KEPT_SNAPSHOTS, StockVersions
+from storespark.sources.csv_files import OTHER_HEADER, hidden_files, list_files, read_in_order
+from storespark.sources.writers import append_rows, has_rows, read_or_empty
 from storespark.tables import Tables
 
 _MOVED = schemas.TABLES["movements"]
@@ -37,14 +41,13 @@ _STORED = {
         "batch_id bigint", "error_reason string", "error_details string", "outcome string",
     ],
     "movements": [_MOVED[c] for c in FACT_COLUMNS],
-    "inventory": [*schemas.TABLES["inventory"].fields],
 }
 _COMMITS = (
     "step string, batch_id bigint, attempt_id string, origin string, sequence bigint, last_id bigint, committed_at timestamp"
 )
 _LEDGER = "file_name string, source_system string, processed_at timestamp, batch_id bigint, attempt_id string"
-#: stock snapshots that stay: the present one and those that readers may still hold
-KEPT_SNAPSHOTS = 2
+_LISTED = "file_name string, path string, length bigint, modified_at timestamp"
+_QUARANTINE = f"{_LISTED}, reason string, rejected_at timestamp"
 #: bytes of a header line with every name quoted, a byte order mark and a line end
 _HEADER_BYTES = len(",".join(schemas.MOVEMENT_COLUMNS)) + 2 * len(schemas.MOVEMENT_COLUMNS) + 5
 
@@ -54,6 +57,10 @@ def _stored_ddl(name: str) -> str:
     return ", ".join([*fields, "attempt_id string"])
 
 
+def _names(ddl: str) -> list[str]:
+    return [field.split()[0] for field in ddl.split(", ")]
+
+
 def row_id(after: int) -> Column:
     """Numbers above ``after`` that no other raw row has: position in the batch on top of the last batch's highest.
 
@@ -79,6 +86,7 @@ class Warehouse:
         self.spark, self.root, self.source_system = spark, root.rstrip("/"), source_system
         self.reordered: dict[str, list[str]] = {}
         self.runs = RunLog(spark, self.path("pipeline_runs"))
+        self.stock = StockVersions(spark, self.path("inventory"), self.path("stock_manifest"))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -128,17 +136,24 @@ class Warehouse:
         log = self.commits().filter(F.col("step") == step)
         return attach(self._stored(name), log.select("attempt_id").distinct(), ["attempt_id"], "left_semi")
 
-    def _write(self, df: DataFrame, name: str, partition_by: list[str], gather: str | None = None) -> str:
-        """Write an attempt. ``gather`` names a folder column to bring together after a shuffle.
+    def _write(
+        self, df: DataFrame, name: str, partition_by: list[str], gather: str | None = None, **metrics: Column
+    ) -> tuple[str, dict]:
+        """Write an attempt; returns it with the ``metrics`` observed on the way.
 
-        Rows still lie in their files' order unless a lookup was too big to broadcast; only then they are
-        rebalanced by the folder column, which adaptive execution splits again where one value is hot.
+        ``gather`` names a folder column to bring together after a shuffle. Rows still lie in their files' order unless
+        a lookup was too big to broadcast; only then they are rebalanced by the folder column, which adaptive execution
+        splits again where one value is hot. Metrics are taken in the writing stage itself, where each partition counts
+        once, however often a lost one is tried again.
         """
-        attempt = uuid.uuid4().hex
+        attempt, seen = uuid.uuid4().hex, Observation()
         if gather:
             df = df.hint("rebalance", F.col(gather))
-        append_rows(df.withColumn("attempt_id", F.lit(attempt)), self.path(name), ["attempt_id", *partition_by])
-        return attempt
+        df = df.withColumn("attempt_id", F.lit(attempt))
+        if metrics:
+            df = df.observe(seen, *[column.alias(metric) for metric, column in metrics.items()])
+        append_rows(df, self.path(name), ["attempt_id", *partition_by])
+        return attempt, seen.get if metrics else {}
 
     def _exists(self, name: str, attempt: str) -> bool:
         """Whether an attempt wrote any row."""
@@ -189,18 +204,13 @@ class Warehouse:
         return self._committed("movements", "load").select(F.col("raw_movement_id").alias("movement_id"), *FACT_COLUMNS)
 
     def inventory(self) -> DataFrame:
-        last = self._snapshots()[:1]
-        return self._attempt_rows("inventory", last).select(*schemas.TABLES["inventory"].fieldNames())
+        return self.stock.read(next(iter(self._snapshots()), None))
 
     def _snapshots(self) -> list[str]:
-        """The attempts of the newest stock snapshots, newest first: two commits more than are kept, at most."""
+        """The attempts of the newest stock manifests, newest first: two commits more than are kept, at most."""
         log = self.commits().filter("step in ('load', 'stock')").groupBy("attempt_id").agg(F.max("sequence").alias("n"))
         return [r.attempt_id for r in log.orderBy(F.desc("n")).limit(KEPT_SNAPSHOTS + 2).collect()]
 
-    def _expire_snapshots(self) -> None:
-        for attempt in self._snapshots()[KEPT_SNAPSHOTS:]:
-            delete_folder(self.spark, f"{self.path('inventory')}/attempt_id={attempt}")
-
     def put_table(self, name: str, df: DataFrame) -> None:
         """Replace a master table."""
         df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path(name))
@@ -208,7 +218,9 @@ class Warehouse:
     def set_inventory(self, stock: DataFrame) -> None:
         """Opening stock: store_id, product_id, stock_qty."""
         rows = stock.select("store_id", "product_id", "stock_qty", F.current_timestamp().alias("updated_at"))
-        self.commit("stock", [0], self._write(rows, "inventory", []))
+        attempt = uuid.uuid4().hex
+        self.stock.write(rows, attempt)
+        self.commit("stock", [0], attempt)
 
     def tables(self) -> Tables:
         masters = ["products", "brands", "store_layout", "store_assortment", "suppliers", "product_suppliers",
@@ -241,9 +253,17 @@ class Warehouse:
                 "ingestion_timestamp": F.current_timestamp(),
             }
         )
-        attempt = self._write(rows, "raw_movements", ["source_file_name"])
+        attempt, seen = self._write(
+            rows, "raw_movements", ["source_file_name"],
+            broken=F.count_if("violation"), reordered=F.count(OTHER_HEADER), last_id=F.max("raw_movement_id"),
+        )
+        written = self._attempt_rows("raw_movements", [attempt])
+        # where no row was seen that decides on its file, rows per file come from folder names and footers alone
+        for metric, column in (("broken", "violation"), ("reordered", OTHER_HEADER)):
+            if not seen[metric]:
+                written = written.withColumn(column, F.lit(None).cast(written.schema[column].dataType))
         # one row per file, asked a few times; a lost block is counted again from the written rows
-        counted = self._file_outcomes(self._attempt_rows("raw_movements", [attempt]), files).cache()
+        counted = self._file_outcomes(written, files).cache()
         outcomes = counted.filter(F.col("order").isNull())
         ledger = outcomes.filter(F.col("error_message").isNull()).select(
             F.col("source_file_name").alias("file_name"),
@@ -257,11 +277,13 @@ class Warehouse:
             F.count_if(F.col("order").isNull()).alias("files"),
             F.coalesce(F.sum(F.when(F.col("order").isNull() & F.col("error_message").isNull(), F.col("rows_success"))), F.lit(0)).alias("rows"),
             F.count_if(F.col("order").isNull() & F.col("error_message").isNotNull()).alias("failed"),
-            F.max("last_id").alias("last_id"),
         ).first()
         # logged first: what is committed is never without its rows in the log
         started.finish("extract", outcomes)
-        self.commit("extract", [batch_id], attempt, origin, max(totals["last_id"] or 0, last["id"]))
+        self.commit("extract", [batch_id], attempt, origin, max(seen["last_id"] or 0, last["id"]))
+        if files is not None and totals["failed"]:
+            failed = outcomes.filter(F.col("error_message").isNotNull())
+            self._reject(files, failed.select(F.col("source_file_name").alias("file_name"), F.col("error_message").alias("reason")))
         other = counted.filter(F.col("order").isNotNull()).select("source_file_name", "order").collect()
         self.reordered = {r["source_file_name"]: r["order"].split(",") for r in other}
         counted.unpersist()
@@ -273,7 +295,6 @@ class Warehouse:
             F.count("*").alias("n"),
             F.count_if("violation").alias("broken"),
             F.max(OTHER_HEADER).alias("order"),
-            F.max("raw_movement_id").alias("last_id"),
         )
         if files is None:
             counted = counted.withColumns({"length": F.col("n"), "listed": F.lit(True)})
@@ -300,44 +321,76 @@ class Warehouse:
             F.lit(0).cast("bigint").alias("rows_failed"),
             problem.alias("error_message"),
             "order",
-            "last_id",
         )
 
+    # -- quarantine ---------------------------------------------------------------------
+
+    def quarantine(self) -> DataFrame:
+        """Files that were rejected or could not be read, as they were then, with the reason."""
+        return read_or_empty(self.spark, self.path("rejected_files"), _QUARANTINE)
+
+    def _reject(self, files: DataFrame, reasons: DataFrame) -> None:
+        """``files`` of the drops in ``reasons`` (file_name, reason) are left alone until one of them changes."""
+        rows = files.join(reasons, "file_name").withColumn("rejected_at", F.current_timestamp())
+        append_rows(rows.select(*_names(_QUARANTINE)).coalesce(1), self.path("rejected_files"))
+
+    def _waiting(self, files: DataFrame) -> DataFrame:
+        """Of listed files those whose drop is neither in the ledger nor unchanged in quarantine."""
+        as_was = ["path", "length", "modified_at"]
+        known = self.quarantine().select(*as_was, F.lit(True).alias("_rejected")).distinct()
+        new = new_files(files, self.processed_files()).join(known, as_was, "left")
+        changed = new.groupBy("file_name").agg(F.count_if(F.col("_rejected").isNull()).alias("_new")).where("_new > 0")
+        return new.join(changed, "file_name", "left_semi").select(*_names(_LISTED))
+
+    # -- steps over files ---------------------------------------------------------------
+
     def extract(self, folder: str, most: int | None = None) -> StepResult:
-        """Read every file the ledger does not know, in batches of up to ``most`` drops. Errors are logged and reported.
+        """Read every file that neither ledger nor quarantine knows, in batches of up to ``most`` drops.
 
-        A file that cannot be read fails alone; one with its columns in another order is read in that order.
+        A file that cannot be read fails alone; one with its columns in another order is read in that order. Names that
+        the readers pass over count as failed every time and are logged when they are new.
         """
-        new = new_files(list_files(self.spark, folder), self.processed_files()).select("file_name", "path", "length")
-        # one entry per file, which Spark's own file index holds on the driver anyway; fixed before the ledger grows
-        found = new.orderBy("file_name", "path").collect()
+        hidden = self.spark.createDataFrame(hidden_files(self.spark, folder), _LISTED)
+        unseen = self._waiting(hidden).collect()
+        if unseen:
+            message = "names that start with _ or . are passed over by the readers; rename the file"
+            reasons = [(f.file_name, message) for f in unseen]
+            self._reject(self.spark.createDataFrame(unseen, _LISTED), self.spark.createDataFrame(reasons, "file_name string, reason string"))
+            self.runs.start("extract").fail_files("extract", reasons)
+        result, n = self.extract_listed(folder, list_files(self.spark, folder), most), hidden.count()
+        return StepResult("extract", result.files + n, result.rows, result.failed_files + n, result.error)
+
+    def extract_listed(self, folder: str, files: DataFrame, most: int | None = None) -> StepResult:
+        """``extract`` of the drops among ``files`` (file_name, path, length, modified_at); the folder is not listed."""
+        # one entry per new file, which Spark's own file index holds on the driver anyway; fixed before the ledger grows
+        found = self._waiting(files).orderBy("file_name", "path").collect()
         names = list(dict.fromkeys(f.file_name for f in found))
         batch_of = {name: i // (most or len(names)) for i, name in enumerate(names)}
-        batches = [list(files) for _, files in groupby(found, key=lambda f: batch_of[f.file_name])]
-        hidden = hidden_names(self.spark, folder)
-        if hidden:
-            message = "names that start with _ or . are passed over by the readers; rename the file"
-            self.runs.start("extract").fail_files("extract", [(name, message) for name in hidden])
-        result = self._sum([self._extract_files(folder, files) for files in batches])
-        return StepResult(
-            "extract", result.files + len(hidden), result.rows, result.failed_files + len(hidden), result.error
-        ) if hidden else result
+        batches = [list(group) for _, group in groupby(found, key=lambda f: batch_of[f.file_name])]
+        return self._sum([self._extract_files(folder, batch) for batch in batches])
 
     def _extract_files(self, folder: str, found: list, order: list[str] | None = None) -> StepResult:
-        """``found`` as one batch; where a file cannot be read, its halves, down to the drop that is at fault."""
-        files = self.spark.createDataFrame(found, "file_name string, path string, length bigint")
+        """``found`` as one batch; where a file cannot be read, its halves, down to the drop that is at fault.
+
+        A drop that cannot be read goes to quarantine; any other error is the step's and its files are tried again.
+        """
+        files = self.spark.createDataFrame(found, _LISTED)
         try:
             typed = read_in_order(self.spark, [f.path for f in found], self.source_system, folder, order)
             done = self.store_raw(typed, files)
         except Exception as error:
             names = list(dict.fromkeys(f.file_name for f in found))
-            if "FAILED_READ_FILE" not in str(error) or len(names) == 1:
-                self.runs.fail_files("extract", [(name, str(error)) for name in names])
-                return StepResult("extract", files=len(names), failed_files=len(names), error=str(error))
-            self.runs.fail("extract", f"{len(names)} drops are read in two parts, as one cannot be read: {error}")
-            first = set(names[: len(names) // 2])
-            parts = [[f for f in found if (f.file_name in first) == side] for side in (True, False)]
-            return self._sum([self._extract_files(folder, part, order) for part in parts])
+            unreadable = "FAILED_READ_FILE" in str(error)
+            if unreadable and len(names) > 1:
+                self.runs.fail("extract", f"{len(names)} drops are read in two parts, as one cannot be read: {error}")
+                first = set(names[: len(names) // 2])
+                parts = [[f for f in found if (f.file_name in first) == side] for side in (True, False)]
+                return self._sum([self._extract_files(folder, part, order) for part in parts])
+            failures = [(name, str(error)) for name in names]
+            self.runs.fail_files("extract", failures)
+            if unreadable:
+                self._reject(files, self.spark.createDataFrame(failures, "file_name string, reason string"))
+            return StepResult("extract", files=len(names), failed_files=len(names), error=None if unreadable else str(error))
         results = [done]
         for other in {tuple(o) for o in self.reordered.values()}:
             again = [f for f in found if tuple(self.reordered.get(f.file_name, ())) == other]
@@ -377,11 +430,12 @@ class Warehouse:
         rows = validate(raw.select(*CLEANED_COLUMNS, "batch_id"), products, suppliers)
         outcome = F.when(F.col("error_reason").isNull(), "clean").otherwise("bad")
         in_place = fits_broadcast(products.select("product_id")) and fits_broadcast(suppliers.select("supplier_id"))
-        attempt = self._write(
+        attempt, seen = self._write(
             rows.withColumn("outcome", outcome),
             "validated_movements",
             ["outcome", "source_file_name"],
             gather=None if in_place else "source_file_name",
+            rows=F.count(F.lit(1)),
         )
         # folder columns only: counts come from file footers
         counts = self._attempt_rows("validated_movements", [attempt]).groupBy("source_file_name").agg(
@@ -389,12 +443,9 @@ class Warehouse:
             F.count_if(F.col("outcome") == "clean").alias("rows_success"),
             F.count_if(F.col("outcome") == "bad").alias("rows_failed"),
         )
-        outcomes = counts.withColumn("error_message", F.lit(None).cast("string")).cache()
-        self.runs.finish("transform", outcomes)
+        files = self.runs.finish("transform", counts.withColumn("error_message", F.lit(None).cast("string")))
         self.commit("transform", batches, attempt)
-        total = outcomes.agg(F.count("*").alias("files"), F.sum("rows_processed").alias("rows")).first()
-        outcomes.unpersist()
-        return StepResult("transform", total["files"], total["rows"] or 0)
+        return StepResult("transform", files, seen["rows"])
 
     def _master(self, name: str) -> DataFrame:
         return self.spark.read.schema(schemas.TABLES[name]).parquet(self.path(name))
@@ -414,26 +465,24 @@ class Warehouse:
             clean = self._attempt_rows("validated_movements", attempts).filter(
                 (F.col("outcome") == "clean") & F.col("batch_id").isin(list(todo))
             )
-            assortment, stock = self._master("store_assortment"), self.inventory()
+            assortment = self._master("store_assortment")
             enriched = enrich_shelf_position(clean, assortment).select(*FACT_COLUMNS)
             gather = None if fits_broadcast(active_positions(assortment)) else "movement_date"
-            attempt = self._write(enriched, "movements", ["movement_date"], gather)
-            delta = net_stock_delta(self._attempt_rows("movements", [attempt]))
-            moved = inventory_apply(stock, delta)
-            moved = moved.withColumn("attempt_id", F.lit(attempt))
-            append_rows(moved, self.path("inventory"), ["attempt_id"])
-            n = self._attempt_rows("movements", [attempt]).count()
+            before = next(iter(self._snapshots()), None)
+            attempt, seen = self._write(enriched, "movements", ["movement_date"], gather, rows=F.count(F.lit(1)))
+            self.stock.apply(net_stock_delta(self._attempt_rows("movements", [attempt])), before, attempt)
+            n = seen["rows"]
             self.runs.complete("load", n, n, 0)
             self.commit("load", list(todo), attempt)
         except Exception as error:
             self.runs.fail("load", str(error))
             raise
-        self._expire_snapshots()
+        self.stock.expire(self._snapshots())
         return StepResult("load", rows=n)
 
     def commit_without_rows(self, batches: list[int]) -> None:
         """Close batches that hold no clean row; stock keeps its last version."""
-        self.commit("load", batches, self._snapshots()[0])
+        self.commit("load", batches, next(iter(self._snapshots()), uuid.uuid4().hex))
 
     def run(self, folder: str) -> list[StepResult]:
         """All new files through the three steps, as one batch whatever the number of days."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from storespark.schemas import TABLES
@@ -87,11 +87,13 @@ class RunLog:
     def _next_id(self) -> int:
         return (self._rows().agg(F.max("run_id")).first()[0] or 0) + 1
 
-    def finish(self, step: str, outcomes: DataFrame) -> None:
-        rows = run_rows(outcomes, step, self.started_at, utc_now())
+    def finish(self, step: str, outcomes: DataFrame) -> int:
+        """Log a row per outcome; tells how many they were."""
+        rows, written = run_rows(outcomes, step, self.started_at, utc_now()), Observation()
         # one row per file: a single small output file with consecutive ids
         numbered = rows.coalesce(1).withColumn("run_id", F.monotonically_increasing_id() + self._next_id())
-        append_rows(numbered.select(*RUN_COLUMNS), self.path)
+        append_rows(numbered.select(*RUN_COLUMNS).observe(written, F.count(F.lit(1)).alias("rows")), self.path)
+        return written.get["rows"]
 
     def complete(self, step: str, processed: int, success: int, failed: int, file_name: str | None = None) -> None:
         self.finish(step, self._one(file_name, processed, success, failed, None))

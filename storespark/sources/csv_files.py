@@ -8,6 +8,7 @@ of the name. Cells follow the dialect in which a quote inside quotes is doubled.
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from urllib.parse import unquote
 
@@ -48,11 +49,26 @@ def drop_name(path: Column, base: str) -> Column:
     return F.when(folder == "", below).otherwise(F.concat(F.regexp_extract(below, _PARTS, 1), value))
 
 
-def hidden_names(spark: SparkSession, folder: str) -> list[str]:
-    """CSV files that Spark's readers pass over, as their names start with ``_`` or ``.``."""
+def hidden_files(spark: SparkSession, folder: str) -> list[tuple[str, str, int, dt.datetime]]:
+    """CSV files, at any depth, that Spark's readers pass over, as a name on their path starts with ``_`` or ``.``.
+
+    As (name, path, length, time). The store matches the names, level by level; only hidden ones come to the driver.
+    """
     files, path = _hadoop_path(spark, folder)
-    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, "[_.]*.csv"))
-    return sorted(status.getPath().getName() for status in found or [])
+    base = files.makeQualified(path).toUri().getPath().rstrip("/")
+    matches = lambda pattern: files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, pattern)) or []
+    found, level = {}, ""
+    while True:
+        inside = f"{level}[_.]*"
+        found |= {s.getPath().toUri().getPath(): s for s in matches(f"{inside}.csv") if s.isFile()}
+        while any(s.isDirectory() for s in matches(inside)):
+            inside += "/*"
+            found |= {s.getPath().toUri().getPath(): s for s in matches(f"{inside}.csv") if s.isFile()}
+        if not any(s.isDirectory() for s in matches(f"{level}*")):
+            break
+        level += "*/"
+    at = lambda s: dt.datetime.fromtimestamp(s.getModificationTime() / 1000, dt.timezone.utc)
+    return [(name.removeprefix(f"{base}/"), name, s.getLen(), at(s)) for name, s in sorted(found.items())]
 
 
 def literal_path(path: str) -> str:
@@ -60,25 +76,55 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Every CSV file with its drop name, path and length; contents are not read.
+def list_files(spark: SparkSession, folder: str, paths: list[str] | None = None) -> DataFrame:
+    """Every CSV file, or those below some ``paths``, with its drop name, path, length and time; contents are not read.
 
     Scans pass over files of length 0, so the names come from the file index
     that Spark holds on the driver, one entry per file.
     """
-    found = spark.read.format("binaryFile").options(**_LISTING).load(literal_path(folder))
+    reader = spark.read.format("binaryFile").options(**_LISTING)
+    found = reader.load([literal_path(p) for p in paths or [folder]])
     listed = spark.createDataFrame([(path, unquote(path)) for path in found.inputFiles()], "_encoded string, path string")
-    sizes = found.select(_same_form(F.col("_metadata.file_path")).alias("_at"), "length")
-    name = drop_name(F.col("_encoded"), path_below(spark, folder))
-    return (
-        listed.withColumn("_at", _same_form(F.col("_encoded")))
-        .join(sizes, "_at", "left")
-        .select(name.alias("file_name"), "path", F.coalesce("length", F.lit(0)).alias("length"))
-    )
+    sizes = found.select(_same_form(F.col("_metadata.file_path")).alias("_at"), "length", "modificationTime")
+    joined = listed.withColumn("_at", _same_form(F.col("_encoded"))).join(sizes, "_at", "left")
+    return joined.select(*_listed(drop_name(F.col("_encoded"), path_below(spark, folder)), F.col("path")))
+
+
+def _listed(name: Column, path: Column) -> list[Column]:
+    """Files of length 0 have no scan entry; their time is the epoch. Paths have one slash after a scheme without host."""
+    return [
+        name.alias("file_name"),
+        _same_form(path).alias("path"),
+        F.coalesce("length", F.lit(0)).cast("bigint").alias("length"),
+        F.coalesce("modificationTime", F.timestamp_seconds(F.lit(0))).alias("modified_at"),
+    ]
+
+
+def listed_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """Files as they arrive, as ``list_files`` tells of them; contents are not read."""
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    reader = spark.readStream.format("binaryFile").options(**_LISTING).schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    found = reader.load(literal_path(folder))
+    encoded = F.col("_metadata.file_path")
+    plain = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    return found.select(*_listed(drop_name(encoded, path_below(spark, folder)), plain))
+
+
+def with_all_parts(files: DataFrame, folder: str) -> DataFrame:
+    """Listed files with the other parts of their drops; only folders of drops that have parts are listed."""
+    spark = files.sparkSession
+    plain = F.regexp_replace("path", r"^\w+:(//[^/]*)?(?=/)", "")
+    single = plain == F.concat(F.lit(f"{path_below(spark, folder)}/"), "file_name")
+    parts = files.where(~single).select(F.regexp_replace("path", "/[^/]*$", "").alias("at")).distinct()
+    folders = [r["at"] for r in parts.collect()]
+    whole = files.where(single)
+    return whole.unionByName(list_files(spark, folder, folders)) if folders else whole
 
 
 def _same_form(path: Column) -> Column:
-    """Paths come as file:/x and as file:///x."""
+    """Paths come as file:/x and as file:///x; here as the first."""
     return F.regexp_replace(path, r"^(\w+):/+", "$1:/")
 
 

@@ -1,20 +1,31 @@
 """The drop folder as a stream.
 
-The stream tells when files have come; what is loaded is decided by the
-warehouse's ledger, as in a batch. So a file that a batch or another checkpoint
-took is not loaded again, a drop of several parts is accepted or rejected as a
-whole, and files without rows reach the log. An epoch takes all drops that the
-ledger does not know, in batches of up to ``max_files``, so that a rejected one
-keeps none of the others back. A replayed epoch finds nothing new.
+An epoch takes the files of its own micro-batch, by name, length and time;
+contents are read by the warehouse. The first epoch of a run lists the folder
+once, so that files without rows and files that another checkpoint passed over
+are taken too; later epochs list nothing but the folders of drops that have
+parts. What is loaded is decided by ledger and quarantine, as in a batch: a file
+that was taken, or rejected and has not changed since, is left alone, a drop of
+several parts is accepted or rejected as a whole, and a file that cannot be
+read ends neither the epoch nor the stream. A replayed epoch finds nothing new.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from storespark.plans.pipeline import StepResult, Warehouse
-from storespark.sources.csv_files import OTHER_HEADER, movement_text, path_below, type_movements
+from storespark.sources.csv_files import (
+    OTHER_HEADER,
+    listed_stream,
+    movement_text,
+    path_below,
+    type_movements,
+    with_all_parts,
+)
 
 
 def movement_stream(
@@ -27,24 +38,39 @@ def movement_stream(
     return type_movements(movement_text(reader, folder, path_below(spark, folder)), source_system).drop(OTHER_HEADER)
 
 
-def _extract_epoch(warehouse: Warehouse, folder: str, max_files: int | None) -> StepResult:
-    done = warehouse.extract(folder, max_files)
+def _extract_epoch(
+    warehouse: Warehouse, folder: str, max_files: int | None, files: DataFrame | None = None
+) -> StepResult:
+    """Drops of the listed ``files``, or of the whole folder; errors that are no file's own are raised."""
+    if files is None:
+        done = warehouse.extract(folder, max_files)
+    else:
+        done = warehouse.extract_listed(folder, with_all_parts(files, folder), max_files)
     if done.error:
         raise RuntimeError(done.error)
     return done
 
 
-def _each_epoch(warehouse: Warehouse, folder: str, checkpoint: str, max_files: int | None, step) -> StreamingQuery:
-    rows = movement_stream(warehouse.spark, folder, warehouse.source_system, max_files)
-    writer = rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
-    return writer.foreachBatch(lambda df, epoch: step()).start()
+def _each_epoch(
+    warehouse: Warehouse, folder: str, checkpoint: str, max_files: int | None, after: Callable[[], None]
+) -> StreamingQuery:
+    files = listed_stream(warehouse.spark, folder, max_files)
+    listed_once = []
+
+    def epoch(batch: DataFrame, number: int) -> None:
+        _extract_epoch(warehouse, folder, max_files, batch if listed_once else None)
+        listed_once.append(number)
+        after()
+
+    writer = files.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
+    return writer.foreachBatch(epoch).start()
 
 
 def stream_ingest(
     warehouse: Warehouse, folder: str, checkpoint: str, max_files: int | None = None
 ) -> StreamingQuery:
     """Raw rows of every new file, once."""
-    return _each_epoch(warehouse, folder, checkpoint, max_files, lambda: _extract_epoch(warehouse, folder, max_files))
+    return _each_epoch(warehouse, folder, checkpoint, max_files, lambda: None)
 
 
 def stream_pipeline(
@@ -52,13 +78,10 @@ def stream_pipeline(
 ) -> StreamingQuery:
     """Raw, validated, fact and stock of every new file, once."""
 
-    def step() -> None:
-        # what could be read is loaded before an unreadable file is reported
-        extracted, done = warehouse.extract(folder, max_files), warehouse.transform()
+    def after() -> None:
+        done = warehouse.transform()
         if done.error:
             raise RuntimeError(done.error)
         warehouse.load()
-        if extracted.error:
-            raise RuntimeError(extracted.error)
 
-    return _each_epoch(warehouse, folder, checkpoint, max_files, step)
+    return _each_epoch(warehouse, folder, checkpoint, max_files, after)
