@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storespark.functions import fixed_values as fixed
-from storespark.operators.joins import POSITION_KEY, attach
+from storespark.operators.joins import POSITION_KEY
 from storespark.tables import Tables
 
 PRIMARY_KEYS = {
@@ -122,8 +122,13 @@ PRICE_RULES = {
 }
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+_KEYS = "table_name string, key string, rows bigint"
+_RULES = "table_name string, rule string, rows bigint"
+
+
+def _union(parts: list[DataFrame], ddl: str) -> DataFrame:
+    """All parts; without any table to look at, an empty result."""
+    return reduce(DataFrame.unionByName, parts) if parts else SparkSession.active().createDataFrame([], ddl)
 
 
 def _has(df: DataFrame, columns: list[str]) -> bool:
@@ -149,7 +154,7 @@ def _duplicates(t: Tables, constraints: dict[str, list[str]]) -> DataFrame:
         for name, columns in constraints.items()
         if name in t and _has(t[name], columns)
     ]
-    return _union(parts)
+    return _union(parts, _KEYS)
 
 
 def audit_primary_keys(t: Tables) -> DataFrame:
@@ -160,24 +165,42 @@ def audit_unique(t: Tables) -> DataFrame:
     return _duplicates(t, UNIQUE)
 
 
-def orphans(df: DataFrame, columns: list[str], referenced: DataFrame) -> DataFrame:
-    """Keys without a referenced row and the number of rows that use them; null keys are exempt.
-
-    Counting comes first, so the anti join compares keys, not rows.
-    """
-    used = df.dropna(subset=columns).groupBy(*columns).agg(F.count("*").alias("rows"))
-    return attach(used, referenced.select(*columns), columns, "left_anti")
+def _sides(t: Tables) -> dict[str, list[tuple[int, bool, list[str]]]]:
+    """Per table the foreign keys (number, whether the table refers, columns) that it takes part in."""
+    sides: dict[str, list[tuple[int, bool, list[str]]]] = {}
+    for number, (name, columns, target) in enumerate(FOREIGN_KEYS):
+        if name in t and target in t and _has(t[name], columns) and _has(t[target], columns):
+            sides.setdefault(name, []).append((number, True, columns))
+            sides.setdefault(target, []).append((number, False, columns))
+    return sides
 
 
 def audit_foreign_keys(t: Tables) -> DataFrame:
-    parts = [
-        orphans(t[name], columns, t[target]).select(
-            F.lit(name).alias("table_name"), F.lit(target).alias("referenced"), _key_text(columns).alias("key"), "rows"
-        )
-        for name, columns, target in FOREIGN_KEYS
-        if name in t and target in t and _has(t[name], columns)
-    ]
-    return _union(parts)
+    """Keys without a referenced row and the number of rows that use them; a key with a null part is exempt.
+
+    Every table is read once, whatever the number of its keys: each row tells the keys it uses and the keys it is. Both
+    sides meet in one shuffle, after sums per task, so a key that half of all rows use is one row a task there.
+    """
+    told = []
+    for name, keys in _sides(t).items():
+        each = [
+            F.when(
+                reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]),
+                F.struct(
+                    F.lit(number).alias("number"),
+                    F.lit(refers).alias("refers"),
+                    # the parts with their lengths, so that no two keys look alike
+                    F.concat_ws(",", *[F.concat_ws(":", F.length(F.col(c).cast("string")), F.col(c).cast("string")) for c in columns]).alias("parts"),
+                    _key_text(columns).alias("key"),
+                ),
+            )
+            for number, refers, columns in keys
+        ]
+        told.append(t[name].select(F.explode(F.array(*each)).alias("k")).filter("k is not null").select("k.*"))
+    sums = [F.count_if("refers").alias("rows"), F.min("refers").alias("_alone")]
+    lost = _union(told, "number int, refers boolean, parts string, key string").groupBy("number", "parts", "key").agg(*sums)
+    said = lambda i: F.element_at(F.array(*[F.lit(k[i]) for k in FOREIGN_KEYS]), F.col("number") + 1)
+    return lost.filter("_alone").select(said(0).alias("table_name"), said(2).alias("referenced"), "key", "rows")
 
 
 def _violations(df: DataFrame, name: str, checks: dict[str, str]) -> DataFrame:
@@ -189,11 +212,11 @@ def _violations(df: DataFrame, name: str, checks: dict[str, str]) -> DataFrame:
 
 def audit_domains(t: Tables) -> DataFrame:
     """Rows outside the domain of each checked column, per table and column."""
-    return _union([_violations(t[name], name, checks) for name, checks in DOMAINS.items() if name in t])
+    return _union([_violations(t[name], name, checks) for name, checks in DOMAINS.items() if name in t], _RULES)
 
 
 def audit_price_rules(t: Tables, names: tuple[str, ...] = ("cleaned_movements", "movements")) -> DataFrame:
-    return _union([_violations(t[name], name, PRICE_RULES) for name in names if name in t])
+    return _union([_violations(t[name], name, PRICE_RULES) for name in names if name in t], _RULES)
 
 
 def _present(t: Tables, name: str, checks: dict[str, str]) -> dict[str, str]:
@@ -208,7 +231,7 @@ def audit_not_null(t: Tables) -> DataFrame:
         checks = _present(t, name, {c: f"{c} is not null" for c in required}) if name in t else {}
         if checks:
             parts.append(_violations(t[name], name, checks))
-    return _union(parts)
+    return _union(parts, _RULES)
 
 
 def audit_lengths(t: Tables) -> DataFrame:
@@ -218,7 +241,7 @@ def audit_lengths(t: Tables) -> DataFrame:
         checks = _present(t, name, {c: f"length({c}) <= {n}" for c, n in limits.items()}) if name in t else {}
         if checks:
             parts.append(_violations(t[name], name, checks))
-    return _union(parts)
+    return _union(parts, _RULES)
 
 
 def unchecked(t: Tables) -> list[tuple[str, str, str]]:

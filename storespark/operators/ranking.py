@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import ROUND_HALF_EVEN, ROUND_HALF_UP, Decimal
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -41,68 +44,105 @@ def _bucket(order: Column, buckets: int) -> Column:
     return F.floor(F.conv(F.substring(order, 1, 8), 16, 10).cast("bigint") * buckets / 2**32).cast("int")
 
 
-def sample_ends(
-    df: DataFrame, category: str, order: Column, shares: Mapping[str, float], buckets: int = 4096
-) -> DataFrame:
-    """Where the sample of each listed category ends: its ``_end`` bucket and, where not all of it stays, the ``_last`` hash.
+class SampleEnd(NamedTuple):
+    """Where a category's sample ends: at a hash, and within its rows at a second hash and a number of equal rows.
 
-    Where not all rows of that hash stay, ``_missing`` is how many do. Two scans
-    of the category and the hash: rows are counted per category and hash bucket,
-    and then per hash in the bucket in which the quota ends. One row per listed
-    category comes out.
+    Without ``tie`` all rows of the hash stay, without ``equal`` all of the second hash.
     """
-    share = F.create_map(*[F.lit(x) for k, v in shares.items() for x in (k, str(v))])
-    quota_share = F.element_at(share, F.col(category)).cast("decimal(9,6)")
-    keys = df.filter(F.col(category).isin(list(shares))).select(category, order.alias("_order"))
-    keys = keys.withColumn("_bucket", _bucket(F.col("_order"), buckets))
-    # at most (listed categories x buckets) rows
-    sizes = keys.groupBy(category, "_bucket").agg(F.count("*").alias("_size"))
-    upto = W.partitionBy(category).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy(category)
-    limits = (
-        sizes.withColumn("_below", F.coalesce(F.sum("_size").over(upto), F.lit(0)))
-        .withColumn("_quota", F.bround(quota_share * F.sum("_size").over(whole), 0).cast("bigint"))
-        .filter(F.col("_below") < F.col("_quota"))
-        .withColumn("_take", F.least(F.col("_quota") - F.col("_below"), F.col("_size")))
-    )
-    ends = limits.groupBy(category).agg(F.max(F.struct("_bucket", "_take", "_size")).alias("_e")).select(
-        category, F.col("_e._bucket").alias("_end"), F.col("_e._take").alias("_take"), F.col("_e._size").alias("_size")
-    )
-    cut = keys.join(F.broadcast(ends.filter("_take < _size")), category).filter(F.col("_bucket") == F.col("_end"))
-    hashes = cut.groupBy(category, "_order", "_take").agg(F.count("*").alias("_n"))
-    lower = W.partitionBy(category).orderBy("_order").rowsBetween(W.unboundedPreceding, -1)
-    hashes = hashes.withColumn("_left", F.col("_take") - F.coalesce(F.sum("_n").over(lower), F.lit(0)))
-    last = hashes.filter((F.col("_left") > 0) & (F.col("_left") <= F.col("_n")))
-    missing = F.when(F.col("_left") < F.col("_n"), F.col("_left")).alias("_missing")
-    last = last.select(category, F.col("_order").alias("_last"), missing)
-    return ends.join(last, category, "left").select(category, "_end", "_last", "_missing")
 
+    order: str
+    tie: int | None = None
+    equal: int | None = None
+
+
+def _per_category(category: Column, values: Mapping[str, object]) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), category)
 
-def in_sample(order: Column, buckets: int = 4096) -> Column:
-    """Whether a row that carries its category's end is in the sample; those of ``tied_rows`` come besides."""
-    bucket = _bucket(order, buckets)
-    last = F.coalesce((order < F.col("_last")) | ((order == F.col("_last")) & F.col("_missing").isNull()), F.lit(True))
-    return F.coalesce((bucket < F.col("_end")) | ((bucket == F.col("_end")) & last), F.lit(False))
 
+def _cut(keys: DataFrame, category: str, value: Column, needs: Mapping[str, int]) -> dict[str, tuple]:
+    """Per category, in order of ``value``: the value at which ``needs`` rows are reached, what of it counts, its rows."""
+    if not needs:
+        return {}
+    counts = keys.filter(F.col(category).isin(list(needs))).groupBy(category, value.alias("_v")).agg(F.count("*").alias("_n"))
+    below = F.sum("_n").over(W.partitionBy(category).orderBy("_v")) - F.col("_n")
+    left = _per_category(F.col(category), needs) - F.col("_below")
+    placed = counts.withColumn("_below", below).withColumn("_left", left)
+    found = placed.filter((F.col("_left") > 0) & (F.col("_left") <= F.col("_n"))).collect()
+    return {r[category]: (r["_v"], r["_left"], r["_n"]) for r in found}
 
-def tied_rows(rows: DataFrame, category: str, order: Column, columns: list[str]) -> DataFrame:
-    """Of rows that carry their category's end and have its ``_last`` hash, as many as are missing, as ``columns``.
 
-    Equal rows are counted first. What differs is ordered by a second hash and
-    ranked inside ranges of it, so that a hash of any size is spread over tasks.
+def _at(category: str, value: Column, cuts: Mapping[str, tuple]) -> Column:
+    return F.coalesce(value == _per_category(F.col(category), {c: cut[0] for c, cut in cuts.items()}), F.lit(False))
+
+
+def _tie(columns: list[str]) -> Column:
+    return F.xxhash64(F.lit("tie"), *columns)
+
+
+def sample_ends(
+    df: DataFrame, category: str, order: Column, shares: Mapping[str, float], buckets: int = 4096
+) -> dict[str, SampleEnd]:
+    """Where the sample of each listed category ends; one row per category comes to the driver.
+
+    One scan reads category and hash, which are counted by hash bucket, and by hash in the bucket where the quota ends.
+    Only if some rows of one hash stay and others go are these read again, and counted by a hash of all columns.
     """
-    tied = rows.filter((order == F.col("_last")) & F.col("_missing").isNotNull())
-    kinds = tied.groupBy(*columns, "_missing").agg(F.count("*").alias("_n"))
-    kinds = kinds.withColumn("_tie", F.xxhash64(F.lit("tie"), *columns)).withColumn("_range", F.pmod("_tie", F.lit(SPLITS)))
-    # at most SPLITS rows per category
-    sizes = kinds.groupBy(category, "_range").agg(F.sum("_n").alias("_size"))
-    before = W.partitionBy(category).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(category, "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    own = W.partitionBy(category, "_range").orderBy("_tie", *columns).rowsBetween(W.unboundedPreceding, -1)
-    placed = kinds.withColumn("_before", F.coalesce(F.sum("_n").over(own), F.lit(0)))
-    left = F.col("_missing") - F.col("_offset") - F.col("_before")
-    kept = placed.join(F.broadcast(offsets), [category, "_range"]).withColumn("_keep", F.least("_n", left))
-    return kept.filter("_keep > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_keep"))).select(*columns)
+    keys = df.filter(F.col(category).isin(list(shares))).select(category, order.alias("_order")).persist()
+    try:
+        sizes = {r[category]: r["count"] for r in keys.groupBy(category).count().collect()}
+        share = {c: Decimal(str(shares[c])).quantize(Decimal("0.000001"), ROUND_HALF_UP) for c in sizes}
+        quota = {c: int((share[c] * n).to_integral_value(ROUND_HALF_EVEN)) for c, n in sizes.items()}
+        bucket = _bucket(F.col("_order"), buckets)
+        ends = _cut(keys, category, bucket, {c: min(q, sizes[c]) for c, q in quota.items() if q > 0})
+        inside = keys.filter(_at(category, bucket, ends)) if ends else keys
+        lasts = _cut(inside, category, F.col("_order"), {c: left for c, (_, left, _) in ends.items()})
+    finally:
+        keys.unpersist()
+    found = {c: SampleEnd(last) for c, (last, _, _) in lasts.items()}
+    split = {c: cut for c, cut in lasts.items() if cut[1] < cut[2]}
+    if split:
+        # a hash of any size is spread by ranges of the second hash
+        tied = df.filter(_at(category, order, split)).select(category, _tie(df.columns).alias("_tie"))
+        ranges = _cut(tied, category, F.shiftright("_tie", 48), {c: left for c, (_, left, _) in split.items()})
+        inside = tied.filter(_at(category, F.shiftright("_tie", 48), ranges))
+        for c, (tie, left, n) in _cut(inside, category, F.col("_tie"), {c: cut[1] for c, cut in ranges.items()}).items():
+            found[c] = SampleEnd(split[c][0], tie, left if left < n else None)
+    return found
+
+
+def in_sample(category: str, order: Column, columns: list[str], ends: Mapping[str, SampleEnd]) -> Column:
+    """Whether a row is in the sample; where only some of fully equal rows are, ``equal_rows`` come besides."""
+    inside = F.lit(False)
+    for name, end in ends.items():
+        at_end = order == end.order
+        if end.tie is not None:
+            at_end = at_end & (_tie(columns) < end.tie if end.equal else _tie(columns) <= end.tie)
+        inside = F.when(F.col(category) == name, (order < end.order) | at_end).otherwise(inside)
+    return F.coalesce(inside, F.lit(False))
+
+
+def equal_rows(rows: DataFrame, category: str, order: Column, ends: Mapping[str, SampleEnd]) -> DataFrame | None:
+    """Of equal rows at an end as many as are in the sample; None where no end lies among equal rows."""
+    among = {c: end for c, end in ends.items() if end.equal}
+    if not among:
+        return None
+    columns = rows.columns
+    at = [(F.col(category) == c) & (order == e.order) & (_tie(columns) == e.tie) for c, e in among.items()]
+    kinds = rows.filter(reduce(lambda a, b: a | b, at)).groupBy(*columns).agg(F.count("*").alias("_n"))
+    # a kind each, or a few where the second hash collides
+    before = F.sum("_n").over(W.partitionBy(category).orderBy(*columns)) - F.col("_n")
+    wanted = _per_category(F.col(category), {c: e.equal for c, e in among.items()})
+    kept = kinds.withColumn("_keep", F.least(F.col("_n"), wanted - before)).filter("_keep > 0")
+    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_keep")))).select(*columns)
+
+
+def sampled(rows: DataFrame, category: str, order: Column, ends: Mapping[str, SampleEnd], besides: Column | None = None) -> DataFrame:
+    """The sample that ``ends`` describes: one filter over one scan. Rows that hold ``besides`` stay, and are not drawn from."""
+    inside = in_sample(category, order, rows.columns, ends)
+    drawn = rows if besides is None else rows.filter(~besides)
+    kept = rows.filter(inside if besides is None else besides | inside)
+    equal = equal_rows(drawn, category, order, ends)
+    return kept if equal is None else kept.unionAll(equal)
 
 
 def sample_by_category(
@@ -110,14 +150,10 @@ def sample_by_category(
 ) -> DataFrame:
     """Exactly half-even-round(share x size) rows of each listed category, lowest ``order`` (a hex hash) first.
 
-    Beside the scans for the ends, the rows are filtered, once by hash and once
-    for those of the last hash, so a category of any size is spread over all
-    tasks. Categories not listed are dropped, as are null ones; of rows with one
-    hash at the end those with the lowest second hash stay.
+    The ends are found at once, by one scan of category and hash; the rows are then filtered by them. Categories not
+    listed are dropped, as are null ones; of rows with one hash at the end those with the lowest second hash stay.
     """
-    ends = sample_ends(df, category, order, shares, buckets)
-    rows = df.join(F.broadcast(ends), category)
-    return rows.filter(in_sample(order, buckets)).select(*df.columns).unionAll(tied_rows(rows, category, order, df.columns))
+    return sampled(df, category, order, sample_ends(df, category, order, shares, buckets))
 
 
 def first_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:

@@ -19,7 +19,7 @@ from storespark.functions.text import (
     truncate_description,
 )
 from storespark.functions.money import half_even_cents
-from storespark.operators.ranking import in_sample, sample_ends, tied_rows
+from storespark.operators.ranking import sample_ends, sampled
 
 
 def category_exclude(category: Column, excluded: list[str]) -> Column:
@@ -52,10 +52,9 @@ def branded(products: DataFrame, spellings: Spellings | None = None) -> DataFram
 def masterdata_concat(products: DataFrame, shares: dict[str, float] | None = None, seed: int | str = 42) -> DataFrame:
     """Branded rows and the sampled unbranded rows of the listed departments."""
     order = hash_order(F.col("id_prodotto"), seed)
-    ends = sample_ends(products.filter(~F.col("brand_removed")), "cat1", order, shares or fixed.SAMPLE_SHARES)
-    rows = products.join(F.broadcast(ends), "cat1", "left")
-    tied = tied_rows(rows.filter(~F.col("brand_removed")), "cat1", order, products.columns)
-    return rows.filter(F.col("brand_removed") | in_sample(order)).select(*products.columns).unionAll(tied)
+    unbranded = products.filter(~F.col("brand_removed"))
+    ends = sample_ends(unbranded, "cat1", order, shares or fixed.SAMPLE_SHARES)
+    return sampled(products, "cat1", order, ends, besides=F.col("brand_removed"))
 
 
 def positive_prices(products: DataFrame) -> DataFrame:
@@ -69,7 +68,7 @@ def product_registry(
     excluded: list[str] | None = None,
     seed: int | str = 42,
 ) -> DataFrame:
-    """The whole chain over a price list: one scan for the rows, one for ties, two of keys for where the samples end."""
+    """The whole chain over a price list: one scan of keys for where the samples end, one for the rows."""
     rows = branded(noisy_prices(unbranded_source(prices), seed), spellings)
     kept = masterdata_concat(rows, shares, seed).filter(
         category_exclude(F.col("cat1"), excluded or fixed.DROPPED_CATEGORIES)

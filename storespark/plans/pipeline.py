@@ -391,9 +391,9 @@ class Warehouse:
             if unreadable:
                 self._reject(files, self.spark.createDataFrame(failures, "file_name string, reason string"))
             return StepResult("extract", files=len(names), failed_files=len(names), error=None if unreadable else str(error))
-        results = [done]
-        for other in {tuple(o) for o in self.reordered.values()}:
-            again = [f for f in found if tuple(self.reordered.get(f.file_name, ())) == other]
+        results, reordered = [done], {name: tuple(o) for name, o in self.reordered.items()}
+        for other in sorted(set(reordered.values())):
+            again = [f for f in found if reordered.get(f.file_name) == other]
             results.append(self._extract_files(folder, again, list(other)))
         return self._sum(results)
 

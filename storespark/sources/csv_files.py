@@ -191,8 +191,9 @@ def type_movements(text: DataFrame, source_system: str = fixed.SOURCE_SYSTEM) ->
     return rows.withColumn("violation", violation()).drop("_text", "_malformed")
 
 
-#: set on a row that names all columns in another order than the one asked for
+#: set on a row that tells that its file has to be read again: the columns' order, after ``OVER_LINES`` if over lines
 OTHER_HEADER = "other_header"
+OVER_LINES = "over lines"
 
 
 def movement_text(reader, paths: str | list[str], base: str, order: list[str] | None = None) -> DataFrame:
@@ -201,20 +202,27 @@ def movement_text(reader, paths: str | list[str], base: str, order: list[str] |
     Header lines are read as rows and dropped by their content. A file whose
     header has the columns in another ``order`` keeps it as a marked row, so
     that the file can be read again in its own order; any other header fits no
-    type, so that this file alone is rejected.
+    type, so that this file alone is rejected. Files are split by lines; one
+    with a line that leaves a quote open is marked too, and read again over
+    lines, which an ``order`` that begins with ``OVER_LINES`` asks for.
     """
     order = order or schemas.MOVEMENT_COLUMNS
+    over_lines = [OVER_LINES] if order[0] == OVER_LINES else []
+    order = order[len(over_lines) :]
     fields = [schemas.MOVEMENT_CSV[c] for c in [*order, schemas.MALFORMED]]
     schema = type(schemas.MOVEMENT_CSV)(fields)
-    rows = reader.schema(schema).option("header", False).options(**_LISTING, **DIALECT).csv(paths)
+    reader = reader.schema(schema).option("header", False).option("multiLine", bool(over_lines))
+    rows = reader.options(**_LISTING, **DIALECT).csv(paths)
     trimmed = F.array(*[F.regexp_replace(F.trim(F.coalesce(F.col(c), F.lit(""))), "^\ufeff", "") for c in order])
     header = trimmed == F.array(*map(F.lit, order))
     named = F.array_sort(trimmed) == F.array(*map(F.lit, sorted(order)))
+    other = F.when(named, F.concat_ws(",", *map(F.lit, over_lines), F.array_join(trimmed, ",")))
+    if not over_lines:
+        line = F.col(schemas.MALFORMED)
+        quotes = F.length(line) - F.length(F.replace(line, F.lit('"')))
+        other = F.coalesce(other, F.when(quotes % 2 == 1, F.lit(",".join([OVER_LINES, *order]))))
     return rows.filter(~header).withColumns(
-        {
-            "source_file_name": drop_name(F.col("_metadata.file_path"), base),
-            OTHER_HEADER: F.when(named, F.array_join(trimmed, ",")),
-        }
+        {"source_file_name": drop_name(F.col("_metadata.file_path"), base), OTHER_HEADER: other}
     )
 
 
@@ -227,8 +235,8 @@ def raw_ingest(
 ) -> DataFrame:
     """Movements of a drop folder, or of some ``paths`` below ``folder``, with their file name and system.
 
-    ``order`` is the columns' order in these files. The mark of another order
-    is left out; ``read_in_order`` keeps it.
+    ``order`` is the columns' order in these files, after ``OVER_LINES`` where cells go over lines. The mark of files
+    that have to be read otherwise is left out; ``read_in_order`` keeps it.
     """
     return read_in_order(spark, paths, source_system, folder, order).drop(OTHER_HEADER)
 
@@ -245,11 +253,21 @@ def read_in_order(
     return type_movements(movement_text(spark.read, found, base, order), source_system)
 
 
+def with_header(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """Cells of a CSV with a header line, as text.
+
+    A file is split over tasks unless some line holds an odd number of quotes, as one does where a quoted cell goes on
+    in the next line; only then the cells are read over lines, a file a task.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    over_lines = not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+    return spark.read.option("header", True).option("multiLine", over_lines).options(**DIALECT, **options).csv(path)
+
+
 def products_master(spark: SparkSession, path: str) -> DataFrame:
     """Product registry CSV: ten renamed columns; an unnamed index column, where present, is left out."""
     types = {f.name: f.dataType.simpleString() for f in schemas.TABLES["products"].fields}
-    rows = spark.read.option("header", True).option("multiLine", True).options(**DIALECT).csv(path)
-    return rows.select(
+    return with_header(spark, path).select(
         *[cell(src, types[dst]).alias(dst) for src, dst in schemas.PRODUCT_MASTER_COLUMNS.items()]
     )
 
@@ -257,12 +275,10 @@ def products_master(spark: SparkSession, path: str) -> DataFrame:
 def price_list(spark: SparkSession, path: str) -> DataFrame:
     """Price list CSV (``;``): eleven renamed columns; the VAT code stays text."""
     types = {"pzxcar": "int", "brand": "int", "costo": "decimal(12,4)", "prezzo_vendita": "decimal(12,4)"}
-    rows = spark.read.option("header", True).option("sep", ";").option("multiLine", True).options(**DIALECT).csv(path)
-    return rows.select(
+    return with_header(spark, path, sep=";").select(
         *[cell(src, types.get(dst, "string")).alias(dst) for src, dst in schemas.PRICE_LIST_COLUMNS.items()]
     )
 
 
 def brands_csv(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.option("header", True).option("multiLine", True).options(**DIALECT).csv(path)
-    return rows.select(*schemas.TABLES["brands"].fieldNames())
+    return with_header(spark, path).select(*schemas.TABLES["brands"].fieldNames())

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from storespark import schemas
 from storespark.functions import calendar, money, text
 from storespark.functions import fixed_values as fixed
-from storespark.operators import audits, fileset, joins, ranking, shelves, stock, upserts, validation
+from storespark.operators import audits, fileset, joins, movement_sums, ranking, shelves, stock, upserts, validation
 from storespark.plans import dashboards, masterdata, runlog, views
 from storespark.plans.pipeline import Warehouse
 from storespark.plans.replenishment import replenishment_candidates
@@ -326,31 +326,9 @@ add("layout_grid", lambda bed, t: shelves.layout_grid(bed.stores()))
 add("net_stock_delta", lambda bed, t: stock.net_stock_delta(bed.lines()))
 
 
-@register()
-def conditional_counts(bed, t):
-    kind = F.col("movement_type")
-    return bed.lines().groupBy("store_id").agg(
-        F.count_if(kind == "sale").alias("sales"),
-        F.count_if(kind == "breakage").alias("breakages"),
-        F.count_if(kind == "purchase").alias("purchases"),
-    )
-
-
-@register()
-def conditional_sums(bed, t):
-    kind = F.col("movement_type")
-    return bed.lines().groupBy("store_id", "movement_type").agg(
-        F.coalesce(F.sum(F.when(kind == "sale", F.col("quantity"))), F.lit(0)).alias("qty_sold"),
-        money.money_sum0(F.when(kind == "purchase", money.line_value(F.col("unit_purchase_price")))).alias("purchase_cost"),
-    )
-
-
-add(
-    "sum_product",
-    lambda bed, t: bed.lines().groupBy("store_id", "product_id").agg(
-        money.money_sum(money.line_value(F.col("unit_sale_price"))).alias("revenue")
-    ),
-)
+add("conditional_counts", lambda bed, t: movement_sums.movement_counts(bed.lines(), "store_id"))
+add("conditional_sums", lambda bed, t: movement_sums.movement_sums(bed.lines(), "store_id", "movement_type"))
+add("sum_product", lambda bed, t: movement_sums.revenue(bed.lines(), "store_id", "product_id"))
 
 
 @register()

@@ -161,3 +161,18 @@ def test_a_load_without_any_stock(spark, warehouse, drops, folder):  # noqa: F81
     assert bare.run(source)[2].rows == 0  # no clean row, and no stock was ever set
     drops("movements_2024-01-01.csv", DAY1)
     assert bare.run(source)[2].rows == 3 and bare.inventory().isEmpty()
+
+
+def test_a_quoted_cell_may_go_over_lines(warehouse, drops):  # noqa: F811
+    lines = DAY1.replace("offerta_3x2", '"offerta\n3x2, ""due"""')
+    drops("movements_2024-01-01.csv", lines)
+    swapped = [line.split(",") for line in DAY2.strip().split("\n")]
+    other = "\n".join(",".join([r[1], r[0], *r[2:]]) for r in swapped).replace("NOPE,1,,", 'NOPE,1,"S\n9",') + "\n"
+    drops("movements_2024-01-02.csv", other)
+    source = drops("open.csv", DAY1.replace("P3", '"P3'))
+    result = warehouse.extract(source)
+    assert (result.files, result.rows, result.failed_files) == (3, 7, 1)
+    raw = warehouse.raw_movements()
+    assert {r.promo_type for r in raw.where("is_promo").collect()} == {'offerta\n3x2, "due"'}
+    assert raw.where("product_id = 'NOPE'").first().supplier_id == "S\n9"
+    assert warehouse.extract(source).files == 0

@@ -119,3 +119,54 @@ def test_columns_are_pruned_at_the_scan(spark):
     t = Testbed(spark, SF_DIR).tables()
     text = plan(views.daily_kpis(t))
     assert "l_extendedprice" not in text and "l_linestatus" not in text
+
+
+def test_samples_filter_one_scan_of_rows(spark, folder):
+    """The ends are found before; the plan reads the rows and looks for brands once, with ties of different rows too."""
+    rows = spark.range(4000).selectExpr("id", "id % 40 as id_prodotto", "concat('c', id % 2) as cat1", "id % 3 = 0 as brand_removed")
+    rows.write.parquet(f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows")
+    found = masterdata.masterdata_concat(rows, {"c0": 0.33, "c1": 0.01})
+    assert plan(found).count("FileScan") == 1 and "Join" not in plan(found)
+    unbranded = {c: rows.where(f"cat1 = '{c}' and not brand_removed").count() for c in ("c0", "c1")}
+    kept = {r["cat1"]: r["count"] for r in found.where("not brand_removed").groupBy("cat1").count().collect()}
+    assert kept == {"c0": round(0.33 * unbranded["c0"]), "c1": round(0.01 * unbranded["c1"])}
+    assert found.where("brand_removed").count() == rows.where("brand_removed").count()
+
+
+def test_foreign_keys_read_every_table_once(spark, folder):
+    from storespark.operators import audits
+    from storespark.tables import Tables
+
+    names = {name for name, _, _ in audits.FOREIGN_KEYS} | {target for _, _, target in audits.FOREIGN_KEYS}
+    stored = Testbed(spark, SF_DIR).tables()
+    for name in names:
+        if name in stored:
+            stored[name].write.parquet(f"{folder}/{name}")
+    t = Tables({name: spark.read.parquet(f"{folder}/{name}") for name in names if name in stored})
+    text = plan(audits.audit_foreign_keys(t))
+    assert text.count("FileScan") == len([n for n in names if n in t]) and text.count("Exchange hashpartitioning") == 1
+
+
+def test_audits_without_tables_are_empty(spark):
+    from storespark.operators import audits
+    from storespark.tables import Tables
+
+    for audit in ("primary_keys", "unique", "foreign_keys", "domains", "price_rules", "not_null", "lengths"):
+        assert getattr(audits, f"audit_{audit}")(Tables({})).isEmpty()
+
+
+def test_masters_are_split_unless_a_cell_goes_over_lines(spark, tmp_path):
+    from storespark.sources import csv_files
+
+    for name, odd, cell in (("plain.csv", "tubo 5", "tubo 5"), ("lines.csv", '"tubo\n5 ""x"""', 'tubo\n5 "x"')):
+        path = tmp_path / name
+        path.write_text("brand_code,brand_name\n" + "".join(f"B{i:05d},name {i}\n" for i in range(60_000)) + f"B9,{odd}\n")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+        try:
+            found = csv_files.brands_csv(spark, str(path))
+            tasks = found.rdd.getNumPartitions()
+            assert found.count() == 60_001 and (tasks > 2) == (name == "plain.csv")
+            assert found.where("brand_code = 'B9'").first()[1] == cell
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
