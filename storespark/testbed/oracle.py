@@ -167,6 +167,10 @@ select store_id, movement_date, strftime(movement_date, '%Y-%m') as month, cast(
   coalesce(max(q) filter (kind = 'purchase'), 0) qty_purchased,
   coalesce(max(bought) filter (kind = 'purchase'), 0) purchase_cost, cast(sum(n) as bigint) total_movements
 from per_kind group by store_id, movement_date""",
+    "day_sums": """
+select store_id, product_id, shelf_id, movement_date, movement_type kind, count(*) n, sum(quantity) pieces,
+  sum(quantity * unit_sale_price) sold
+from movements group by all""",
     "labelled": "select products.*, brand_name from products left join brands using (brand_code)",
     "shelf_moves": """
 select store_id, place.shelf_id, place.shelf_level, place.zone, place.slot_number, product_id, product_description,
@@ -299,11 +303,25 @@ _DETAILS = "case error_reason " + " ".join(
     f"when '{r}' then '{d.replace(chr(39), chr(39) * 2)}'" for r, d in fixed.RULE_TEXTS.items()
 ) + " end error_details"
 
-_SHELF_SALES = f"""{big('count(*)', 'transaction_count')}, {big('sum(quantity)', 'qty_sold')},
-  {dbl('sum(quantity * unit_sale_price)', 'revenue')}"""
-_SHELF_BREAKS = f"""{big('count(*)', 'breakage_events')}, {big('sum(quantity)', 'qty_lost')},
-  {dbl('sum(quantity * purchase_price)', 'breakage_cost')}"""
+_SHELF_SALES = f"{big('sum(n)', 'transaction_count')}, {big('sum(pieces)', 'qty_sold')}, {dbl('sum(sold)', 'revenue')}"
+_SHELF_BREAKS = (
+    f"{big('sum(n)', 'breakage_events')}, {big('sum(pieces)', 'qty_lost')}, "
+    f"{dbl('sum(pieces * purchase_price)', 'breakage_cost')}"
+)
+
+
 _REV, _COST = "sum(quantity * unit_sale_price)", "sum(quantity * purchase_price)"
+
+
+def _per_shelf(kind: str, measures: str, when: str) -> str:
+    """Sums per product and day of one kind, on the shelf of ``then`` or ``now``, added up by shelf."""
+    then = "(select * from day_sums where shelf_id is not null)"
+    now = "(select * exclude (shelf_id) from day_sums) join (select store_id, product_id, shelf_id from active) using (store_id, product_id)"
+    priced = " join labelled using (product_id)" if kind == "breakage" else ""
+    return f"""select store_id, shelf_id, {DAY}, {CALENDAR}, {measures}
+from {then if when == "then" else now}{priced} where kind = '{kind}' group by store_id, shelf_id, movement_date"""
+
+
 _DAILY = f"""{big('qty_sold', 'qty_sold')}, {dbl('revenue', 'revenue')}, {dbl('cogs', 'cogs')},
   breakage_events, {big('qty_breakage', 'qty_breakage')}, {dbl('breakage_cost', 'breakage_cost')}, purchase_transactions,
   {big('qty_purchased', 'qty_purchased')}, {dbl('purchase_cost', 'purchase_cost')}, total_movements"""
@@ -626,24 +644,14 @@ union all select 'product_suppliers', count(*), 0 from product_suppliers where p
     and supplier_id not in (select supplier_id from suppliers where supplier_type = 'secondary')
 union all select 'store_assortment', count(*), 0 from store_assortment where product_id not in (select product_id from products where category_level_1 = 'LARGE')""",
         # ---- analytic tables ----------------------------------------------------------------
-        "sales_by_shelf_historical": f"""select store_id, shelf_id, {DAY}, {CALENDAR}, {_SHELF_SALES} from movements
-where movement_type = 'sale' and shelf_id is not null group by store_id, shelf_id, movements.movement_date""",
-        "sales_by_shelf_current": f"""select m.store_id, a.shelf_id, {DAY}, {CALENDAR}, {_SHELF_SALES}
-from movements m join active a on a.store_id = m.store_id and a.product_id = m.product_id
-where movement_type = 'sale' group by m.store_id, a.shelf_id, m.movement_date""",
-        "breakage_by_shelf_historical": f"""select store_id, shelf_id, {DAY}, {CALENDAR}, {_SHELF_BREAKS}
-from movements m join products p on p.product_id = m.product_id
-where movement_type = 'breakage' and shelf_id is not null group by store_id, shelf_id, m.movement_date""",
-        "breakage_by_shelf_current": f"""select m.store_id, a.shelf_id, {DAY}, {CALENDAR}, {_SHELF_BREAKS}
-from movements m join products p on p.product_id = m.product_id
-  join active a on a.store_id = m.store_id and a.product_id = m.product_id
-where movement_type = 'breakage' group by m.store_id, a.shelf_id, m.movement_date""",
-        "margins_by_product_shelf": f"""select m.store_id, m.product_id, product_description, category_level_1, category_level_2,
-  p.brand_code, brand_name, shelf_id, {DAY}, {CALENDAR}, {big('sum(quantity)', 'qty_sold')}, {dbl(_REV, 'revenue')},
-  {dbl(_COST, 'cost')}, {dbl(f'{_REV} - {_COST}', 'margin')}, {margin(_REV, _COST)}
-from movements m join products p on p.product_id = m.product_id left join brands b on b.brand_code = p.brand_code
-where movement_type = 'sale' group by m.store_id, m.product_id, product_description, category_level_1, category_level_2,
-  p.brand_code, brand_name, shelf_id, m.movement_date""",
+        "sales_by_shelf_historical": _per_shelf("sale", _SHELF_SALES, "then"),
+        "sales_by_shelf_current": _per_shelf("sale", _SHELF_SALES, "now"),
+        "breakage_by_shelf_historical": _per_shelf("breakage", _SHELF_BREAKS, "then"),
+        "breakage_by_shelf_current": _per_shelf("breakage", _SHELF_BREAKS, "now"),
+        "margins_by_product_shelf": f"""select store_id, product_id, product_description, category_level_1, category_level_2,
+  brand_code, brand_name, shelf_id, {DAY}, {CALENDAR}, {big('pieces', 'qty_sold')}, {dbl('sold', 'revenue')},
+  {dbl('worth', 'cost')}, {dbl('sold - worth', 'margin')}, {margin('sold', 'worth')}
+from (select *, pieces * purchase_price as worth from day_sums join labelled using (product_id)) where kind = 'sale'""",
         "daily_kpis": f"select store_id, {DAY}, month, year, week, sale_transactions, {_DAILY} from daily",
         "inventory_by_shelf": f"select *, {fill('stock_qty', 'capacity')} from stock_positions",
         "shelf_detail": "select * from details",
