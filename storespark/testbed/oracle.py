@@ -327,6 +327,41 @@ _DAILY = f"""{big('qty_sold', 'qty_sold')}, {dbl('revenue', 'revenue')}, {dbl('c
   {big('qty_purchased', 'qty_purchased')}, {dbl('purchase_cost', 'purchase_cost')}, total_movements"""
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _of_list(values: list[str], step: int) -> str:
+    listed = ", ".join(map(_text, values))
+    return f"([{listed}])[(p_partkey * {step}) % {len(values) + 1} + 1]"
+
+
+def _default_brands() -> str:
+    """The first of the default spellings that stands between signs that are no letters, digits or ``_``."""
+    spellings = fixed.brand_spellings()
+    names = [s for s, _ in spellings]
+    rows = ", ".join(f"({n}, {_text(s)}, '{c}')" for n, (s, c) in enumerate(spellings))
+    first, second = _of_list(names, 1), _of_list(names, 7)
+    return rf"""with parts as (
+  select cast(p_partkey as varchar) product_id, lower(concat_ws(' ', split_part(p_name, ' ', 1),
+    case when p_partkey % 2 = 0 then upper({first}) else {first} end, split_part(p_name, ' ', 2),
+    case when p_partkey % 3 = 0 then {second} end, '500 g')) low
+  from part)
+select product_id, (select arg_min(code, n) from (values {rows}) v(n, spelling, code)
+  where regexp_matches(low, '(^|[^\pL\pN_])' || regexp_escape(spelling) || '($|[^\pL\pN_])')) brand_anon from parts"""
+
+
+def _default_classes() -> str:
+    tables = [fixed.CATEGORY_1_RULES, fixed.CATEGORY_2_RULES, fixed.CATEGORY_3_RULES]
+    columns = ", ".join(f"{_of_list([r[0] for r in t], s)} c{n}" for n, (t, s) in enumerate(zip(tables, (1, 3, 5)), 1))
+    values = [", ".join(f"({_text(c)}, '{r}', {lo}, {hi})" for c, r, lo, hi in t) for t in tables]
+    joins = " ".join(f"left join (values {v}) r{n}(c, r, lo, hi) on r{n}.c = c{n}" for n, v in enumerate(values, 1))
+    rotation, low, high = fixed.DEFAULT_RULE
+    return f"""select product_id, coalesce(r3.r, r2.r, r1.r, '{rotation}') rotation_class,
+  cast(coalesce(r3.lo, r2.lo, r1.lo, {low}) as double) spoilage_min, cast(coalesce(r3.hi, r2.hi, r1.hi, {high}) as double) spoilage_max
+from (select cast(p_partkey as varchar) product_id, {columns} from part) p {joins}"""
+
+
 def _trend(period: str) -> str:
     return f"""select {period} as period, {dbl('sum(revenue)', 'revenue')}, {dbl('sum(cogs)', 'cogs')},
   {big('sum(qty_purchased)', 'qty_purchased')}, {big('sum(qty_sold)', 'qty_sold')},
@@ -606,6 +641,8 @@ from price_rows""".replace("ALIASES", "|".join(s for s, _ in SPELLINGS)),
         "opening_stock": f"""select cast(st.store_id as int) store_id, product_id,
   case when assortment_flag then initial_stock else 0 end stock_qty
 from products_specifications cross join {_STORES}""",
+        "extract_brand_default": _default_brands(),
+        "classify_products_default": _default_classes(),
         "classify_products": """select product_id, coalesce(r3.r, r2.r, r1.r, 'medium') rotation_class,
   cast(coalesce(r3.lo, r2.lo, r1.lo, 0.005) as double) spoilage_min,
   cast(coalesce(r3.hi, r2.hi, r1.hi, 0.02) as double) spoilage_max

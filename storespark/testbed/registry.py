@@ -430,6 +430,30 @@ def described(f) -> Callable:
 
 add("normalise_description", described(text.normalise_description))
 add("strip_brand", described(lambda c: text.strip_brand(F.lower(c), SPELLINGS)))
+
+
+def of_list(values: list[str], step: int):
+    """One of the values by part number; none for every (n + 1)th."""
+    return F.get(F.array(*map(F.lit, values)), ((F.col("p_partkey") * step) % (len(values) + 1)).cast("int"))
+
+
+def named_parts(bed):
+    """Part names with one of the default spellings among their words, in capitals or not, and every third time two."""
+    spellings = [s for s, _ in fixed.brand_spellings()]
+    key, word = F.col("p_partkey"), lambda i: F.split_part("p_name", F.lit(" "), F.lit(i))
+    first, second = of_list(spellings, 1), F.when(key % 3 == 0, of_list(spellings, 7))
+    first = F.when(key % 2 == 0, F.upper(first)).otherwise(first)
+    words = F.concat_ws(" ", word(1), first, word(2), second, F.lit("500 g"))
+    return bed.source("part").select(key.cast("string").alias("product_id"), words.alias("descrizione"))
+
+
+def categorised(bed):
+    """Parts under the categories of the default rules."""
+    tables = (fixed.CATEGORY_1_RULES, fixed.CATEGORY_2_RULES, fixed.CATEGORY_3_RULES)
+    levels = [of_list([rule[0] for rule in table], step).alias(f"category_level_{n}") for n, (table, step) in enumerate(zip(tables, (1, 3, 5)), 1)]
+    return bed.source("part").select(F.col("p_partkey").cast("string").alias("product_id"), *levels)
+
+
 add("squeeze_spaces", described(text.squeeze_spaces))
 add("truncate_description", described(text.truncate_description))
 add(
@@ -438,6 +462,10 @@ add(
         "id_prodotto", text.extract_brand(F.lower("descrizione"), SPELLINGS).alias("brand_anon")
     ),
 )
+add(
+    "extract_brand_default",
+    lambda bed, t: named_parts(bed).select("product_id", text.extract_brand(F.lower("descrizione")).alias("brand_anon")),
+)
 add(
     "brand_removed_flag",
     lambda bed, t: masterdata.branded(bed.price_rows(), SPELLINGS).select("id_prodotto", "brand_removed"),
@@ -451,6 +479,7 @@ def rename_categories(bed, t):
 
 
 add("opening_stock", lambda bed, t: stock.opening_stock(t.products_specifications, STORES))
+add("classify_products_default", lambda bed, t: shelves.classify_products(categorised(bed)))
 add("classify_products", lambda bed, t: shelves.classify_products(t.products, CLASS_RULES))
 add(
     "supplier_code",
