@@ -144,8 +144,10 @@ def rules() -> list[Rule]:
     for label, keyword, names, addresses, identifiers in LICENCES + _cc():
         for name in names:
             spaced, held = name.replace(" ", GAP), OWN_KEYWORDS.get(name, keyword)
-            made.append(Rule(held, "(?i)" + _edge(GRANT + spaced), label, 2, 0.98))
-            made.append(Rule(held, "(?i)" + _edge(spaced), label, 3, 0.8))
+            # capitals of letters beyond ASCII need the wider, slower case folding
+            case = "(?i)" if name.isascii() else "(?iu)"
+            made.append(Rule(held, case + _edge(GRANT + spaced), label, 2, 0.98))
+            made.append(Rule(held, case + _edge(spaced), label, 3, 0.8))
         for address in addresses:
             made.append(Rule(address.split("\\")[0].lower().split("/")[0], rf"(?i){address}[\w./-]{{0,40}}", label, 2, 0.95))
         for identifier in identifiers:

@@ -540,3 +540,9 @@ def test_the_mixing_stage_repeats_each_row_as_planned(spark):
         planned[r["doc_id"], r["source"], r["size"]] += r["repeats"]
     found = Counter((r["doc_id"], r["source"], len((r["text"] or "").split())) for r in mixing.repeat_documents(docs).collect())
     assert found == +planned and sum(found.values()) > 200
+
+
+def test_licence_names_in_capitals_beyond_ascii(spark):
+    rows = spark.createDataFrame([(1, "(c) TOUS DROITS RÉSERVÉS", None, "a", 0), (2, "Tous droits réservés", None, "a", 0)], SCHEMA)
+    labels = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(rows).collect()}
+    assert labels[1] == labels[2] != ""
