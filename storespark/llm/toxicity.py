@@ -92,15 +92,28 @@ class Words:
     """What a word says by itself; distinct words are looked up once per worker."""
 
     def __init__(self, learned: dict[str, float]) -> None:
-        self.learned, self.known = learned, {}
-
-    def look(self, word: str) -> tuple[bool, float, bool, bool, bool, tuple[str, ...]]:
-        """In the fixed lexicon, strongest learned log odds, disguised, a disguised hit, stretched, learned families."""
-        found = self.known.get(word)
-        if found is None:
-            low = word.lower()
-            plain = low in LEXICON
-            odds = max((self.learned.get(u, 0.0) for u in units(low)), default=0.0)
+        self.known: dict[str, tuple] = {}
+        self.learned = {u: x for u, x in learned.items() if not u.endswith("~")}
+        self.begun = {u[:-1]: x for u, x in learned.items() if u.endswith("~") and not u.endswith("~~")}
+        self.families = {u[:-2]: x for u, x in learned.items() if u.endswith("~~")}
+        self.beginnings = self.begun.keys() | self.families.keys()
+
+    def look(self, word: str) -> tuple:
+        """(in the fixed lexicon, strongest learned odds, disguised, a disguised hit, stretched, shouted, a hit of some
+        kind, addresses the reader, lower case, learned families)."""
+        low = word.lower()
+        plain, odds = low in LEXICON, self.learned.get(low, 0.0)
+        families: tuple[str, ...] = ()
+        for n in BEGINNINGS:
+            if len(low) <= n:
+                break
+            beginning = low[:n]
+            if beginning in self.beginnings:
+                odds = max(odds, self.begun.get(beginning, 0.0))
+                if beginning in self.families:
+                    families += (beginning,)
+        disguised = hidden = stretched = False
+        if not low.isalpha() or STRETCHED.search(low):
             shown = low.translate(HIDDEN).replace("*", "").replace("-", "").replace("'", "")
             disguised = shown != low and any(c.isalpha() for c in low) and not low.isalpha()
             narrow = STRETCHED.sub(r"\1", shown)
@@ -108,11 +121,12 @@ class Words:
             hidden = not plain and odds == 0.0 and (disguised or stretched) and any(
                 w in LEXICON or self.learned.get(w, 0.0) >= CERTAIN for w in {shown, narrow}
             )
-            families = tuple(low[:n] for n in BEGINNINGS if len(low) > n and f"{low[:n]}~~" in self.learned)
-            found = (plain, odds, disguised, hidden, stretched, families)
-            if len(self.known) > 300_000:
-                self.known.clear()
-            self.known[word] = found
+        hit = plain or odds >= CERTAIN or hidden
+        address = not hit and len(word) < 9 and low in ADDRESS
+        found = (plain, odds, disguised, hidden, stretched, len(word) > 2 and word.isupper(), hit, address, low, families)
+        if len(self.known) > 300_000:
+            self.known.clear()
+        self.known[word] = found
         return found
 
 
@@ -121,24 +135,31 @@ def features(text: str, words: Words) -> list[float]:
     n = len(found)
     if not text:
         return [0.0] * len(FEATURES)
-    hits, address, begun = [], [], {}
+    begun: dict[str, set[str]] = {}
     plain = learned = disguised = hidden = stretched = shouted = 0
-    strongest = 0.0
-    for i, word in enumerate(found):
-        fixed, odds, masked, unmasked, drawn, families = words.look(word)
-        plain += fixed
-        learned += odds > 0
-        strongest = max(strongest, odds)
-        disguised += masked
-        hidden += unmasked
-        stretched += drawn
-        shouted += len(word) > 2 and word.isupper()
+    strongest, hitting, addressing = 0.0, set(), set()
+    known, look = words.known.get, words.look
+    for word, times in Counter(found).items():
+        fixed, odds, masked, unmasked, drawn, loud, hit, address, low, families = known(word) or look(word)
+        if odds > 0:
+            learned += times
+            strongest = max(strongest, odds)
+        if masked or drawn:
+            disguised += masked * times
+            hidden += unmasked * times
+            stretched += drawn * times
+        if loud:
+            shouted += times
+        if hit:
+            plain += fixed * times
+            hitting.add(word)
+        elif address:
+            addressing.add(word)
         for family in families:
-            begun.setdefault(family, set()).add(word.lower())
-        if fixed or odds >= CERTAIN or unmasked:
-            hits.append(i)
-        elif len(word) < 9 and word.lower() in ADDRESS:
-            address.append(i)
+            begun.setdefault(family, set()).add(low)
+    hits = [i for i, word in enumerate(found) if word in hitting] if hitting else []
+    address = [i for i, word in enumerate(found) if word in addressing] if hitting and addressing else []
+    n_address = sum(map(addressing.__contains__, found)) if addressing else 0
     several = {f: w for f, w in begun.items() if len(w) > 1}
     near, a = 0, 0
     for i in hits:
@@ -148,9 +169,10 @@ def features(text: str, words: Words) -> list[float]:
     runs = SPACED.findall(text)
     for run in runs:
         hidden += re.sub(r"\W|_", "", run).lower() in LEXICON
-    letters = sum(map(str.isalpha, text))
-    capitals = sum(map(str.isupper, text))
-    spaces = text.count(" ") + text.count("\n")
+    signs = Counter(text)
+    letters = sum(times for sign, times in signs.items() if sign.isalpha())
+    capitals = sum(times for sign, times in signs.items() if sign.isupper())
+    spaces = signs[" "] + signs["\n"]
     per = 1.0 / max(1, n)
     return [
         math.log1p(n),
@@ -159,14 +181,14 @@ def features(text: str, words: Words) -> list[float]:
         learned * per,
         math.log1p(learned),
         strongest,
-        max((words.learned[f"{f}~~"] for f in several), default=0.0),
+        max((words.families[f] for f in several), default=0.0),
         math.log1p(len(set().union(*several.values()))),
-        len(address) * per,
+        n_address * per,
         near / len(hits) if hits else 0.0,
         capitals / max(1, letters),
         shouted * per,
-        text.count("!") * per,
-        sum(map(text.count, ".,;:!?")) * per,
+        signs["!"] * per,
+        sum(map(signs.__getitem__, ".,;:!?")) * per,
         disguised * per,
         math.log1p(hidden),
         stretched * per,
