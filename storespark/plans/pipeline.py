@@ -350,14 +350,16 @@ class Warehouse:
         A file that cannot be read fails alone; one with its columns in another order is read in that order. Names that
         the readers pass over count as failed every time and are logged when they are new.
         """
-        hidden = self.spark.createDataFrame(hidden_files(self.spark, folder), _LISTED)
-        unseen = self._waiting(hidden).collect()
-        if unseen:
+        hidden = hidden_files(self.spark, folder)
+        if hidden:
+            unseen = self._waiting(self.spark.createDataFrame(hidden, _LISTED)).collect()
             message = "names that start with _ or . are passed over by the readers; rename the file"
             reasons = [(f.file_name, message) for f in unseen]
-            self._reject(self.spark.createDataFrame(unseen, _LISTED), self.spark.createDataFrame(reasons, "file_name string, reason string"))
-            self.runs.start("extract").fail_files("extract", reasons)
-        result, n = self.extract_listed(folder, list_files(self.spark, folder), most), hidden.count()
+            if reasons:
+                files = self.spark.createDataFrame(unseen, _LISTED)
+                self._reject(files, self.spark.createDataFrame(reasons, "file_name string, reason string"))
+                self.runs.start("extract").fail_files("extract", reasons)
+        result, n = self.extract_listed(folder, list_files(self.spark, folder), most), len(hidden)
         return StepResult("extract", result.files + n, result.rows, result.failed_files + n, result.error)
 
     def extract_listed(self, folder: str, files: DataFrame, most: int | None = None) -> StepResult:
