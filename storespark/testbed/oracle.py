@@ -348,7 +348,7 @@ def _default_brands() -> str:
     case when p_partkey % 3 = 0 then {second} end, '500 g')) low
   from part)
 select product_id, (select arg_min(code, n) from (values {rows}) v(n, spelling, code)
-  where regexp_matches(low, '(^|[^\pL\pN_])' || regexp_escape(spelling) || '($|[^\pL\pN_])')) brand_anon from parts"""
+  where case when contains(low, spelling) then regexp_matches(low, '(^|[^\pL\pN_])' || regexp_escape(spelling) || '($|[^\pL\pN_])') else false end) brand_anon from parts"""
 
 
 def _default_classes() -> str:
