@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from storespark.functions.money import MONEY, line_value, money_sum, money_sum0, percent, ratio
-from storespark.operators.joins import active_positions, attach, attach_named
+from storespark.operators.joins import active_positions, attach, attach_named, shuffled
 from storespark.operators.rollup import additive, collapsed
 from storespark.plans.views import daily_kpis, inventory_by_shelf, shelf_detail
 from storespark.tables import Tables
@@ -142,7 +142,7 @@ def _placed_sums(t: Tables) -> DataFrame:
     products = t.products.select(
         "product_id", "product_description", "category_level_1", "brand_code", "purchase_price"
     )
-    placed = _product_sums(t).join(active_positions(t.store_assortment), ["store_id", "product_id"])
+    placed = shuffled(_product_sums(t), active_positions(t.store_assortment), ["store_id", "product_id"])
     return attach_named(placed, products, t.brands)
 
 
@@ -154,7 +154,8 @@ def shelf_products_grid(t: Tables, **filters) -> DataFrame:
     named = attach(placed, t.products.select("product_id", "product_description"), ["product_id"])
     sums = _product_sums(_filtered(t, filters)).select(*keys, "qty_sold", "qty_breakage")
     stock = inventory_by_shelf(t).select(*keys, "stock_qty")
-    return named.join(sums, keys, "left").join(stock, keys, "left").fillna(0, ["qty_sold", "qty_breakage"]).select(
+    moved = shuffled(named, sums, keys, "left").fillna(0, ["qty_sold", "qty_breakage"])
+    return shuffled(moved, stock, keys, "left").select(
         "store_id", "shelf_id", "shelf_level", "zone", "slot_number", "product_id", "product_description",
         "qty_sold", "qty_breakage", "stock_qty",
     )
@@ -203,7 +204,7 @@ def share_of_sales(t: Tables, by: str = "brand", **filters) -> DataFrame:
     revenue = sums.groupBy(*SHELF, item).agg(_revenue().alias("_revenue"))
     space = share_of_shelf(t, by, shelf_id=filters.get("shelf_id"))
     same = [space[c] == revenue[c] for c in SHELF] + [space[item].eqNullSafe(revenue[item])]
-    joined = space.join(revenue, same, "left").select(
+    joined = shuffled(space, revenue, same, "left").select(
         *[space[c] for c in [*SHELF, item, "slots", "shelf_share_pct"]],
         F.coalesce(F.col("_revenue"), F.lit(0)).cast(MONEY).alias("revenue"),
     )
@@ -221,7 +222,7 @@ def shelf_mix_kpis(t: Tables, **filters) -> DataFrame:
     sums = _on_shelf(_placed_sums(_filtered(t, filters)), filters).groupBy(*SHELF).agg(
         _revenue().alias("_revenue"), (_revenue() - _sale_cost()).alias("_margin")
     )
-    return mix.join(sums, SHELF, "left").select(
+    return shuffled(mix, sums, SHELF, "left").select(
         *SHELF, "brands", "categories",
         F.coalesce(F.col("_revenue"), F.lit(0)).cast(MONEY).alias("revenue"),
         F.coalesce(F.col("_margin"), F.lit(0)).cast(MONEY).alias("margin"),
