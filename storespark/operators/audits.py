@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storespark.functions import fixed_values as fixed
-from storespark.operators.joins import POSITION_KEY
+from storespark.operators.joins import POSITION_KEY, fits_broadcast
 from storespark.tables import Tables
 
 PRIMARY_KEYS = {
@@ -122,6 +122,8 @@ PRICE_RULES = {
 }
 
 
+#: tasks that share the rows of a key when many keys are compared
+_PARTS = 16
 _KEYS = "table_name string, key string, rows bigint"
 _RULES = "table_name string, rule string, rows bigint"
 
@@ -141,9 +143,20 @@ def _key_text(columns: list[str]) -> Column:
 
 
 def duplicate_keys(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Keys held by more than one row; a key with a null part is not compared."""
-    known = df.dropna(subset=columns)
-    return known.groupBy(*columns).agg(F.count("*").alias("rows")).filter("rows > 1")
+    """Keys held by more than one row; a key with a null part is not compared.
+
+    Beyond the broadcast limit keys are dealt to all shuffle partitions. Adaptive execution would merge these by their
+    compressed bytes, and keys are so regular that millions of them would come to one task. Rows of one key are counted
+    in up to ``_PARTS`` tasks first.
+    """
+    known = df.dropna(subset=columns).select(*columns)
+    rows = F.count("*").alias("rows")
+    if fits_broadcast(known):
+        return known.groupBy(*columns).agg(rows).filter("rows > 1")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    apart = known.withColumn("_part", F.spark_partition_id() % _PARTS).repartition(n, *columns, "_part")
+    counted = apart.groupBy(*columns, "_part").agg(rows)
+    return counted.repartition(n, *columns).groupBy(*columns).agg(F.sum("rows").alias("rows")).filter("rows > 1")
 
 
 def _duplicates(t: Tables, constraints: dict[str, list[str]]) -> DataFrame:

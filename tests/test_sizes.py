@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from storespark.operators import joins, rollup, shelves
+from storespark import schemas
+from storespark.operators import audits, joins, rollup, shelves
 from storespark.plans import dashboards, views
+from storespark.sources import csv_files
 from storespark.tables import Tables
 
 
@@ -79,3 +81,30 @@ def test_layout_positions_and_stock_are_not_broadcast(store, monkeypatch, name,
     # only the one brand may be
     assert text.count("BroadcastHashJoin") <= text.count("BroadcastHashJoin [brand_code"), text
     assert found.count() == {"shelf_products_grid": 20_000, "inventory_by_shelf": 20_000, "shelf_detail": 445 * 45}.get(name, 445)
+
+
+def test_many_keys_are_not_merged_into_one_task(spark, monkeypatch):
+    rows = spark.range(0, 3000, 1, 4).selectExpr("cast(if(id < 1000, null, if(id < 2000, 7, id)) as string) as k", "id % 2 as x")
+    expected = [("7", 1000)]
+    assert [tuple(r) for r in audits.duplicate_keys(rows, ["k"]).collect()] == expected
+    monkeypatch.setattr(joins, "BROADCAST_LIMIT_BYTES", 0)
+    found = audits.duplicate_keys(rows, ["k"])
+    assert [tuple(r) for r in found.collect()] == expected
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+
+
+def test_only_rows_that_may_be_a_header_are_compared_with_it(spark, drops):
+    """The cells of other rows are not trimmed and sorted one by one."""
+    columns = schemas.MOVEMENT_COLUMNS
+    row = dict.fromkeys(columns, "1")
+    lines = [",".join(columns), ",".join(row.values()), ",".join({**row, columns[0]: columns[0]}.values()), ",".join({**row, columns[0]: columns[1]}.values())]
+    folder = drops("movements_2024-01-01.csv", "\n".join(lines) + "\n")
+    text = csv_files.movement_text(spark.read, [folder], csv_files.path_below(spark, folder))
+    assert sorted(r[columns[0]] for r in text.collect()) == sorted(["1", columns[0], columns[1]])
+    assert text.filter("other_header is not null").isEmpty()
+    where = next(x for x in plan(text).splitlines() if "Filter" in x)
+    assert where.index("CASE WHEN") < where.index("array(")
+    other = ",".join(reversed(columns))
+    folder = drops("movements_2024-01-02.csv", f"{other}\n")
+    marked = csv_files.movement_text(spark.read, [f"{folder}/movements_2024-01-02.csv"], csv_files.path_below(spark, folder))
+    assert [r["other_header"] for r in marked.collect()] == [other]
