@@ -214,8 +214,10 @@ def movement_text(reader, paths: str | list[str], base: str, order: list[str] |
     reader = reader.schema(schema).option("header", False).option("multiLine", bool(over_lines))
     rows = reader.options(**_LISTING, **DIALECT).csv(paths)
     trimmed = F.array(*[F.regexp_replace(F.trim(F.coalesce(F.col(c), F.lit(""))), "^\ufeff", "") for c in order])
-    header = trimmed == F.array(*map(F.lit, order))
-    named = F.array_sort(trimmed) == F.array(*map(F.lit, sorted(order)))
+    # all cells are looked at only where the first one holds a column's name
+    first = F.regexp_replace(F.trim(F.coalesce(F.col(order[0]), F.lit(""))), "^\ufeff", "")
+    header = F.coalesce(F.when(first == order[0], trimmed == F.array(*map(F.lit, order))), F.lit(False))
+    named = F.when(first.isin(order), F.array_sort(trimmed) == F.array(*map(F.lit, sorted(order))))
     other = F.when(named, F.concat_ws(",", *map(F.lit, over_lines), F.array_join(trimmed, ",")))
     if not over_lines:
         line = F.col(schemas.MALFORMED)
