@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from storespark.functions import fixed_values as fixed
+from storespark.operators.joins import dealt, tasks_for
 from storespark.operators.ranking import numbered
 
 
@@ -14,8 +15,11 @@ def layout_grid(stores: DataFrame) -> DataFrame:
     """All slots of each store; ``stores`` has store_id and optionally n_shelves."""
     shelves = F.col("n_shelves") if "n_shelves" in stores.columns else F.lit(fixed.SHELVES)
     zones = F.array(*[F.lit(z) for z in fixed.ZONES])
+    rows = stores.select("store_id", F.explode(F.sequence(F.lit(1), shelves.cast("int"))).alias("shelf_id"))
+    # the few rows of the stores lie in one task, which would make the slots of all
+    slots = fixed.LEVELS * len(fixed.ZONES) * fixed.SLOTS
     return (
-        stores.select("store_id", F.explode(F.sequence(F.lit(1), shelves.cast("int"))).alias("shelf_id"))
+        dealt(rows, ["store_id", "shelf_id"], tasks_for(rows, times=slots))
         .withColumn("shelf_level", F.explode(F.sequence(F.lit(1), F.lit(fixed.LEVELS))))
         .withColumn("zone", F.explode(zones))
         .withColumn("slot_number", F.explode(F.sequence(F.lit(1), F.lit(fixed.SLOTS))))

@@ -11,9 +11,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from storespark.functions.money import MONEY, line_value, money_sum, money_sum0, percent, ratio
-from storespark.operators.joins import active_positions, attach, attach_named, shuffled
+from storespark.operators.joins import active_positions, attach, attach_named, dealt, shuffled
 from storespark.operators.rollup import additive, collapsed
-from storespark.plans.views import daily_kpis, inventory_by_shelf, shelf_detail
+from storespark.plans.views import daily_kpis, inventory_by_shelf, shelf_detail, slot_tasks
 from storespark.tables import Tables
 
 SHELF = ["store_id", "shelf_id"]
@@ -137,25 +137,26 @@ def _product_sums(t: Tables) -> DataFrame:
     )
 
 
-def _placed_sums(t: Tables) -> DataFrame:
+def _placed_sums(t: Tables, tasks: int) -> DataFrame:
     """Product sums at the current position with product and brand columns."""
     products = t.products.select(
         "product_id", "product_description", "category_level_1", "brand_code", "purchase_price"
     )
-    placed = shuffled(_product_sums(t), active_positions(t.store_assortment), ["store_id", "product_id"])
-    return attach_named(placed, products, t.brands)
+    placed = shuffled(_product_sums(t), active_positions(t.store_assortment), ["store_id", "product_id"], tasks=tasks)
+    return attach_named(placed, products, t.brands, tasks=tasks)
 
 
 def shelf_products_grid(t: Tables, **filters) -> DataFrame:
     """Every product that is placed, by shelf, level and zone, with its sold and broken quantity and its stock."""
     filters = _supported(filters, "shelf_id", *DATES)
     keys = ["store_id", "product_id"]
+    tasks = slot_tasks(t)
     placed = _on_shelf(active_positions(t.store_assortment), filters)
-    named = attach(placed, t.products.select("product_id", "product_description"), ["product_id"])
+    named = attach(placed, t.products.select("product_id", "product_description"), ["product_id"], tasks=tasks)
     sums = _product_sums(_filtered(t, filters)).select(*keys, "qty_sold", "qty_breakage")
     stock = inventory_by_shelf(t).select(*keys, "stock_qty")
-    moved = shuffled(named, sums, keys, "left").fillna(0, ["qty_sold", "qty_breakage"])
-    return shuffled(moved, stock, keys, "left").select(
+    moved = shuffled(named, sums, keys, "left", tasks).fillna(0, ["qty_sold", "qty_breakage"])
+    return shuffled(moved, stock, keys, "left", tasks).select(
         "store_id", "shelf_id", "shelf_level", "zone", "slot_number", "product_id", "product_description",
         "qty_sold", "qty_breakage", "stock_qty",
     )
@@ -173,7 +174,8 @@ def shelf_level_kpis(t: Tables, by_zone: bool = True, **filters) -> DataFrame:
     """Quantity, revenue, average price and margin of sales per level, and per zone where asked."""
     filters = _supported(filters, "shelf_id", *DATES)
     keys = [*SHELF, "shelf_level", *(["zone"] if by_zone else [])]
-    sums = _on_shelf(_placed_sums(_filtered(t, filters)), filters).filter("sale_rows > 0")
+    tasks = slot_tasks(t)
+    sums = _on_shelf(_placed_sums(_filtered(t, filters), tasks), filters).filter("sale_rows > 0")
     return sums.groupBy(*keys).agg(
         F.sum("qty_sold").alias("qty_sold"),
         _revenue().alias("revenue"),
@@ -185,29 +187,32 @@ def shelf_level_kpis(t: Tables, by_zone: bool = True, **filters) -> DataFrame:
 _SHARE_COLUMNS = {"brand": "brand_code", "category": "category_level_1"}
 
 
-def share_of_shelf(t: Tables, by: str = "brand", **filters) -> DataFrame:
+def share_of_shelf(t: Tables, by: str = "brand", tasks: int | None = None, **filters) -> DataFrame:
     """Slots a brand or category holds, and its share of the occupied slots of the shelf."""
     filters = _supported(filters, "shelf_id")
     item = _SHARE_COLUMNS[by]
-    occupied = _on_shelf(shelf_detail(t), filters).filter(F.col("product_id").isNotNull())
-    slots = occupied.groupBy(*SHELF, item).agg(F.count("*").alias("slots"))
+    tasks = slot_tasks(t) if tasks is None else tasks
+    occupied = _on_shelf(shelf_detail(t, tasks), filters).filter(F.col("product_id").isNotNull())
+    slots = dealt(occupied.select(*SHELF, item), SHELF, tasks).groupBy(*SHELF, item).agg(F.count("*").alias("slots"))
     # the window sees one row per brand or category of a shelf, at most one per slot
     whole = F.sum("slots").over(W.partitionBy(*SHELF))
     return slots.withColumn("shelf_share_pct", percent(F.col("slots"), whole))
 
 
 def share_of_sales(t: Tables, by: str = "brand", **filters) -> DataFrame:
-    """Revenue share of a brand or category on its shelf beside its share of the space."""
+    """Revenue share of a brand or category on its shelf beside its share of the space.
+
+    Space and sales of a shelf are dealt to one task, where they are grouped together; only what has space is kept.
+    """
     filters = _supported(filters, "shelf_id", *DATES)
     item = _SHARE_COLUMNS[by]
-    sums = _on_shelf(_placed_sums(_filtered(t, filters)), filters)
-    revenue = sums.groupBy(*SHELF, item).agg(_revenue().alias("_revenue"))
-    space = share_of_shelf(t, by, shelf_id=filters.get("shelf_id"))
-    same = [space[c] == revenue[c] for c in SHELF] + [space[item].eqNullSafe(revenue[item])]
-    joined = shuffled(space, revenue, same, "left").select(
-        *[space[c] for c in [*SHELF, item, "slots", "shelf_share_pct"]],
-        F.coalesce(F.col("_revenue"), F.lit(0)).cast(MONEY).alias("revenue"),
-    )
+    tasks = slot_tasks(t)
+    sums = _on_shelf(_placed_sums(_filtered(t, filters), tasks), filters).select(*SHELF, item, "sales")
+    space = share_of_shelf(t, by, tasks, shelf_id=filters.get("shelf_id"))
+    both = dealt(space.unionByName(sums, allowMissingColumns=True), SHELF, tasks)
+    joined = both.groupBy(*SHELF, item).agg(
+        F.max("slots").alias("slots"), F.max("shelf_share_pct").alias("shelf_share_pct"), _revenue().alias("revenue")
+    ).filter(F.col("slots").isNotNull())
     whole = F.sum("revenue").over(W.partitionBy(*SHELF))
     return joined.withColumn("sales_share_pct", percent(F.col("revenue"), whole))
 
@@ -215,14 +220,15 @@ def share_of_sales(t: Tables, by: str = "brand", **filters) -> DataFrame:
 def shelf_mix_kpis(t: Tables, **filters) -> DataFrame:
     """Distinct brands and categories on a shelf with its revenue and margin."""
     filters = _supported(filters, "shelf_id", *DATES)
-    occupied = _on_shelf(shelf_detail(t), filters).filter(F.col("product_id").isNotNull())
+    tasks = slot_tasks(t)
+    occupied = _on_shelf(shelf_detail(t, tasks), filters).filter(F.col("product_id").isNotNull())
     mix = occupied.groupBy(*SHELF).agg(
         F.count_distinct("brand_code").alias("brands"), F.count_distinct("category_level_1").alias("categories")
     )
-    sums = _on_shelf(_placed_sums(_filtered(t, filters)), filters).groupBy(*SHELF).agg(
+    sums = _on_shelf(_placed_sums(_filtered(t, filters), tasks), filters).groupBy(*SHELF).agg(
         _revenue().alias("_revenue"), (_revenue() - _sale_cost()).alias("_margin")
     )
-    return shuffled(mix, sums, SHELF, "left").select(
+    return shuffled(mix, sums, SHELF, "left", tasks=0).select(
         *SHELF, "brands", "categories",
         F.coalesce(F.col("_revenue"), F.lit(0)).cast(MONEY).alias("revenue"),
         F.coalesce(F.col("_margin"), F.lit(0)).cast(MONEY).alias("margin"),

@@ -108,3 +108,54 @@ def test_only_rows_that_may_be_a_header_are_compared_with_it(spark, drops):
     folder = drops("movements_2024-01-02.csv", f"{other}\n")
     marked = csv_files.movement_text(spark.read, [f"{folder}/movements_2024-01-02.csv"], csv_files.path_below(spark, folder))
     assert [r["other_header"] for r in marked.collect()] == [other]
+
+
+def test_tables_of_many_rows_are_dealt_to_tasks_that_grow_with_them(store, spark, monkeypatch):
+    """Compressed bytes are few, so that adaptive execution would merge all rows into one task."""
+    layout = store.store_layout
+    held = joins.held_bytes(layout, store.inventory)
+    assert held == joins.held_bytes(layout) + joins.held_bytes(store.inventory)
+    assert joins.tasks_for(layout, store.inventory) == 0
+    monkeypatch.setattr(joins, "TASK_BYTES", held // 10)
+    few, most = (joins.tasks_for(layout, store.inventory, times=n) for n in (1, 6))
+    assert 10 <= few <= 11 and 60 <= most <= 61
+    monkeypatch.setattr(joins, "TASK_BYTES", held)
+    assert joins.tasks_for(layout, store.inventory) == 0
+    monkeypatch.setattr(joins, "TASK_BYTES", held - 1)
+    assert joins.tasks_for(layout, store.inventory) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("name, table, rows", [
+    ("inventory_by_shelf", views.inventory_by_shelf, 20_000), ("shelf_detail", views.shelf_detail, 445 * 45),
+    ("share_of_shelf", dashboards.share_of_shelf, 445), ("share_of_sales", dashboards.share_of_sales, 445),
+    ("fill_pct", lambda t: joins.position_join(joins.stock_join(t.store_assortment, t.inventory), t.store_layout), 20_000),
+])
+def test_no_task_takes_the_rows_of_whole_tables(store, monkeypatch, name, table, rows):
+    expected = sorted(map(str, table(store).collect()))
+    monkeypatch.setattr(joins, "BROADCAST_LIMIT_BYTES", 100_000)
+    monkeypatch.setattr(joins, "TASK_BYTES", 500_000)
+    found = table(store)
+    tasks = found.rdd.getNumPartitions()
+    sizes = found.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert tasks >= 16 and max(sizes) < rows // 4, (tasks, sizes)
+    assert sorted(map(str, found.collect())) == expected and len(expected) == rows
+
+
+def test_layout_is_not_made_by_the_task_of_its_stores(spark, monkeypatch):
+    stores = spark.createDataFrame([(1, 300), (2, 1)], "store_id int, n_shelves int").coalesce(1)
+    expected = sorted(shelves.layout_grid(stores).collect())
+    monkeypatch.setattr(joins, "TASK_BYTES", 100_000)
+    grid = shelves.layout_grid(stores)
+    sizes = grid.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert len(sizes) > 10 and max(sizes) < len(expected) // 4 and sorted(grid.collect()) == expected
+
+
+def test_share_of_sales_keeps_items_without_a_code_and_without_sales(spark, store):
+    """Only what has space counts; sums of a missing code meet the space of a missing code."""
+    day = F.to_date(F.lit("2024-01-01"))
+    codes = store.products.withColumn("brand_code", F.when(F.col("product_id") == "0", None).when(F.col("product_id") == "1", "B2").otherwise("B1"))
+    moves = store.movements.filter("product_id in ('0', '2', '3')").withColumn("movement_date", day)
+    off = store.store_assortment.withColumn("active_flag", F.col("product_id") != "3")
+    t = store.replaced(products=codes, movements=moves, store_assortment=off.filter("cast(product_id as int) < 45"))
+    found = {r.brand_code: (r.slots, float(r.revenue), float(r.sales_share_pct)) for r in dashboards.share_of_sales(t).collect()}
+    assert found == {None: (1, 3.0, 50.0), "B1": (43, 3.0, 50.0), "B2": (1, 0.0, 0.0)}
