@@ -341,7 +341,8 @@ def margin_pct(bed, t):
 
 @register()
 def fill_pct(bed, t):
-    placed = joins.position_join(joins.stock_join(t.store_assortment, t.inventory), t.store_layout)
+    tasks = joins.tasks_for(t.store_assortment, t.inventory, t.store_layout)
+    placed = joins.position_join(joins.stock_join(t.store_assortment, t.inventory, tasks), t.store_layout, tasks)
     return placed.select(
         "store_id", "product_id", "capacity", money.fill_pct(F.col("stock_qty"), F.col("capacity")).alias("fill_pct")
     )
